@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, functions as F
 
-from tickloom.functions.times import DAY_US, MINUTE_US, chunk_of, micros
+from tickloom.functions.times import DAY_US, MICROS, MINUTE_US, chunk_of
 
 
 def within_after(
@@ -25,13 +25,17 @@ def within_after(
     """
     first = chunk_of(event_time, horizon_us)
     spread = events.withColumn("_bucket", F.explode(F.array(first, first + 1)))
-    placed = records.withColumn("_bucket", chunk_of(time, horizon_us))
-    wait = micros(time) - micros(event_time)
-    return (
-        spread.join(placed, [key, "_bucket"])
-        .filter(wait.between(0, horizon_us))
-        .drop("_bucket")
+    placed = records.withColumn("_at", chunk_of(time, horizon_us)).withColumnRenamed(key, "_key")
+    # Plain timestamp comparisons: streams derive from them when to drop state.
+    horizon = F.expr(f"INTERVAL '{horizon_us / MICROS:f}' SECOND")
+    start, at = F.col(event_time), F.col(time)
+    matches = (
+        (F.col(key) == F.col("_key"))
+        & (F.col("_bucket") == F.col("_at"))
+        & (at >= start)
+        & (at <= start + horizon)
     )
+    return spread.join(placed, matches).drop("_bucket", "_at", "_key")
 
 
 def gap_bounds(incoming: DataFrame, stored: DataFrame, key: str = "symbol") -> DataFrame:
