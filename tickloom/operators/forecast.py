@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window, functions as F
 from tickloom.functions.times import plus_minutes
 from tickloom.operators import segments as sg
 from tickloom.operators.serving import latest_n
+from tickloom.session import ship_package
 
 # Encoder and decoder lengths, and minutes of the forecast rungs.
 ENCODER_ROWS = 120
@@ -114,6 +115,7 @@ def predict(
             }
         )
 
+    ship_package(frame.sparkSession)
     return (
         frame.filter(~F.col("is_decoder"))
         .groupBy(*SERIES)

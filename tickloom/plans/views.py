@@ -230,10 +230,7 @@ def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
-R6 = "round({0}, 6) + 0e0 AS {0}"
-
-
-def sql_rounded(columns: str) -> str:
-    return ", ".join(R6.format(c) for c in columns.split())
+def sql_rounded(columns: str, digits: int = 6) -> str:
+    return ", ".join(f"round({c}, {digits}) + 0e0 AS {c}" for c in columns.split())
 
 

@@ -22,60 +22,65 @@ def ranged(spark, sf):
     return ind.range_indicators(v.hour_bars(spark, sf), v.FRAME_US)
 
 
-def pick(df, *columns):
-    return v.rounded(df.select("screener", "symbol", "time", *columns), *columns)
+def pick(df, *columns, digits=6):
+    return v.rounded(df.select("screener", "symbol", "time", *columns), *columns, digits=digits)
+
+
+# Short means of prices with two decimals often end in an exact 5 at the seventh
+# decimal, so those are compared at eight.
+MEANS = 8
 
 
 def _range(columns: str) -> str:
-    return W(*HOURS, v.sql_range("bars_1h")) + f"SELECT {IDS}, {R(columns)} FROM ind"
+    return W(*HOURS, v.sql_range("bars_1h")) + f"SELECT {IDS}, {R(columns, MEANS)} FROM ind"
 
 
 @query("w1_sma_range", _range("sma20"))
 def w1(spark, sf):
-    return pick(ranged(spark, sf), "sma20")
+    return pick(ranged(spark, sf), "sma20", digits=MEANS)
 
 
 @query("w2_bollinger", _range("bb_mid bb_upper bb_lower"))
 def w2(spark, sf):
-    return pick(ranged(spark, sf), "bb_mid", "bb_upper", "bb_lower")
+    return pick(ranged(spark, sf), "bb_mid", "bb_upper", "bb_lower", digits=MEANS)
 
 
 @query("w3_rolling_vwap", _range("vwap"))
 def w3(spark, sf):
-    return pick(ranged(spark, sf), "vwap")
+    return pick(ranged(spark, sf), "vwap", digits=MEANS)
 
 
 @query("w4_rolling_volume", _range("avg_volume"))
 def w4(spark, sf):
-    return pick(ranged(spark, sf), "avg_volume")
+    return pick(ranged(spark, sf), "avg_volume", digits=MEANS)
 
 
 @query(
     "w1_w4_minute_frame",
     W(v.TICKS, v.BARS_1M, v.sql_range("bars_1m", "20 MINUTE"))
-    + f"SELECT {IDS}, {R('sma20 bb_upper bb_lower vwap avg_volume')} FROM ind",
+    + f"SELECT {IDS}, {R('sma20 bb_upper bb_lower vwap avg_volume', MEANS)} FROM ind",
 )
 def w1_w4(spark, sf):
     out = ind.range_indicators(v.minute_bars(spark, sf))
-    return pick(out, "sma20", "bb_upper", "bb_lower", "vwap", "avg_volume")
+    return pick(out, "sma20", "bb_upper", "bb_lower", "vwap", "avg_volume", digits=MEANS)
 
 
 def _rows(n: int) -> str:
     return (
         W(*HOURS)
         + f"""SELECT {IDS}, round(avg(close) OVER (PARTITION BY symbol ORDER BY time
-  ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), 6) + 0e0 AS sma_{n} FROM bars_1h"""
+  ROWS BETWEEN {n - 1} PRECEDING AND CURRENT ROW), {MEANS}) + 0e0 AS sma_{n} FROM bars_1h"""
     )
 
 
 @query("w5_sma20_rows", _rows(20))
 def w5(spark, sf):
-    return pick(ind.row_sma(v.hour_bars(spark, sf), (20,)), "sma_20")
+    return pick(ind.row_sma(v.hour_bars(spark, sf), (20,)), "sma_20", digits=MEANS)
 
 
 @query("w6_sma50_rows", _rows(50))
 def w6(spark, sf):
-    return pick(ind.row_sma(v.hour_bars(spark, sf), (50,)), "sma_50")
+    return pick(ind.row_sma(v.hour_bars(spark, sf), (50,)), "sma_50", digits=MEANS)
 
 
 def recursive(spark, sf):
@@ -237,7 +242,7 @@ def w20(spark, sf):
 
 @query("w21_shared_window", _range("sma20 bb_mid bb_upper bb_lower vwap avg_volume"))
 def w21(spark, sf):
-    return pick(ranged(spark, sf), "sma20", "bb_mid", "bb_upper", "bb_lower", "vwap", "avg_volume")
+    return pick(ranged(spark, sf), "sma20", "bb_mid", "bb_upper", "bb_lower", "vwap", "avg_volume", digits=MEANS)
 
 
 # ---- run patterns ----------------------------------------------------------

@@ -3,8 +3,10 @@
 from __future__ import annotations
 
 import os
+import shutil
 import tempfile
 import uuid
+from pathlib import Path
 
 from pyspark.sql import SparkSession
 
@@ -64,3 +66,17 @@ def shared_folder(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A new, unused path below the shared folder."""
     return os.path.join(shared_folder(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
+
+
+_shipped: set[str] = set()
+
+
+def ship_package(spark: SparkSession) -> None:
+    """Makes this package importable in Python workers, once per application."""
+    context = spark.sparkContext
+    if context.applicationId in _shipped:
+        return
+    root = Path(__file__).resolve().parent
+    target = os.path.join(tempfile.mkdtemp(prefix="tickloom-zip-"), root.name)
+    context.addPyFile(shutil.make_archive(target, "zip", root.parent, root.name))
+    _shipped.add(context.applicationId)

@@ -16,6 +16,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
 from tickloom.operators.signals import FALLING, RISING, SPIKE, spike_detail
+from tickloom.session import ship_package
 
 HISTORY = 300
 FRAME = pd.Timedelta(minutes=20)
@@ -145,6 +146,7 @@ RUN_SCHEMA = (
 
 
 def _stateful(bars: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
+    ship_package(bars.sparkSession)
     return (
         bars.select("symbol", "rt", "close", "volume")
         .groupBy("symbol")
