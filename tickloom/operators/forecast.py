@@ -115,7 +115,7 @@ def predict(
             }
         )
 
-    ship_package(frame.sparkSession)
+    ship_package()
     return (
         frame.filter(~F.col("is_decoder"))
         .groupBy(*SERIES)

@@ -3,11 +3,11 @@
 from __future__ import annotations
 
 import os
-import shutil
+import sys
 import tempfile
 import uuid
-from pathlib import Path
 
+from pyspark import cloudpickle
 from pyspark.sql import SparkSession
 
 ROCKSDB_PROVIDER = (
@@ -50,17 +50,22 @@ def streaming_session(spark: SparkSession) -> SparkSession:
     return sibling
 
 
+_local_folder: list[str] = []
+
+
 def shared_folder(spark: SparkSession) -> str:
-    """The cluster's shared scratch folder.
+    """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
 
-    The cluster names it in ``spark.checkpoint.dir``. Only where that is unset,
-    as in local tests, a temporary folder is chosen and recorded.
+    Only where that is unset, as in local tests, a temporary folder is used.
     """
-    folder = spark.conf.get("spark.checkpoint.dir", None)
-    if not folder:
-        folder = tempfile.mkdtemp(prefix="tickloom-")
-        spark.conf.set("spark.checkpoint.dir", folder)
-    return folder
+    folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
+        "spark.checkpoint.dir"
+    )
+    if folder:
+        return folder
+    if not _local_folder:
+        _local_folder.append(tempfile.mkdtemp(prefix="tickloom-"))
+    return _local_folder[0]
 
 
 def fresh_path(spark: SparkSession, name: str) -> str:
@@ -68,15 +73,7 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
 
 
-_shipped: set[str] = set()
-
-
-def ship_package(spark: SparkSession) -> None:
-    """Makes this package importable in Python workers, once per application."""
-    context = spark.sparkContext
-    if context.applicationId in _shipped:
-        return
-    root = Path(__file__).resolve().parent
-    target = os.path.join(tempfile.mkdtemp(prefix="tickloom-zip-"), root.name)
-    context.addPyFile(shutil.make_archive(target, "zip", root.parent, root.name))
-    _shipped.add(context.applicationId)
+def ship_package() -> None:
+    """Sends this package's functions to Python workers by value, so that no
+    installation is needed there."""
+    cloudpickle.register_pickle_by_value(sys.modules[__package__])

@@ -6,6 +6,8 @@ UTC session. ``settle`` turns a result back to the zoneless stored form.
 
 from __future__ import annotations
 
+from collections.abc import Callable, Mapping
+
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions.scalars import percent_change
@@ -58,17 +60,36 @@ def settle(df: DataFrame, rt: str = "rt", time: str = "time") -> DataFrame:
     return df.withColumn(rt, label.cast("timestamp_ntz")).withColumnRenamed(rt, time)
 
 
-def candle_ladder(records: DataFrame, rungs=None, seq: str | None = None) -> DataFrame:
-    """All rungs as one stream with a ``screener`` column."""
-    bars = minute_bars(records, seq)
+def candle_ladder(
+    source: Callable[[], DataFrame], rungs: Mapping[str, int] | None = None, seq: str | None = None
+) -> DataFrame:
+    """All rungs as one stream with a ``screener`` column, cascaded in one job.
+
+    ``source`` opens the timed record stream. Every rung opens it anew: branches
+    of one stream that each chain two windows do not all see the watermark, and
+    only the first would emit. Where the minute bars are stored anyway,
+    ``stored_ladder`` reads the records and keeps the minute state only once.
+    """
     return union_all(
         [
-            settle(rung(bars, m)).select(F.lit(name).alias("screener"), "symbol", "time", *OHLCV)
+            _labelled(settle(rung(minute_bars(source(), seq), m)), name)
             for name, m in (rungs or LADDER).items()
         ]
     )
 
 
+def stored_ladder(bars: DataFrame, rungs: Mapping[str, int] | None = None) -> DataFrame:
+    """Longer rungs over the stream of stored minute bars (timed on ``time``)."""
+    longer = {n: m for n, m in (rungs or LADDER).items() if m > 1}
+    return union_all(
+        [_labelled(settle(_bars(bars, "time", m, "time")), name) for name, m in longer.items()]
+    )
+
+
+def _labelled(bars: DataFrame, screener: str) -> DataFrame:
+    return bars.select(F.lit(screener).alias("screener"), "symbol", "time", *OHLCV)
+
+
 def news_impact(
     news: DataFrame, prices: DataFrame, horizon_us: int = 15 * MINUTE_US, seq: str | None = None
 ) -> DataFrame:

@@ -9,8 +9,10 @@ stream, at most one row per symbol and minute whatever the record rate.
 from __future__ import annotations
 
 from collections.abc import Iterator
+from itertools import takewhile
 from math import sqrt
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
@@ -24,24 +26,34 @@ FRAME = pd.Timedelta(minutes=20)
 _BAR_STATE = "rt timestamp, close double, volume double"
 
 
-def ema_of(closes: list[float], span: int) -> float:
+def _ema_weights(n: int, span: int) -> np.ndarray:
+    """Weight of each of ``n`` values, oldest first, in their exponential mean."""
     alpha = 2.0 / (span + 1.0)
-    value = closes[0]
-    for close in closes[1:]:
-        value = alpha * close + (1.0 - alpha) * value
-    return value
+    weights = (1.0 - alpha) ** np.arange(n - 1, -1, -1.0)
+    weights[1:] *= alpha
+    return weights
 
 
-def rsi_of(closes: list[float], period: int = 14) -> float | None:
+def _wilder_weights(n: int, period: int) -> np.ndarray:
+    """Weight of each of ``n`` changes, oldest first, in their Wilder mean."""
+    keep = 1.0 - 1.0 / period
+    ages = np.minimum(np.arange(n - 1, -1, -1.0), n - period)
+    return keep**ages / period
+
+
+def ema_of(closes: np.ndarray, span: int) -> float:
+    return float(closes @ _ema_weights(len(closes), span))
+
+
+def rsi_of(closes: np.ndarray, period: int = 14) -> float | None:
     if len(closes) <= period:
         return None
-    steps = [b - a for a, b in zip(closes, closes[1:])]
-    up = sum(s for s in steps[:period] if s > 0) / period
-    down = sum(-s for s in steps[:period] if s < 0) / period
-    for s in steps[period:]:
-        up += (max(s, 0.0) - up) / period
-        down += (max(-s, 0.0) - down) / period
-    return 100.0 if down == 0 else 100.0 - 100.0 / (1.0 + up / down)
+    steps = np.diff(closes)
+    weights = _wilder_weights(len(steps), period)
+    down = float(np.maximum(-steps, 0.0) @ weights)
+    if down == 0:
+        return 100.0
+    return 100.0 - 100.0 / (1.0 + float(np.maximum(steps, 0.0) @ weights) / down)
 
 
 def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
@@ -74,18 +86,28 @@ class IndicatorState(_Recent):
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         bars, out = self.load(), []
+        priced = [c for _, c, _ in bars if c is not None]
         for row in _in_order(rows).itertuples(index=False):
-            bars.append((row.rt, _none(row.close), _none(row.volume)))
-            priced = [c for _, c, _ in bars if c is not None][-self.history :]
-            frame = [(c, v) for rt, c, v in bars if rt >= row.rt - self.frame]
-            out.append((key[0], row.rt, *self._values(bars[-1][1], frame, priced)))
-            bars = self._trim(bars)
-        self.store(bars)
+            close, start = _none(row.close), row.rt - self.frame
+            bars.append((row.rt, close, _none(row.volume)))
+            if close is not None:
+                priced.append(close)
+            frame = [(c, v) for _, c, v in takewhile(lambda b: b[0] >= start, reversed(bars))]
+            history = np.array(priced[-self.history :])
+            out.append((key[0], row.rt, *self._values(close, frame, history)))
+        self.store(self._trim(bars))
         yield pd.DataFrame(out, columns=[f.split()[0] for f in INDICATOR_SCHEMA.split(", ")])
 
     def _trim(self, bars):
-        floor = bars[-1][0] - self.frame
-        return [b for i, b in enumerate(bars) if i >= len(bars) - self.history or b[0] >= floor]
+        """Bars that a later bar can still reach: the frame, and the history."""
+        start = bars[-1][0] - self.frame
+        kept, priced = [], 0
+        for bar in reversed(bars):
+            if bar[0] < start and priced >= self.history:
+                break
+            kept.append(bar)
+            priced += bar[1] is not None
+        return kept[::-1]
 
     @staticmethod
     def _values(close, frame, priced):
@@ -100,6 +122,7 @@ class IndicatorState(_Recent):
             return (close, mean, None, None, None, None, mean, *bands, vwap, None)
         fast, slow = ema_of(priced, 12), ema_of(priced, 26)
         ret = priced[-1] - priced[-2] if len(priced) > 1 else None
+        ret = None if ret is None else float(ret)
         return (close, mean, fast, slow, fast - slow, rsi_of(priced), mean, *bands, vwap, ret)
 
 
@@ -146,7 +169,7 @@ RUN_SCHEMA = (
 
 
 def _stateful(bars: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
-    ship_package(bars.sparkSession)
+    ship_package()
     return (
         bars.select("symbol", "rt", "close", "volume")
         .groupBy("symbol")
