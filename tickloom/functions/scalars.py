@@ -10,6 +10,11 @@ def guarded_ratio(num: Column, den: Column) -> Column:
     return F.when(den > 0, num / den)
 
 
+def ratio(num: Column, den: Column) -> Column:
+    """``num / den``, null for a zero denominator."""
+    return F.try_divide(num, den)
+
+
 def percent_change(before: Column, after: Column) -> Column:
     """Change in percent, null unless ``before`` is positive."""
     return guarded_ratio(after - before, before) * 100

@@ -113,29 +113,30 @@ def ladder(
     """All rungs, each built from the 1-minute bars and not from raw records.
 
     The minute bars are placed once by (symbol, coarsest bin). Every rung's
-    bins nest in that bin, so all rungs aggregate where the bars already lie: a
-    single shuffle of minute bars for the whole ladder, and a busy symbol is
-    spread over its hours.
+    bins nest in that bin, so all rungs aggregate where the bars already lie:
+    one scan and a single shuffle of minute bars for the whole ladder, and a
+    busy symbol is spread over its hours.
     """
     rungs = _minutes(rungs)
     longest = max(rungs.values())
-    nested = all(longest % m == 0 for m in rungs.values())
-    placed = bars_1m.withColumn("_home", bin_start("time", longest * MINUTE_US, closed))
-    if nested:
-        placed = placed.repartition("symbol", "_home")
-    parts = []
-    for screener, minutes in rungs.items():
-        if minutes == 1:
-            parts.append(_rung(bars_1m, screener))
-            continue
-        width = minutes * MINUTE_US
-        binned = placed.withColumn("_bin", bin_start("time", width, closed))
-        home = ["_home"] if nested else []
-        bars = binned.groupBy("symbol", *home, "_bin").agg(*bar_columns(F.col("time")))
-        parts.append(
-            _rung(bars.withColumn("time", label_of(F.col("_bin"), width, label)), screener)
+    if any(longest % m for m in rungs.values()):
+        raise ValueError("every rung must divide the longest one")
+    placed = bars_1m.withColumn("_home", bin_start("time", longest * MINUTE_US, closed)).repartition(
+        "symbol", "_home"
+    )
+    bins = [
+        F.struct(
+            F.lit(name).alias("screener"),
+            label_of(bin_start("time", m * MINUTE_US, closed), m * MINUTE_US, label).alias("label"),
         )
-    return union_all(parts)
+        for name, m in rungs.items()
+    ]
+    return (
+        placed.withColumn("_rung", F.explode(F.array(*bins)))
+        .groupBy("symbol", "_home", F.col("_rung.screener").alias("screener"), F.col("_rung.label").alias("_label"))
+        .agg(*bar_columns(F.col("time")))
+        .select("screener", "symbol", F.col("_label").alias("time"), *OHLCV)
+    )
 
 
 def candle_ladder(

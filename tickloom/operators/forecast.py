@@ -7,6 +7,7 @@ from collections.abc import Callable, Sequence
 import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
+from tickloom.functions.scalars import ratio
 from tickloom.functions.times import plus_minutes
 from tickloom.operators import segments as sg
 from tickloom.operators.serving import latest_n
@@ -206,7 +207,7 @@ def target_scale(df: DataFrame, target: str = "close", key: str = "symbol") -> D
 
 def normalise(df: DataFrame, target: str = "close", key: str = "symbol") -> DataFrame:
     return df.join(target_scale(df, target, key), key).withColumn(
-        f"{target}_scaled", (F.col(target) - F.col("center")) / F.col("scale")
+        f"{target}_scaled", ratio(F.col(target) - F.col("center"), F.col("scale"))
     )
 
 

@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions import folds
-from tickloom.functions.scalars import guarded_ratio
+from tickloom.functions.scalars import guarded_ratio, ratio
 from tickloom.functions.times import MINUTE_US, micros
 from tickloom.operators import segments as sg
 
@@ -31,6 +31,10 @@ def range_indicators(
 
     One RANGE frame, inclusive at both ends, shared by all aggregates.
     """
+    return _range_by_segment(bars, frame_us, keys, deviations).drop(sg.SEGMENT)
+
+
+def _range_by_segment(bars, frame_us, keys, deviations=2.0) -> DataFrame:
     w = sg.segment_window(keys, "_us").rangeBetween(-frame_us, Window.currentRow)
     framed = sg.time_segments(bars.withColumn("_us", micros("time")), "time", frame_us).select(
         "*",
@@ -41,8 +45,9 @@ def range_indicators(
         F.avg("volume").over(w).alias("avg_volume"),
     )
     mean, band = F.col("_mean"), deviations * F.col("_dev")
-    return sg.owned(framed).select(
+    return framed.filter(F.col(sg.OWN)).select(
         *bars.columns,
+        sg.SEGMENT,
         mean.alias("sma20"),
         mean.alias("bb_mid"),
         (mean + band).alias("bb_upper"),
@@ -81,6 +86,7 @@ def recursive_indicators(
     history: int = 300,
     keys: Sequence[str] = KEYS,
     block: int = BLOCK,
+    chunk: str | None = None,
 ) -> DataFrame:
     """``ema<fast>``, ``ema<slow>``, ``macd``, ``rsi<period>`` and ``ret``.
 
@@ -95,7 +101,8 @@ def recursive_indicators(
     the part ahead of the frame is that sum ``history`` rows earlier. Exponents
     count from the start of the block, which keeps them in range.
 
-    A null close gets null values and does not enter the history.
+    A null close gets null values and does not enter the history. ``chunk`` is
+    passed on to ``segments.number_rows`` and dropped.
     """
     ema_names = {fast: f"ema{fast}", slow: f"ema{slow}"}
     added = [*ema_names.values(), "macd", f"rsi{period}", "ret"]
@@ -103,9 +110,11 @@ def recursive_indicators(
     size = min(_block_for(q, history, block) for q in decays)
     reach = history - 1
     if size < reach or period + 1 >= history:
-        return _recursive_by_fold(bars, fast, slow, period, history, keys, added, block)
+        plain = bars.drop(chunk) if chunk else bars
+        return _recursive_by_fold(plain, fast, slow, period, history, keys, added, block)
 
-    numbered, keys = _numbered_history(bars, keys)
+    numbered, keys = _numbered_history(bars, keys, chunk)
+    bars = bars.drop(chunk) if chunk else bars
     seg = sg.row_segments(numbered, before=reach, block=size)
 
     order = sg.segment_window(keys, sg.ROW)
@@ -185,11 +194,14 @@ def recursive_indicators(
     return _null_without_close(bars, values, added)
 
 
-def _numbered_history(bars: DataFrame, keys: Sequence[str]) -> tuple[DataFrame, list[str]]:
+def _numbered_history(
+    bars: DataFrame, keys: Sequence[str], chunk: str | None = None
+) -> tuple[DataFrame, list[str]]:
     """Row numbers among the bars that have a close; the others, if any, form a
     series of their own and so stay out of every frame."""
-    keys = [*keys, "_priced"]
-    return sg.number_rows(bars.withColumn("_priced", F.col("close").isNotNull()), keys, "time"), keys
+    marked = bars.withColumn("_priced", F.col("close").isNotNull())
+    numbered = sg.number_rows(marked, keys, "time", chunk=chunk, counted=F.col("_priced"))
+    return numbered, [*keys, "_priced"]
 
 
 def _null_without_close(bars: DataFrame, values: DataFrame, added: Sequence[str]) -> DataFrame:
@@ -227,7 +239,8 @@ INDICATOR_COLUMNS = (
 
 def indicator_table(bars: DataFrame, frame_us: int = 20 * MINUTE_US) -> DataFrame:
     """All columns of the ``indicators`` table for any set of rungs."""
-    return recursive_indicators(range_indicators(bars, frame_us)).select(*INDICATOR_COLUMNS)
+    ranged = _range_by_segment(bars, frame_us, KEYS)
+    return recursive_indicators(ranged, chunk=sg.SEGMENT).select(*INDICATOR_COLUMNS)
 
 
 def price_change(bars: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
@@ -240,7 +253,7 @@ def price_change(bars: DataFrame, keys: Sequence[str] = KEYS) -> DataFrame:
     return (
         sg.with_previous(bars, keys, "time", {"_before": "close"})
         .withColumn("price_change", change)
-        .withColumn("price_change_pct", change / before * 100)
+        .withColumn("price_change_pct", ratio(change, before) * 100)
         .drop("_before")
     )
 

@@ -11,6 +11,7 @@ import math
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.functions import folds
+from tickloom.functions.scalars import ratio
 from tickloom.functions.times import DAY_US, bin_start, from_micros
 from tickloom.operators.candles import daily
 
@@ -54,7 +55,7 @@ def nominal_volume(days: DataFrame) -> DataFrame:
 
 def log_returns(days: DataFrame) -> DataFrame:
     before = F.lag("close").over(_by_day())
-    return days.withColumn("log_return", F.log(F.col("close") / before))
+    return days.withColumn("log_return", F.log(ratio(F.col("close"), before)))
 
 
 def backfill(days: DataFrame, *columns: str) -> DataFrame:
@@ -108,7 +109,7 @@ def volatility_features(records: DataFrame, seq: str | None = None) -> DataFrame
         "symbol", F.col("time").alias("day"), "hist_vol", "tr", "atr"
     )
     return join_daily(records, features).withColumns(
-        {"tr": F.col("tr") / F.col("close"), "atr": F.col("atr") / F.col("close")}
+        {c: ratio(F.col(c), F.col("close")) for c in ("tr", "atr")}
     )
 
 

@@ -57,6 +57,15 @@ def _earlier(keys: Sequence[str]):
     )
 
 
+def per_chunk(summary: DataFrame) -> DataFrame:
+    """Marks a chunk summary as the hashed side of its join.
+
+    The rows already lie by (key, chunk) from their window, so they are neither
+    moved nor sorted again; each task hashes only the chunks it holds.
+    """
+    return summary.hint("shuffle_hash")
+
+
 def number_rows(
     df: DataFrame,
     keys: Sequence[str],
@@ -64,22 +73,38 @@ def number_rows(
     tie_breakers: Sequence[str] = (),
     chunk_us: int = DAY_US,
     name: str = ROW,
+    chunk: str | None = None,
+    counted: Column | None = None,
 ) -> DataFrame:
-    """0-based running row number per key in (time, tie breakers) order."""
+    """0-based running row number per key in (time, tie breakers) order.
+
+    ``chunk`` names a column that already holds chunk numbers, so that rows
+    which lie by (key, chunk) are numbered where they are. With ``counted``,
+    only rows that meet it are numbered; another row gets the number of the
+    last one that did, or 0.
+    """
     keys = list(keys)
-    chunked = df.withColumn(CHUNK, chunk_of(time, chunk_us))
+    if chunk:
+        chunked = df.withColumnRenamed(chunk, CHUNK)
+    else:
+        chunked = df.withColumn(CHUNK, chunk_of(time, chunk_us))
+    one = F.lit(1) if counted is None else F.when(counted, 1)
     before = (
         chunked.groupBy(*keys, CHUNK)
-        .agg(F.count(F.lit(1)).alias("_n"))
+        .agg(F.count(one).alias("_n"))
         .select(
             *keys, CHUNK, F.coalesce(F.sum("_n").over(_earlier(keys)), F.lit(0)).alias("_before")
         )
     )
     inside = Window.partitionBy(*keys, CHUNK).orderBy(time, *tie_breakers)
+    if counted is None:
+        place = F.row_number().over(inside)
+    else:
+        place = F.count(one).over(inside.rowsBetween(Window.unboundedPreceding, 0))
     return (
-        chunked.withColumn("_i", F.row_number().over(inside) - 1)
-        .join(before, [*keys, CHUNK])
-        .withColumn(name, F.col("_before") + F.col("_i"))
+        chunked.withColumn("_i", place - 1)
+        .join(per_chunk(before), [*keys, CHUNK])
+        .withColumn(name, F.greatest(F.col("_before") + F.col("_i"), F.lit(0)))
         .drop("_i", "_before", CHUNK)
     )
 
@@ -129,7 +154,7 @@ def with_previous(
     local = chunked.withColumn("_first", F.row_number().over(inside) == 1)
     for new, column in values.items():
         local = local.withColumn(new, F.lag(column).over(inside))
-    out = local.join(carried, [*keys, CHUNK])
+    out = local.join(per_chunk(carried), [*keys, CHUNK])
     for new in values:
         out = out.withColumn(
             new, F.when(F.col("_first"), F.col(f"_carried.{new}")).otherwise(F.col(new))

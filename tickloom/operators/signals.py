@@ -77,7 +77,7 @@ def run_positions(
     in_force = F.coalesce(F.col("_before") + F.col("_local_break"), F.col("_entry_break"))
     return (
         local.withColumn("_local_break", local_break)
-        .join(edge, [key, sg.CHUNK])
+        .join(sg.per_chunk(edge), [key, sg.CHUNK])
         .withColumn("run_position", row - in_force + 1)
         .select(*bars.columns, "run_position")
     )

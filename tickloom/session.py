@@ -21,6 +21,8 @@ def build_session(app: str = "tickloom", master: str | None = None, **conf) -> S
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # Windows cost much per byte, so small partitions are worth a task.
+        .config("spark.sql.adaptive.coalescePartitions.minPartitionSize", "128k")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
         .config("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
