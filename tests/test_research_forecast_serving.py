@@ -120,3 +120,25 @@ def test_scores(spark):
     assert loss.pinball_30 == pytest.approx((0.3 * 2 + 0.7 * 2) / 2)
     moves = spark.createDataFrame([(1.0, 2.0), (1.0, -2.0), (1.0, None)], "p double, a double")
     assert forecast.directional_accuracy(moves, "p", "a").first().directional_accuracy == pytest.approx(1 / 3)
+
+
+def test_last_market_cap_takes_the_first_open_of_the_last_time(spark):
+    at = T(2024, 1, 1, 9, 0, 30)
+    records = spark.createDataFrame(
+        [("A", at, 7.0, 5), ("A", at, 6.0, 3), ("A", T(2024, 1, 1, 9, 0, 20), 1.0, 1),
+         ("A", T(2024, 1, 1, 8, 0, 50), 2.0, 0)],
+        "symbol string, time timestamp_ntz, open double, seq bigint",
+    )
+    shares = spark.createDataFrame([("A", 1000.0)], "symbol string, shares double")
+    assert research.last_market_cap(records, shares, "seq").first().market_cap == 6.0
+    rows = research.market_cap(records, shares, "seq").filter(F.col("time") == F.lit(at)).collect()
+    assert [r.market_cap for r in rows] == [6.0]
+
+
+def test_a_zero_price_gives_null_not_an_error(spark):
+    df = spark.createDataFrame(
+        [("A", T(2024, 1, i), c, c, c, c, 1.0) for i, c in ((1, 0.0), (2, 5.0), (3, 0.0))],
+        "symbol string, time timestamp_ntz, open double, high double, low double, close double, volume double",
+    )
+    got = research.volatility_features(df).orderBy("time").collect()
+    assert [r.tr for r in got] == [None, 1.0, None]

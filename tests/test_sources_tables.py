@@ -145,3 +145,28 @@ def test_history_is_normalised(spark, tmp_path):
 def test_message_log_options():
     opts = records.kafka_options("host:1", records.TOPICS["ohlc"], maxOffsetsPerTrigger="10")
     assert opts["startingOffsets"] == "earliest" and opts["subscribe"] == "ohvcl_data"
+
+
+@pytest.mark.parametrize("name", sorted(TABLES))
+def test_every_table_is_written_and_read_by_key(spark, tmp_path, name):
+    table = TABLES[name]
+    times_ = {"time", "time_step", "signal_time", "news_time", "handle_time", "public_date", "created_at"}
+    kinds = {c: "timestamp_ntz" for c in times_} | {
+        c: "string" for c in ("screener", "symbol", "id", "signal_type", "side", "detail", "title", "link", "s_content", "label", "model")
+    }
+    columns = [*table.keys, *table.columns]
+
+    def row(version):
+        out = []
+        for c in columns:
+            kind = kinds.get(c, "double")
+            fixed = {"timestamp_ntz": T(2024, 1, 1), "string": "x"}.get(kind, float(version))
+            out.append(f"v{version}" if kind == "string" and c not in table.keys else fixed)
+        return tuple(out)
+
+    schema = ", ".join(f"{c} {kinds.get(c, 'double')}" for c in columns)
+    for version in (1, 2):
+        df = spark.createDataFrame([row(version)], schema)
+        tables.write_batch(df, str(tmp_path), table, version)
+    (got,) = tables.read_table(spark, str(tmp_path), table).select(*columns).collect()
+    assert tuple(got) == row(2)

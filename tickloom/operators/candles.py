@@ -19,6 +19,14 @@ OHLCV = ("open", "high", "low", "close", "volume")
 _SEQ_BITS = 37
 
 
+def _packed(part: Column, seq: str) -> Column:
+    """(microseconds within a minute, sequence number) as one long."""
+    number = F.coalesce(F.col(seq).cast("long"), F.lit(0))
+    return F.when(
+        number.between(0, (1 << _SEQ_BITS) - 1), F.shiftleft(part, _SEQ_BITS) + number
+    ).otherwise(F.raise_error(F.lit(f"{seq} is outside [0, 2^{_SEQ_BITS})")).cast("long"))
+
+
 def arrival_order(time: str, seq: str | None, width_us: int) -> Column:
     """Sort key of the records of one bar: time, then sequence number.
 
@@ -31,11 +39,12 @@ def arrival_order(time: str, seq: str | None, width_us: int) -> Column:
         return F.col(time)
     if width_us > MINUTE_US:
         return F.struct(F.col(time), F.col(seq))
-    number = F.coalesce(F.col(seq).cast("long"), F.lit(0))
-    packed = F.shiftleft(F.pmod(micros(time), F.lit(MINUTE_US)), _SEQ_BITS) + number
-    return F.when(
-        number.between(0, (1 << _SEQ_BITS) - 1), packed
-    ).otherwise(F.raise_error(F.lit(f"{seq} is outside [0, 2^{_SEQ_BITS})")).cast("long"))
+    return _packed(F.pmod(micros(time), F.lit(MINUTE_US)), seq)
+
+
+def recency_order(time: str, seq: str) -> Column:
+    """Sort key within a minute: newest time first, then lowest sequence number."""
+    return _packed(F.lit(MINUTE_US - 1) - F.pmod(micros(time), F.lit(MINUTE_US)), seq)
 
 
 def bar_columns(order: Column) -> list[Column]:

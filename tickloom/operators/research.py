@@ -12,8 +12,8 @@ from pyspark.sql import DataFrame, Window, functions as F
 
 from tickloom.functions import folds
 from tickloom.functions.scalars import ratio
-from tickloom.functions.times import DAY_US, bin_start, from_micros
-from tickloom.operators.candles import daily
+from tickloom.functions.times import DAY_US, MINUTE_US, bin_start, from_micros
+from tickloom.operators.candles import daily, recency_order
 
 TRADING_DAYS = 252
 
@@ -37,8 +37,23 @@ def market_cap(records: DataFrame, shares: DataFrame, seq: str | None = None) ->
     )
 
 
-def last_market_cap(caps: DataFrame) -> DataFrame:
-    return caps.groupBy("symbol").agg(F.max_by("market_cap", "time").alias("market_cap"))
+def last_market_cap(records: DataFrame, shares: DataFrame, seq: str) -> DataFrame:
+    """Market cap per symbol at its last time.
+
+    Two hash aggregations, per minute and per symbol, both combined map-side: no
+    raw record is shuffled.
+    """
+    minute = bin_start("time", MINUTE_US)
+    per_minute = (
+        records.withColumn("_minute", minute)
+        .withColumn("_order", recency_order("time", seq))
+        .groupBy("symbol", "_minute")
+        .agg(F.min_by("open", "_order").alias("open"))
+    )
+    last = per_minute.groupBy("symbol").agg(F.max_by("open", "_minute").alias("last_open"))
+    return last.join(shares.select("symbol", "shares"), "symbol").select(
+        "symbol", (F.col("last_open") * F.col("shares") / 1000.0).alias("market_cap")
+    )
 
 
 def top_symbols(df: DataFrame, metric: str, n: int = 10) -> DataFrame:

@@ -125,17 +125,27 @@ def user_shares(spark, sf):
     )
 
 
-def caps(spark, sf):
-    return research.market_cap(user_ticks(spark, sf), user_shares(spark, sf), "seq")
+def last_caps(spark, sf):
+    return research.last_market_cap(user_ticks(spark, sf), user_shares(spark, sf), "seq")
 
 
 @query(
     "a9_market_cap",
     W(USER_TICKS, USER_SHARES, CAPS)
-    + "SELECT symbol, round(arg_max(market_cap, time), 6) + 0e0 AS market_cap FROM caps GROUP BY symbol",
+    + "SELECT symbol, round(arg_max(market_cap, time), 8) + 0e0 AS market_cap FROM caps GROUP BY symbol",
 )
 def a9(spark, sf):
-    return v.rounded(research.last_market_cap(caps(spark, sf)), "market_cap")
+    return v.rounded(last_caps(spark, sf), "market_cap", digits=8)
+
+
+@query(
+    "a9_market_cap_rows",
+    W(USER_TICKS, USER_SHARES, CAPS)
+    + "SELECT symbol, time, round(market_cap, 8) + 0e0 AS market_cap FROM caps",
+)
+def a9_rows(spark, sf):
+    out = research.market_cap(user_ticks(spark, sf), user_shares(spark, sf), "seq")
+    return v.rounded(out.select("symbol", "time", "market_cap"), "market_cap", digits=8)
 
 
 VOLATILITY = """rets AS (

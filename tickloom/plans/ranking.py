@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tickloom.operators import candles, forecast, indicators, news, research, serving, signals
 from tickloom.plans import views as v
-from tickloom.plans.aggregates import CAPS, NAIVE, SIGNAL_UNION, SIGNALS_1H, USER_SHARES, USER_TICKS, caps, naive
+from tickloom.plans.aggregates import CAPS, NAIVE, SIGNAL_UNION, SIGNALS_1H, USER_SHARES, USER_TICKS, last_caps, naive
 from tickloom.plans.registry import query
 
 W = v.with_
@@ -135,13 +135,13 @@ def k5(spark, sf):
 @query(
     "k6_top_market_cap",
     W(USER_TICKS, USER_SHARES, CAPS)
-    + """SELECT symbol, round(market_cap, 6) + 0e0 AS market_cap
+    + """SELECT symbol, round(market_cap, 8) + 0e0 AS market_cap
 FROM (SELECT symbol, arg_max(market_cap, time) AS market_cap FROM caps GROUP BY symbol)
 ORDER BY market_cap DESC, symbol LIMIT 10""",
 )
 def k6(spark, sf):
-    last = research.last_market_cap(caps(spark, sf))
-    return v.rounded(research.top_symbols(last, "market_cap", 10), "market_cap")
+    last = last_caps(spark, sf)
+    return v.rounded(research.top_symbols(last, "market_cap", 10), "market_cap", digits=8)
 
 
 @query(

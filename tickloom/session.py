@@ -42,13 +42,17 @@ def wall_clock(spark: SparkSession) -> SparkSession:
 
 
 def streaming_session(spark: SparkSession) -> SparkSession:
-    """A sibling session (same context, own settings) for stateful queries."""
+    """A sibling session (same context, own settings) for stateful queries.
+
+    A stateful job keeps its partition count for life and pays for every one in
+    every batch, so there are at most two per core.
+    """
     sibling = spark.newSession()
     wall_clock(sibling)
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    sibling.conf.set(
-        "spark.sql.shuffle.partitions", spark.conf.get("spark.sql.shuffle.partitions")
-    )
+    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    cores = spark.sparkContext.defaultParallelism
+    sibling.conf.set("spark.sql.shuffle.partitions", str(min(wanted, 2 * cores)))
     return sibling
 
 
