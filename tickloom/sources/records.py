@@ -73,16 +73,14 @@ def decode(
 ) -> DataFrame:
     """JSON values to columns, without tombstones and without bad records.
 
-    A malformed value decodes to a row of nulls, so it is known by its missing
-    key fields.
+    A tombstone or a malformed value decodes to a row of nulls, so it is known
+    by its missing key fields. The value is unpacked with ``inline`` and not with a star: a
+    filter on a plain projection is pushed below it and would parse every value
+    again for each key field.
     """
     rest = [c for c in raw.columns if c != value]
-    rows = (
-        raw.filter(F.col(value).isNotNull())
-        .select(*rest, F.from_json(F.col(value).cast("string"), schema).alias("_r"))
-        .select(*rest, "_r.*")
-    )
-    return rows.dropna(subset=list(required))
+    parsed = F.from_json(F.col(value).cast("string"), schema)
+    return raw.select(*rest, F.inline(F.array(parsed))).dropna(subset=list(required))
 
 
 def encode(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
