@@ -8,7 +8,7 @@ import pandas as pd
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tickloom.functions.scalars import ratio
-from tickloom.functions.times import plus_minutes
+from tickloom.functions.times import HOUR_US, plus_minutes
 from tickloom.operators import segments as sg
 from tickloom.operators.serving import latest_n
 from tickloom.session import ship_package
@@ -23,9 +23,18 @@ SERIES = ("screener", "symbol")
 BAR = ("open", "high", "low", "close", "volume")
 
 
-def with_time_idx(df: DataFrame, keys: Sequence[str] = ("symbol",)) -> DataFrame:
-    """``time_idx``: 0-based running row count per key in time order."""
-    return sg.number_rows(df, keys, "time", name="time_idx")
+def with_time_idx(
+    df: DataFrame,
+    keys: Sequence[str] = ("symbol",),
+    tie_breakers: Sequence[str] = (),
+    chunk_us: int = HOUR_US,
+) -> DataFrame:
+    """``time_idx``: 0-based running row count per key in time order.
+
+    A chunk of one key is one task's work; raw records at a high rate want
+    chunks of a minute.
+    """
+    return sg.number_rows(df, keys, "time", tie_breakers, chunk_us, "time_idx")
 
 
 def split_by_time(df: DataFrame, train_end: str, validation_end: str) -> DataFrame:

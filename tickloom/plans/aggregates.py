@@ -183,7 +183,7 @@ features AS (
 WHERE hist_vol IS NOT NULL AND atr IS NOT NULL""",
 )
 def a10(spark, sf):
-    features = research.volatility_features(v.ticks(spark, sf))
+    features = research.volatility_features(v.ticks(spark, sf), "seq")
     return v.rounded(research.volatility_summary(features), "hist_vol", "atr")
 
 

@@ -17,9 +17,7 @@ W = v.with_
 @query(
     "f1_spike_detail",
     W(v.TICKS, v.BARS_1H, v.sql_range("bars_1h"))
-    + """SELECT symbol, time, 'volume gap ' || CAST(round(
-  CAST(volume / nullif(avg_volume, 0) AS DECIMAL(38, 14)), 2)::DOUBLE AS VARCHAR) || 'x' AS detail
-FROM ind""",
+    + f"SELECT symbol, time, {v.SPIKE_DETAIL} AS detail FROM ind",
 )
 def f1(spark, sf):
     bars = indicators.range_indicators(v.hour_bars(spark, sf), v.FRAME_US)
@@ -110,7 +108,7 @@ def f8(spark, sf):
 @query(
     "f9_round",
     "SELECT l_orderkey, l_linenumber, l_partkey, "
-    "round(CAST(l_extendedprice / 7 AS DECIMAL(38, 14)), 2)::DOUBLE AS price FROM lineitem",
+    f"{v.sql_half_up('l_extendedprice / 7')} AS price FROM lineitem",
 )
 def f9(spark, sf):
     return v.table(spark, sf, "lineitem").select(

@@ -55,7 +55,7 @@ def hour_bars(spark, sf_dir) -> DataFrame:
 
 
 def day_bars(spark, sf_dir) -> DataFrame:
-    return candles.daily(ticks(spark, sf_dir))
+    return candles.daily(ticks(spark, sf_dir), seq="seq")
 
 
 def as_news(ticks_: DataFrame) -> DataFrame:
@@ -218,12 +218,22 @@ def sql_trend(source: str, up: bool = True, name: str = "trend", length: int = 3
   FROM {name}_places WHERE place % {length} = 0)"""
 
 
+def sql_half_up(expr: str) -> str:
+    """Two decimals, half up on the shortest decimal form of the double."""
+    return f"CAST(round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 20)), 2) AS DOUBLE)"
+
+
+SPIKE_DETAIL = (
+    f"'volume gap ' || CAST({sql_half_up('volume / nullif(avg_volume, 0)')} AS VARCHAR) || 'x'"
+)
+
 SPIKES = """spikes AS (
   SELECT symbol, date_trunc('millisecond', time) AS signal_time,
          'VOLUME_SPIKE' AS signal_type, 'WATCH' AS side, close AS price,
-         'volume gap ' || CAST(round(volume / nullif(avg_volume, 0), 2) AS VARCHAR)
-         || 'x' AS detail
-  FROM ind WHERE avg_volume IS NOT NULL AND volume > 3 * avg_volume)"""
+         {detail} AS detail
+  FROM ind WHERE avg_volume IS NOT NULL AND volume > 3 * avg_volume)""".format(
+    detail=SPIKE_DETAIL
+)
 
 
 def with_(*parts: str) -> str:

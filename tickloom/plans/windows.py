@@ -5,9 +5,9 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from tickloom.functions import folds
+from tickloom.functions.times import MINUTE_US
 from tickloom.operators import indicators as ind
 from tickloom.operators import forecast, research, signals
-from tickloom.operators.candles import daily
 from tickloom.plans import views as v
 from tickloom.plans.aggregates import SIGNALS_1H, VOLATILITY
 from tickloom.plans.registry import query
@@ -190,7 +190,7 @@ def w16(spark, sf):
     + "SELECT symbol, time, round(tr, 6) + 0e0 AS tr, round(atr, 6) + 0e0 AS atr FROM features",
 )
 def w17(spark, sf):
-    return daily_pick(research.volatility_features(v.ticks(spark, sf)), "tr", "atr")
+    return daily_pick(research.volatility_features(v.ticks(spark, sf), "seq"), "tr", "atr")
 
 
 @query(
@@ -216,7 +216,8 @@ def w17_wilder(spark, sf):
 FROM ticks""",
 )
 def w18(spark, sf):
-    return forecast.with_time_idx(v.ticks(spark, sf).select("symbol", "time"))
+    rows = v.ticks(spark, sf).select("symbol", "time", "seq")
+    return forecast.with_time_idx(rows, tie_breakers=["seq"], chunk_us=MINUTE_US).drop("seq")
 
 
 @query(
@@ -283,7 +284,7 @@ CLOSES = """closes AS (SELECT symbol, list(close ORDER BY time) AS l FROM days G
 
 
 def day_closes(spark, sf):
-    days = daily(v.ticks(spark, sf)).groupBy("symbol").agg(
+    days = v.day_bars(spark, sf).groupBy("symbol").agg(
         F.sort_array(F.collect_list(F.struct("time", "close"))).alias("_days")
     )
     return days.select("symbol", F.col("_days.close").alias("closes"))
