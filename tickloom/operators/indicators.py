@@ -31,10 +31,14 @@ def range_indicators(
 
     One RANGE frame, inclusive at both ends, shared by all aggregates.
     """
-    return _range_by_segment(bars, frame_us, keys, deviations).drop(sg.SEGMENT)
+    return range_by_segment(bars, frame_us, keys, deviations).drop(sg.SEGMENT)
 
 
-def _range_by_segment(bars, frame_us, keys, deviations=2.0) -> DataFrame:
+def range_by_segment(
+    bars: DataFrame, frame_us: int, keys: Sequence[str], deviations: float = 2.0
+) -> DataFrame:
+    """``range_indicators`` with the time segment of every row, for a further
+    step that works in the same segments."""
     w = sg.segment_window(keys, "_us").rangeBetween(-frame_us, Window.currentRow)
     framed = sg.time_segments(bars.withColumn("_us", micros("time")), "time", frame_us).select(
         "*",
@@ -239,7 +243,7 @@ INDICATOR_COLUMNS = (
 
 def indicator_table(bars: DataFrame, frame_us: int = 20 * MINUTE_US) -> DataFrame:
     """All columns of the ``indicators`` table for any set of rungs."""
-    ranged = _range_by_segment(bars, frame_us, KEYS)
+    ranged = range_by_segment(bars, frame_us, KEYS)
     return recursive_indicators(ranged, chunk=sg.SEGMENT).select(*INDICATOR_COLUMNS)
 
 

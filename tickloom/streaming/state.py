@@ -17,7 +17,7 @@ import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
-from tickloom.operators.signals import FALLING, RISING, SPIKE, spike_detail
+from tickloom.operators.signals import triggered
 from tickloom.session import ship_package
 
 HISTORY = 300
@@ -196,28 +196,8 @@ def signals(bars: DataFrame, frame_minutes: int = 20, length: int = 3) -> DataFr
 
     One stateful pass; each row then gives the signals it triggers.
     """
-    average, volume = F.col("avg_volume"), F.col("volume")
-
-    def hit(when, name, side, detail):
-        return F.when(
-            when, F.struct(F.lit(name).alias("t"), F.lit(side).alias("s"), detail.alias("d"))
-        )
-
-    hits = F.array(
-        hit(F.col("up") % length == 0, *RISING[:2], F.lit(RISING[2])),
-        hit(F.col("down") % length == 0, *FALLING[:2], F.lit(FALLING[2])),
-        hit(volume > 3 * average, *SPIKE, spike_detail(volume, average)),
-    )
-    return runs(bars, frame_minutes).select(
-        "symbol",
-        "rt",
-        F.col("close").alias("price"),
-        F.explode(F.array_compact(hits)).alias("_h"),
-    ).select(
-        "symbol",
-        "rt",
-        F.col("_h.t").alias("signal_type"),
-        F.col("_h.s").alias("side"),
-        "price",
-        F.col("_h.d").alias("detail"),
+    hits = triggered(*[F.col(c) for c in ("up", "down", "volume", "avg_volume")], length)
+    rows = runs(bars, frame_minutes).select(
+        "symbol", "rt", F.col("close").alias("price"), F.explode(hits).alias("_hit")
     )
+    return rows.select("symbol", "rt", "_hit.signal_type", "_hit.side", "price", "_hit.detail")
