@@ -272,3 +272,69 @@ def x11(spark, sf):
         bars = flows.settle(flows.minute_bars(price_stream(s, sf), "seq"))
         run(tables.append_query(bars, f"{path}/data", f"{path}/checkpoint"))
     return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/data")
+
+
+CLOSED_BARS = W(v.TICKS, CLOSED, v.BARS_1M, CLOSED_1M) + f"SELECT {BAR} FROM closed"
+
+
+@query("x9_late_records", CLOSED_BARS)
+def x9(spark, sf):
+    """Every record arrives a second time, after its window has closed: the late
+    copies change nothing."""
+    s = streaming_session(spark)
+    path = fresh_path(s, "late")
+    rows = v.ticks(spark, sf)
+    for _ in range(2):
+        rows.write.mode("append").parquet(f"{path}/in")
+        source = records.table_stream(s, f"{path}/in", rows.schema)
+        bars = flows.settle(flows.minute_bars(flows.timed(source, "time", flows.PRICE_DELAY), "seq"))
+        run(tables.append_query(bars, f"{path}/out", f"{path}/checkpoint"))
+    return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/out")
+
+
+@query("x10_idle_source", CLOSED_BARS)
+def x10(spark, sf):
+    """A second source that never has a record does not hold windows open."""
+    s = streaming_session(spark, idle_sources=True)
+    idle = flows.timed(tick_stream(s, sf).filter(F.col("event_type") == "none"), "time", flows.NEWS_DELAY)
+    both = price_stream(s, sf).unionByName(idle)
+    path = fresh_path(s, "idle")
+    bars = flows.settle(flows.minute_bars(both, "seq"))
+    run(tables.append_query(bars, f"{path}/out", f"{path}/checkpoint"))
+    return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/out")
+
+
+@query(
+    "x12_updates_merged",
+    W(v.TICKS, v.sql_bars("bars_15m", "15m", 15)) + f"SELECT screener, {BAR} FROM bars_15m",
+)
+def x12(spark, sf):
+    """Bars as a changelog over two batches that meet inside a window: the later
+    version of a bar replaces the earlier one."""
+    s = streaming_session(spark)
+    path = fresh_path(s, "changes")
+    rows = v.ticks(spark, sf)
+    cut = F.lit("2024-01-15 12:07:00").cast("timestamp_ntz")
+    for part in (F.col("time") < cut, F.col("time") >= cut):
+        rows.filter(part).write.mode("append").parquet(f"{path}/in")
+        source = flows.timed(
+            records.table_stream(s, f"{path}/in", rows.schema), "time", flows.PRICE_DELAY
+        )
+        bars = (
+            source.groupBy("symbol", F.window("time", "15 minutes").alias("window"))
+            .agg(*flows.bar_columns(F.col("time")))
+            .select(F.lit("15m").alias("screener"), "symbol", F.window_time("window").alias("rt"), *OHLCV)
+        )
+        run(tables.upsert_query(flows.settle(bars), path, "ohlvc", f"{path}/checkpoint", output_mode="update"))
+    return tables.read_table(v.wall_clock(spark), path, TABLES["ohlvc"])
+
+
+@query("x13_offsets_kept", W(v.TICKS) + "SELECT symbol, time, close, seq FROM ticks")
+def x13(spark, sf):
+    """A restarted job goes on behind the records it has written."""
+    s = streaming_session(spark)
+    path = fresh_path(s, "offsets")
+    for _ in range(2):
+        rows = tick_stream(s, sf).select("symbol", "time", "close", "seq")
+        run(tables.append_query(rows, f"{path}/out", f"{path}/checkpoint"))
+    return v.wall_clock(spark).read.schema(rows.schema).parquet(f"{path}/out")

@@ -34,7 +34,7 @@ def as_ticks(events: DataFrame) -> DataFrame:
         F.concat(F.lit("S"), (F.col("user_id") % 10).cast("string")).alias("symbol"),
         F.col("ts").alias("time"),
         *price,
-        F.get_json_object("props", "$.k").cast("double").alias("volume"),
+        F.get_json_object("props", "$.k").try_cast("double").alias("volume"),
         F.col("event_id").alias("seq"),
         "event_type",
     )
