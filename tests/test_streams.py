@@ -127,3 +127,54 @@ def test_updates_merge_by_key(spark, tmp_path, feed):
     query.trigger(availableNow=True).start().awaitTermination()
     want = candles.candle_ladder(spark.createDataFrame(rows, SCHEMA), "seq").filter("screener = '30m'")
     same(tables.read_table(spark, root, TABLES["ohlvc"]).select(*want.columns), want)
+
+
+def test_news_impact_over_batches_equals_batch_and_drops_its_state(spark, tmp_path, feed):
+    from tickloom.operators.news import news_impact
+
+    rows = rows_of(1200)
+    source = feed(chunks(rows, 4))
+    is_news = F.col("seq") % 40 == 7
+
+    def items(df, time):
+        return df.filter(is_news).select(
+            "symbol", F.col("seq").cast("string").alias("id"), F.col(time).alias("event_time"),
+            F.lit("t").alias("title"), F.lit("l").alias("link"),
+        )
+
+    news = items(source(), "time")  # keeps the watermark of the record time
+    out = str(tmp_path / "impact")
+    query = (
+        tables.append_query(flows.news_impact(news, source().filter(~is_news), seq="seq"), out, f"{out}-cp")
+        .trigger(availableNow=True)
+        .start()
+    )
+    query.awaitTermination()
+    join = [
+        op for p in query.recentProgress for op in p["stateOperators"] if op["operatorName"] == "symmetricHashJoin"
+    ]
+    assert max(op["numRowsTotal"] for op in join) < len(rows) / 2
+
+    batch = spark.createDataFrame(rows, SCHEMA)
+    want = news_impact(items(batch, "time"), batch.filter(~is_news), seq="seq")
+    got = spark.read.parquet(out)
+    last = max(r[1] for r in rows if r[7] % 40 == 7) - timedelta(minutes=16)
+    done = want.filter(F.col("news_time") <= F.lit(last))
+    assert done.count() >= 20
+    assert done.join(got, ["symbol", "id", "news_time", "price_before", "price_after", "n_candles"], "left_anti").count() == 0
+    assert got.join(want, got.columns, "left_anti").count() == 0
+
+
+def test_longer_rungs_over_stored_bars(spark, tmp_path, feed):
+    rows = rows_of(600)
+    source = feed(chunks(rows, 2))
+    bars = flows.settle(flows.minute_bars(source(), "seq"))
+    stored = drain(spark, tmp_path, bars, "bars")
+    s = streaming_session(spark)
+    again = flows.timed(
+        records.table_stream(s, str(tmp_path / "bars"), bars.schema), "time", flows.CANDLE_DELAY
+    )
+    got = drain(spark, tmp_path, flows.stored_ladder(again), "rungs")
+    mark = stored.agg(F.max("time")).first()[0] - timedelta(seconds=5)
+    want = candles.ladder(stored).filter("screener <> '1m'")
+    same(got, want.filter(F.col("time") + F.expr("INTERVAL '0.001' SECOND") <= F.lit(mark)))
