@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact, licences, mixing, pieces, quality, secrets, simhash, token_files
+from tickloom.llm import exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
 from tickloom.llm.common import documents
 from tickloom.session import fresh_path
 
@@ -41,6 +41,11 @@ def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
     return simhash.near_duplicates(documents(spark, sf_dir))
 
 
+@query("op2_repeated_substrings")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substrings.remove_repeats(documents(spark, sf_dir))
+
+
 @query("op3_token_files")
 def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = fresh_path(spark, "token-files")
