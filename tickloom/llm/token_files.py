@@ -41,8 +41,10 @@ SAMPLE_DOCUMENTS = 400
 SAMPLE_CHARS = 20_000
 DICTIONARY_BYTES = 1 << 16
 LEVEL = 3
+#: Texts whose new words are encoded together.
+TEXTS_TOGETHER = 512
 #: What a Python worker remembers of words and of their letters.
-REMEMBERED_WORDS = 400_000
+REMEMBERED_WORDS = 800_000
 REMEMBERED_CORES = 1_000_000
 _SEPARATOR = "<|endoftext|>"
 _MARKS = ".,;:!?"
@@ -50,12 +52,14 @@ _MARKS = ".,;:!?"
 
 class WordEncoder:
     """Encodes whole texts with a ``tokenizers`` file whose pre-tokenizer drops white
-    space, so that a text's ids are those of its words, one after the other.
-
-    Words not seen before are encoded together, with a special token between them:
-    it is cut out before anything is normalised, so each word is encoded as alone.
-    A word of Latin letters and marks after them is remembered by its parts, since
-    the pre-tokenizer separates these and lower-cases the letters.
+    space and ends every word with a ``</w>`` token, so that a text's ids are those
+    of its words, one after the other.
+
+    Words not seen before are encoded together. A word of Latin letters and marks
+    after them is remembered by its parts, since the pre-tokenizer separates these
+    and lower-cases the letters; runs of letters are one pre-token each, so they go
+    in joined by blanks and their ids are cut after each word end. All other words
+    are joined by a special token, which is cut out before anything is normalised.
     """
 
     def __init__(self, path: str):
@@ -66,62 +70,77 @@ class WordEncoder:
 
         self.tokenizer = Tokenizer.from_file(path)
         self.separator = self.tokenizer.token_to_id(_SEPARATOR)
+        known = self.tokenizer.get_vocab(with_added_tokens=True)
+        self.ends = np.zeros(max(known.values()) + 1, bool)
+        for token, number in known.items():
+            self.ends[number] = token.endswith("</w>")
         self.words: dict[str, bytes] = {}
         self.cores: dict[str, bytes] = {}
 
-    def encode_words(self, words: list[str]) -> list[bytes]:
+    def _ids(self, texts: list[str]) -> list[np.ndarray]:
+        found = self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)
+        return [np.array(x.ids, "<u4") for x in found]
+
+    @staticmethod
+    def _pieces(ids: np.ndarray, starts: np.ndarray, ends: np.ndarray) -> list[bytes]:
+        raw = ids.tobytes()
+        return [raw[a:b] for a, b in zip((4 * starts).tolist(), (4 * ends).tolist(), strict=True)]
+
+    def encode_cores(self, cores: list[str]) -> list[bytes]:
+        """Of lower-case runs of Latin letters."""
         out: list[bytes] = []
+        groups = [cores[at : at + 1024] for at in range(0, len(cores), 1024)]
+        for group, ids in zip(groups, self._ids([" ".join(g) for g in groups]), strict=True):
+            ends = np.flatnonzero(self.ends[ids]) + 1
+            if len(ends) == len(group):
+                out += self._pieces(ids, np.concatenate(([0], ends[:-1])), ends)
+            else:
+                out += self.encode_words(group)
+        return out
+
+    def encode_words(self, words: list[str]) -> list[bytes]:
+        """Of any words without white space."""
         plain = [w for w in words if "<|" not in w]
         found: list[bytes] = []
-        for first in range(0, len(plain), 1024):
-            part = plain[first : first + 1024]
-            joined = self.tokenizer.encode(_SEPARATOR.join(part), add_special_tokens=False).ids
-            ids = np.array(joined, "<u4")
+        for ids in self._ids([_SEPARATOR.join(plain[at : at + 1024]) for at in range(0, len(plain), 1024)]):
             cut = np.flatnonzero(ids == self.separator)
-            for a, b in zip([0, *(cut + 1)], [*cut, len(ids)], strict=True):
-                found.append(ids[a:b].tobytes())
+            found += self._pieces(ids, np.concatenate(([0], cut + 1)), np.concatenate((cut, [len(ids)])))
         at = iter(found)
-        for w in words:
-            if "<|" in w:
-                out.append(np.array(self.tokenizer.encode(w, add_special_tokens=False).ids, "<u4").tobytes())
-            else:
-                out.append(next(at))
-        return out
-
-    @staticmethod
-    def parts(word: str) -> tuple[str, str]:
-        """The letters, in lower case, and the marks after them; or the word itself."""
-        core = word.rstrip(_MARKS)
-        if core.isalpha() and max(core) < "Ā":
-            return core.lower(), word[len(core) :]
-        return word, ""
+        return [self._ids([w])[0].tobytes() if "<|" in w else next(at) for w in words]
 
     def learn(self, words: list[str]) -> None:
-        split = {w: self.parts(w) for w in words}
         if len(self.cores) > REMEMBERED_CORES:
             self.cores.clear()
-        new = list(dict.fromkeys(x for pair in split.values() for x in pair if x and x not in self.cores))
-        self.cores.update(zip(new, self.encode_words(new), strict=True))
-        if len(self.words) > REMEMBERED_WORDS:
-            self.words.clear()
-        for w, (core, marks) in split.items():
-            self.words[w] = self.cores[core] + (self.cores[marks] if marks else b"")
+        split, other = [], []
+        for w in words:
+            core = w.rstrip(_MARKS)
+            if core.isalpha() and max(core) < "\u0100":
+                split.append((w, core.lower(), w[len(core) :]))
+            else:
+                other.append(w)
+        cores = self.cores
+        new = [c for c in dict.fromkeys(c for _, c, _ in split) if c not in cores]
+        cores.update(zip(new, self.encode_cores(new), strict=True))
+        marks = [m for m in {m for _, _, m in split} if m and m not in cores]
+        cores.update(zip(marks, self.encode_words(marks), strict=True))
+        self.words.update((w, cores[c] + cores[m] if m else cores[c]) for w, c, m in split)
+        self.words.update(zip(other, self.encode_words(other), strict=True))
 
     def encode_batch(self, texts: list[str]) -> list[bytes]:
         """Per text its ids and END_ID, as little-endian 32-bit integers."""
-        out = []
+        if len(self.words) > REMEMBERED_WORDS:
+            self.words.clear()
+        known = self.words
+        known[""] = b""
+        # Only characters that every tokenizer takes for white space cut words.
+        cut = [t.replace("\n", " ").split(" ") for t in texts]
+        new: set[str] = set()
+        for words in cut:
+            new.update(set(words).difference(known))
+        if new:
+            self.learn(sorted(new))
         end = struct.pack("<I", END_ID)
-        for text in texts:
-            # Only characters that every tokenizer takes for white space cut words.
-            words = text.replace("\n", " ").split(" ")
-            known = self.words
-            new = [w for w in dict.fromkeys(words) if w and w not in known]
-            if new:
-                self.learn(new)
-                if len(new) < len(words) and not all(w in known for w in words if w):
-                    self.learn([w for w in dict.fromkeys(words) if w])
-            out.append(b"".join([known[w] for w in words if w]) + end)
-        return out
+        return [b"".join(map(known.__getitem__, words)) + end for words in cut]
 
 
 def _encoder(path: str) -> WordEncoder:
@@ -151,7 +170,8 @@ def train_dictionary(docs: DataFrame, tokenizer: str, id_col: str = "doc_id", te
             found = b""
         yield pa.RecordBatch.from_arrays([pa.array([found], pa.binary())], ["dictionary"])
 
-    return bytes(sample.select("text").mapInArrow(run, "dictionary binary").first()["dictionary"])
+    row = sample.select("text").mapInArrow(run, "dictionary binary").first()
+    return bytes(row["dictionary"]) if row else b""
 
 
 def _compressor(dictionary: bytes) -> zstandard.ZstdCompressor:
@@ -229,17 +249,17 @@ def write_token_files(
             return pa.RecordBatch.from_arrays(columns, names)
 
         for batch in batches:
-            doc_ids = batch.column("doc_id").to_pylist()
-            texts = batch.column("text")
-            for at, doc_id in enumerate(doc_ids):
-                raw = encoder.encode_batch([texts[at].as_py()])[0]
-                ids.append(doc_id)
-                counts.append(len(raw) // 4)
-                frames.append(compressor.compress(raw))
-                size += len(frames[-1])
-                if size >= BLOCK_BYTES:
-                    yield close()
-                    number, size, ids, frames, counts = number + 1, 0, [], [], []
+            for at in range(0, batch.num_rows, TEXTS_TOGETHER):
+                part_rows = batch.slice(at, TEXTS_TOGETHER)
+                encoded = encoder.encode_batch(part_rows.column("text").to_pylist())
+                for doc_id, raw in zip(part_rows.column("doc_id").to_pylist(), encoded, strict=True):
+                    ids.append(doc_id)
+                    counts.append(len(raw) // 4)
+                    frames.append(compressor.compress(raw))
+                    size += len(frames[-1])
+                    if size >= BLOCK_BYTES:
+                        yield close()
+                        number, size, ids, frames, counts = number + 1, 0, [], [], []
         if ids:
             yield close()
 
