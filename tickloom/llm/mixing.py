@@ -101,7 +101,11 @@ def mix(
         .withColumn("certain", F.floor("wish"))
         .withColumn("order", F.when((fraction > 0) & (F.col("size") > 0), order))
         .withColumn(
-            "bucket", F.least(F.floor(F.col("order") / (1 + F.col("order")) * buckets), F.lit(buckets - 1))
+            "bucket",
+            F.when(
+                F.col("order").isNotNull(),
+                F.least(F.floor(F.col("order") / (1 + F.col("order")) * buckets), F.lit(buckets - 1)),
+            ),
         )
         .drop("_of", "wish")
     )

@@ -173,8 +173,9 @@ def _compare(near: int):
 
 
 def near_links(prints: DataFrame, near: int = NEAR, tile: int = TILE) -> DataFrame:
-    """Links a, b between the distinct fingerprints ``fp``: enough to join all that
-    differ in at most ``near`` (3 or less) bits, over chains of such links."""
+    """Links a, b between the distinct fingerprints ``fp``: they join the same
+    fingerprints as the pairs that differ in at most ``near`` (3 or less) bits. The
+    ends of one link may differ more, if such pairs lead from one to the other."""
     if not 0 <= near <= NEAR:
         raise ValueError(f"near must lie between 0 and {NEAR}")
     ship()
