@@ -170,3 +170,15 @@ def test_every_table_is_written_and_read_by_key(spark, tmp_path, name):
         tables.write_batch(df, str(tmp_path), table, version)
     (got,) = tables.read_table(spark, str(tmp_path), table).select(*columns).collect()
     assert tuple(got) == row(2)
+
+
+def test_two_writers_share_a_table(spark, tmp_path):
+    from datetime import datetime
+
+    table, root, at = TABLES["ohlvc"], str(tmp_path), datetime(2024, 1, 1)
+    tables.write_batch(candle(spark, ("1m", "A", at, 1.0)), root, table, 0, writer="stream-a")
+    tables.bulk_write(candle(spark, ("1m", "B", at, 2.0)), root, table)
+    tables.write_batch(candle(spark, ("1m", "A", at, 3.0)), root, table, 0, writer="stream-b")
+    assert {(r.symbol, r.close) for r in tables.read_table(spark, root, table).collect()} == {("A", 3.0), ("B", 2.0)}
+    assert tables.read_key(spark, root, table, symbol="A", close=1.0).count() == 0
+    assert tables.read_key(spark, root, table, close=3.0).count() == 1

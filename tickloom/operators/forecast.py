@@ -50,7 +50,8 @@ def split_by_time(df: DataFrame, train_end: str, validation_end: str) -> DataFra
 
 def minutes_of(screener: str | Column, rungs: dict[str, int] | None = None) -> Column:
     c = F.col(screener) if isinstance(screener, str) else screener
-    out = F.lit(None).cast("long")
+    unknown = F.raise_error(F.concat(F.lit("unknown screener: "), c)).cast("long")
+    out = F.when(c.isNull(), F.lit(None).cast("long")).otherwise(unknown)
     for name, minutes in (rungs or FORECAST_MINUTES).items():
         out = F.when(c == name, F.lit(minutes).cast("long")).otherwise(out)
     return out

@@ -68,13 +68,16 @@ _local_folder: list[str] = []
 def shared_folder(spark: SparkSession) -> str:
     """The cluster's shared folder, as ``spark.checkpoint.dir`` names it.
 
-    Only where that is unset, as in local tests, a temporary folder is used.
+    Only where that is unset and all runs in one process, as in local tests, a
+    temporary folder is used.
     """
     folder = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getConf().get(
         "spark.checkpoint.dir"
     )
     if folder:
         return folder
+    if not spark.sparkContext.master.startswith("local"):
+        raise RuntimeError("set spark.checkpoint.dir to a folder that all executors share")
     if not _local_folder:
         _local_folder.append(tempfile.mkdtemp(prefix="tickloom-"))
     return _local_folder[0]

@@ -122,20 +122,22 @@ def news_table(raw: DataFrame) -> DataFrame:
 
 def order_book_records(raw: DataFrame) -> DataFrame:
     rows = decode(raw, schemas.ORDER_BOOK_RECORD, ("symbol", "handle_time"))
-    return rows.withColumn("handle_time", iso_time("handle_time"))
+    return rows.withColumn("handle_time", iso_time("handle_time")).filter(
+        F.col("handle_time").isNotNull()
+    )
 
 
 def prediction_records(raw: DataFrame) -> DataFrame:
     rows = decode(raw, schemas.PREDICTION_RECORD, ("symbol", "base_time", "interval"))
     return rows.withColumn("base_time", iso_time("base_time")).withColumn(
         "created_at", iso_time("created_at")
-    )
+    ).filter(F.col("base_time").isNotNull())
 
 
 def candle_records(raw: DataFrame) -> DataFrame:
-    """Computed candles, read back; tombstones are skipped."""
+    """Computed candles, read back; tombstones and rows without a time are skipped."""
     rows = decode(raw, schemas.OHLC_RECORD, ("screener", "symbol", "time"))
-    return rows.withColumn("time", event_time("time"))
+    return rows.withColumn("time", event_time("time")).filter(F.col("time").isNotNull())
 
 
 def fundamentals(raw: DataFrame, value: str = "value") -> DataFrame:

@@ -1,13 +1,16 @@
 """Keyed tables as Parquet: writing, last write wins, reading by key.
 
-A micro-batch is written below its own ``batch_id`` folder. Writing the same
-batch again replaces that folder and nothing else, so a retried batch leaves no
-trace, no stored file is rewritten, and a lost task is simply run again. Reading
-keeps the newest write of every key.
+A micro-batch is written below a folder of its writer and ``batch_id``. Writing the
+same batch again replaces that folder and nothing else, so a retried batch leaves no
+trace, no stored file is rewritten, and a lost task is simply run again. Several
+writers share a table without touching each other's batches. Reading keeps the row
+of every key that was committed last, whoever wrote it.
 """
 
 from __future__ import annotations
 
+import hashlib
+import time
 from collections.abc import Callable, Sequence
 
 from pyspark.sql import DataFrame, SparkSession, Window, functions as F
@@ -17,6 +20,10 @@ from tickloom.schemas import TABLES, Table
 from tickloom.sources.records import encode
 
 BATCH = "batch_id"
+WRITER = "writer"
+#: Microseconds at which a batch was written, on each of its rows.
+COMMITTED = "_committed"
+_NEWEST = (COMMITTED, BATCH, WRITER)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -38,47 +45,60 @@ def _day_column(table: Table) -> str | None:
 
 def _laid_out(df: DataFrame, table: Table) -> DataFrame:
     """Clustered for reading: a file holds few symbols, in time order; a busy
-    symbol is spread over its days."""
+    symbol is spread over its days, and a busy day is split as its size asks."""
     time = _day_column(table)
     place = [*table.partitions, "symbol"]
     if time:
-        df = df.repartition(*place, chunk_of(time, DAY_US))
+        df = df.withColumn("_day", chunk_of(time, DAY_US)).hint("rebalance", *place, "_day").drop("_day")
     else:
-        df = df.repartition(*place, *[k for k in table.keys if k not in place])
+        df = df.hint("rebalance", *place, *[k for k in table.keys if k not in place])
     return df.sortWithinPartitions(*table.partitions, *table.clustering)
 
 
 def write_batch(
-    df: DataFrame, root: str, table: Table, batch_id: int, order: Sequence[str] = ()
+    df: DataFrame, root: str, table: Table, batch_id: int, order: Sequence[str] = (),
+    writer: str = "default",
 ) -> None:
     """Writes one batch of a keyed table; ``order`` decides between rows of the
-    batch that share a key."""
+    batch that share a key. ``writer`` names the job: batch ids count within it."""
     if order:
         df = latest_by_key(df, table.keys, order)
-    rows = _laid_out(conform(df, table), table)
-    writer = rows.write.mode("overwrite")
+    rows = _laid_out(conform(df, table), table).withColumn(COMMITTED, F.lit(time.time_ns() // 1000))
+    out = rows.write.mode("overwrite")
     if table.partitions:
-        writer = writer.partitionBy(*table.partitions)
-    writer.parquet(f"{root}/{table.name}/{BATCH}={batch_id}")
+        out = out.partitionBy(*table.partitions)
+    out.parquet(f"{root}/{table.name}/{WRITER}={writer}/{BATCH}={batch_id}")
+
+
+def _stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    # Batches may hold different columns; a missing one is null.
+    return spark.read.option("mergeSchema", "true").parquet(f"{root}/{table.name}")
 
 
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
-    """Current rows of a keyed table: the newest batch of each key."""
-    stored = spark.read.option("mergeSchema", "false").parquet(f"{root}/{table.name}")
-    return latest_by_key(stored, table.keys, [BATCH]).drop(BATCH)
+    """Current rows of a keyed table: the newest write of each key."""
+    return latest_by_key(_stored(spark, root, table), table.keys, _NEWEST).drop(*_NEWEST)
 
 
 def read_key(spark: SparkSession, root: str, table: Table, **equal: str) -> DataFrame:
-    """Scan by key: equality is pushed to partitions and to the files."""
-    stored = spark.read.parquet(f"{root}/{table.name}")
+    """Scan by equality. On key columns it is pushed to partitions and files; on
+    others it tests the newest row of a key, so a replaced value is not found."""
+    stored = _stored(spark, root, table)
+    for column in table.keys:
+        if column in equal:
+            stored = stored.filter(F.col(column) == equal[column])
+    rows = latest_by_key(stored, table.keys, _NEWEST).drop(*_NEWEST)
     for column, value in equal.items():
-        stored = stored.filter(F.col(column) == value)
-    return latest_by_key(stored, table.keys, [BATCH]).drop(BATCH)
+        if column not in table.keys:
+            rows = rows.filter(F.col(column) == value)
+    return rows
 
 
-def bulk_write(df: DataFrame, root: str, table: Table, batch_id: int = 0) -> None:
+def bulk_write(
+    df: DataFrame, root: str, table: Table, batch_id: int = 0, writer: str = "backfill"
+) -> None:
     """One write of a whole backfill, all symbols and rungs together."""
-    write_batch(df, root, table, batch_id)
+    write_batch(df, root, table, batch_id, writer=writer)
 
 
 def compact(spark: SparkSession, root: str, table: Table, new_root: str) -> None:
@@ -113,11 +133,13 @@ def upsert_query(
     df: DataFrame, root: str, table_name: str, checkpoint: str,
     order: Sequence[str] = (), output_mode: str = "append",
 ):
-    """Keyed sink: one idempotent batch folder per micro-batch."""
+    """Keyed sink: one idempotent batch folder per micro-batch. The checkpoint names
+    the writer, so a job on a new checkpoint starts batches of its own."""
     table = TABLES[table_name]
+    writer = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
 
     def write(batch: DataFrame, batch_id: int) -> None:
-        write_batch(batch, root, table, batch_id, order)
+        write_batch(batch, root, table, batch_id, order, writer)
 
     return (
         df.writeStream.outputMode(output_mode)
