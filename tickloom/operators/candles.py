@@ -3,48 +3,43 @@
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
+from decimal import Decimal
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tickloom.functions.times import DAY_US, HOUR_US, MINUTE_US, bin_start, from_micros, micros
+from tickloom.functions.times import DAY_US, MINUTE_US, bin_start, from_micros, micros
 
 # Names and lengths in minutes of the five rungs.
 LADDER = {"1m": 1, "5m": 5, "15m": 15, "30m": 30, "1H": 60}
 
 OHLCV = ("open", "high", "low", "close", "volume")
 
-# Width of the sequence part of a packed order key: 26 bits hold the
-# microseconds of one minute, the other 37 positive bits the sequence number.
-_SEQ_BITS = 37
+# A packed order key has room for every bigint, and a null, in each microsecond.
+_SEQ_ROOM = Decimal(1 << 65)
+_FIRST_SEQ = Decimal(1 - (1 << 63))
 
 
-def _packed(part: Column, seq: str) -> Column:
-    """(microseconds within a minute, sequence number) as one long."""
-    number = F.coalesce(F.col(seq).cast("long"), F.lit(0))
-    return F.when(
-        number.between(0, (1 << _SEQ_BITS) - 1), F.shiftleft(part, _SEQ_BITS) + number
-    ).otherwise(F.raise_error(F.lit(f"{seq} is outside [0, 2^{_SEQ_BITS})")).cast("long"))
+def _packed(time_us: Column, seq: str) -> Column:
+    """(microseconds, sequence number) as one decimal; a null sequence number
+    comes before all others of its time."""
+    number = F.coalesce(F.col(seq).cast("decimal(20,0)") - F.lit(_FIRST_SEQ) + 2, F.lit(Decimal(0)))
+    key = time_us.cast("decimal(17,0)") * F.lit(_SEQ_ROOM) + number
+    return key.cast("decimal(38,0)")
 
 
-def arrival_order(time: str, seq: str | None, width_us: int) -> Column:
-    """Sort key of the records of one bar: time, then sequence number.
+def arrival_order(time: str, seq: str | None) -> Column:
+    """Sort key of records: time, then sequence number, which may be any bigint.
 
-    The key is one long wherever it fits. Such a key keeps first/last inside
-    hash aggregation; a struct key would force a sort of all raw records. A
-    sequence number too large for the packed form stops the job rather than
-    giving a wrong order.
+    A single decimal keeps first/last inside hash aggregation; a struct key would
+    force a sort of all raw records.
     """
-    if seq is None:
-        return F.col(time)
-    if width_us > MINUTE_US:
-        return F.struct(F.col(time), F.col(seq))
-    return _packed(F.pmod(micros(time), F.lit(MINUTE_US)), seq)
+    return F.col(time) if seq is None else _packed(micros(time), seq)
 
 
 def recency_order(time: str, seq: str) -> Column:
-    """Sort key within a minute: newest time first, then lowest sequence number."""
-    return _packed(F.lit(MINUTE_US - 1) - F.pmod(micros(time), F.lit(MINUTE_US)), seq)
+    """Sort key for the minimum: newest time first, then lowest sequence number."""
+    return _packed(-micros(time), seq)
 
 
 def bar_columns(order: Column) -> list[Column]:
@@ -82,14 +77,14 @@ def rollup(
     """
     if seq is not None and width_us > MINUTE_US and width_us % MINUTE_US == 0:
         # Minutes nest in every longer bin, so the raw records are reduced with
-        # the packed key first and the minute bars are ordered by time alone.
+        # the sequence number first and the minute bars are ordered by time alone.
         minutes = rollup(df, MINUTE_US, "start" if closed == "left" else "end",
                          closed, seq, keys, time)
         return rollup(minutes.withColumnRenamed("time", time), width_us, label, closed,
                       None, keys, time)
     return (
         df.withColumn("_bin", bin_start(time, width_us, closed))
-        .withColumn("_order", arrival_order(time, seq, width_us))
+        .withColumn("_order", arrival_order(time, seq))
         .groupBy(*keys, "_bin")
         .agg(*bar_columns(F.col("_order")))
         .select(*keys, label_of(F.col("_bin"), width_us, label).alias("time"), *OHLCV)
@@ -171,10 +166,12 @@ def direct_ladder(
     )
 
 
-def history_ladder(history: DataFrame, rungs: Mapping[str, int] | None = None) -> DataFrame:
+def history_ladder(
+    history: DataFrame, rungs: Mapping[str, int] | None = None, seq: str | None = None
+) -> DataFrame:
     """Backfill ladder: right-closed bins labelled by their right edge."""
     rungs = _minutes(rungs)
-    minute = drop_incomplete(rollup(history, MINUTE_US, "end", "right"))
+    minute = drop_incomplete(rollup(history, MINUTE_US, "end", "right", seq))
     return drop_incomplete(ladder(minute, rungs, "end", "right"))
 
 
@@ -186,7 +183,3 @@ def daily(
 ) -> DataFrame:
     """One bar per key and calendar day, labelled by the day's start."""
     return drop_incomplete(rollup(df, DAY_US, "start", "left", seq, keys, time))
-
-
-def hourly(df: DataFrame, label: str = "window_time", seq: str | None = None) -> DataFrame:
-    return rollup(df, HOUR_US, label, "left", seq)

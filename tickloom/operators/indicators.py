@@ -105,8 +105,9 @@ def recursive_indicators(
     the part ahead of the frame is that sum ``history`` rows earlier. Exponents
     count from the start of the block, which keeps them in range.
 
-    A null close gets null values and does not enter the history. ``chunk`` is
-    passed on to ``segments.number_rows`` and dropped.
+    A null close gets null values and does not enter the history. While a NaN or
+    an infinite close is in the history the values are NaN; the sums leave it out,
+    so that they are right again once it has gone. ``chunk`` is passed on to ``segments.number_rows`` and dropped.
     """
     ema_names = {fast: f"ema{fast}", slow: f"ema{slow}"}
     added = [*ema_names.values(), "macd", f"rsi{period}", "ret"]
@@ -130,8 +131,13 @@ def recursive_indicators(
     # Place in the block; the first block starts at row 0, later ones at their halo.
     start = F.greatest(F.col(sg.SEGMENT) * size - reach, F.lit(0))
     place = (F.col(sg.ROW) - start).cast("double")
-    change = F.col("close") - F.lag("close").over(order)
-    base = seg.withColumn("_r", place).withColumn("_d", change)
+    change = F.col("_close") - F.lag("_close").over(order)
+    finite = F.abs(F.col("close")) < float("inf")  # NaN is above all numbers
+    base = (
+        seg.withColumn("_r", place)
+        .withColumn("_close", F.when(finite, F.col("close")).otherwise(0.0))
+        .withColumn("_d", change)
+    )
     gain = F.coalesce(F.greatest(F.col("_d"), F.lit(0.0)), F.lit(0.0))
     loss = F.coalesce(F.greatest(-F.col("_d"), F.lit(0.0)), F.lit(0.0))
     base = base.withColumn("_g", gain).withColumn("_l", loss)
@@ -151,7 +157,7 @@ def recursive_indicators(
     sums = base.select(
         "*",
         *[
-            F.sum(F.col("close") * grow(q)).over(running).alias(f"_s{n}")
+            F.sum(F.col("_close") * grow(q)).over(running).alias(f"_s{n}")
             for n, q in zip((fast, slow), decays)
         ],
         *[
@@ -161,7 +167,9 @@ def recursive_indicators(
         seed("_g").alias("_seed_g"),
         seed("_l").alias("_seed_l"),
         F.sum((F.col("_l") > 0).cast("long")).over(running).alias("_losses"),
-        F.coalesce(F.lag("close", reach).over(order), F.first("close").over(running)).alias("_x0"),
+        F.coalesce(F.lag("_close", reach).over(order), F.first("_close").over(running)).alias("_x0"),
+        (F.max((~finite).cast("int")).over(order.rowsBetween(-reach, 0)) == 1).alias("_spoilt"),
+        (F.col("close") - F.lag("close").over(order)).alias("_ret"),
     )
 
     def ema(n: int, q: float) -> Column:
@@ -188,16 +196,20 @@ def recursive_indicators(
             *bars.columns,
             sg.SEGMENT,
             sg.OWN,
-            ema(fast, decays[0]).alias(ema_names[fast]),
-            ema(slow, decays[1]).alias(ema_names[slow]),
-            F.when(F.col(sg.ROW) >= period, rsi).alias(f"rsi{period}"),
-            F.col("_d").alias("ret"),
+            _nan_if("_spoilt", ema(fast, decays[0])).alias(ema_names[fast]),
+            _nan_if("_spoilt", ema(slow, decays[1])).alias(ema_names[slow]),
+            F.when(F.col(sg.ROW) >= period, _nan_if("_spoilt", rsi)).alias(f"rsi{period}"),
+            F.col("_ret").alias("ret"),
         )
     )
     values = values.withColumn("macd", F.col(ema_names[fast]) - F.col(ema_names[slow]))
     return _null_without_close(bars, values, added)
 
 
+def _nan_if(spoilt: str, value: Column) -> Column:
+    return F.when(F.col(spoilt), F.lit(float("nan"))).otherwise(value)
+
+
 def _numbered_history(
     bars: DataFrame, keys: Sequence[str], chunk: str | None = None
 ) -> tuple[DataFrame, list[str]]:
@@ -222,13 +234,14 @@ def _recursive_by_fold(bars, fast, slow, period, history, keys, added, block) ->
     past = F.collect_list("close").over(w.rowsBetween(1 - history, 0))
     framed = sg.owned(
         seg.withColumn("_past", past).withColumn("ret", F.col("close") - F.lag("close").over(w))
-    )
+    ).withColumn("_spoilt", F.exists("_past", lambda x: F.abs(x) >= float("inf")))
+    rsi = folds.rsi(F.col("_past"), period)
     values = framed.select(
         *bars.columns,
-        folds.ema(F.col("_past"), fast).alias(f"ema{fast}"),
-        folds.ema(F.col("_past"), slow).alias(f"ema{slow}"),
-        folds.macd(F.col("_past"), fast, slow).alias("macd"),
-        folds.rsi(F.col("_past"), period).alias(f"rsi{period}"),
+        _nan_if("_spoilt", folds.ema(F.col("_past"), fast)).alias(f"ema{fast}"),
+        _nan_if("_spoilt", folds.ema(F.col("_past"), slow)).alias(f"ema{slow}"),
+        _nan_if("_spoilt", folds.macd(F.col("_past"), fast, slow)).alias("macd"),
+        F.when(rsi.isNotNull(), _nan_if("_spoilt", rsi)).alias(f"rsi{period}"),
         "ret",
     )
     return _null_without_close(bars, values, added)

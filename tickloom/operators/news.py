@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.scalars import percent_change
 from tickloom.functions.times import MINUTE_US
+from tickloom.operators.candles import arrival_order
 from tickloom.operators.joins import within_after
 
 NEWS_KEYS = ("symbol", "id", "event_time", "title", "link")
@@ -32,7 +33,7 @@ def news_impact(
     ``prices`` are raw records, or bars. ``seq`` orders records with equal time.
     News without a price in its horizon has no row.
     """
-    order = F.struct("time", seq) if seq else F.col("time")
+    order = arrival_order("time", seq)
     wanted = prices.select("symbol", "time", "close", "high", "low", *([seq] if seq else []))
     return (
         within_after(news.select(*NEWS_KEYS), wanted, horizon_us)

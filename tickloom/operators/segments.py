@@ -146,10 +146,14 @@ def with_previous(
     """
     keys = list(keys)
     chunked = df.withColumn(CHUNK, chunk_of(time, chunk_us))
-    wanted = F.struct(*[F.col(c).alias(n) for n, c in values.items()])
-    last = chunked.groupBy(*keys, CHUNK).agg(F.max_by(wanted, time).alias("_last"))
+    # One value each: a struct of them would turn the aggregation into a sort.
+    last = chunked.groupBy(*keys, CHUNK).agg(
+        *[F.max_by(c, time).alias(f"_last_{n}") for n, c in values.items()]
+    )
     along = Window.partitionBy(*keys).orderBy(CHUNK)
-    carried = last.select(*keys, CHUNK, F.lag("_last").over(along).alias("_carried"))
+    carried = last.select(
+        *keys, CHUNK, *[F.lag(f"_last_{n}").over(along).alias(f"_carried_{n}") for n in values]
+    )
     inside = Window.partitionBy(*keys, CHUNK).orderBy(time)
     local = chunked.withColumn("_first", F.row_number().over(inside) == 1)
     for new, column in values.items():
@@ -157,6 +161,6 @@ def with_previous(
     out = local.join(per_chunk(carried), [*keys, CHUNK])
     for new in values:
         out = out.withColumn(
-            new, F.when(F.col("_first"), F.col(f"_carried.{new}")).otherwise(F.col(new))
+            new, F.when(F.col("_first"), F.col(f"_carried_{new}")).otherwise(F.col(new))
         )
-    return out.drop("_first", "_carried", CHUNK)
+    return out.drop("_first", *[f"_carried_{n}" for n in values], CHUNK)

@@ -41,7 +41,7 @@ _RIGHT = ",\n".join(v.sql_right_bars(f"h_{n}", n, m) for n, m in v.RUNGS.items()
     W(v.TICKS, _RIGHT) + " UNION ALL ".join(f"SELECT {BAR} FROM h_{n}" for n in v.RUNGS),
 )
 def a4(spark, sf):
-    return candles.history_ladder(v.ticks(spark, sf))
+    return candles.history_ladder(v.ticks(spark, sf), seq="seq")
 
 
 @query(

@@ -140,7 +140,7 @@ def p10(spark, sf):
 )
 def p11(spark, sf):
     volume = F.when(F.col("volume") > 50, F.col("volume"))
-    return candles.daily(v.ticks(spark, sf).withColumn("volume", volume))
+    return candles.daily(v.ticks(spark, sf).withColumn("volume", volume), seq="seq")
 
 
 BOOK_SQL = """SELECT CAST(l_orderkey AS VARCHAR) AS symbol, l_shipdate AS handle_time,

@@ -191,23 +191,23 @@ def s13(spark, sf):
     return tables.read_table(spark, root, TABLES["ohlvc"])
 
 
+_MEASURES = "sma20 ema12 ema26 macd rsi14 bb_mid bb_upper bb_lower vwap ret"
+
+
 @query(
     "s13_indicator_table",
-    W(v.TICKS, v.BARS_1H)
-    + "SELECT symbol, time, close, CAST(NULL AS DOUBLE) AS vwap, CAST(1 AS BIGINT) AS n FROM bars_1h",
+    W(v.TICKS, v.BARS_1H, v.sql_range("bars_1h"), v.sql_recursive("ind"))
+    + f"SELECT screener, symbol, time, close, {v.sql_rounded(_MEASURES, 8)} FROM rec",
 )
 def s13_indicators(spark, sf):
-    """The indicator table, written twice and read once per key."""
+    """The indicator table, written first without a column and then whole, by two
+    writers; every key is read once."""
     root = fresh_path(spark, "tables")
     bars = indicators.indicator_table(v.hour_bars(spark, sf), v.FRAME_US)
-    bars = bars.withColumn("vwap", F.lit(None).cast("double"))
-    for batch in (0, 1):
-        tables.write_batch(bars, root, TABLES["indicators"], batch)
-    return (
-        tables.read_table(spark, root, TABLES["indicators"])
-        .groupBy("symbol", "time", "close", "vwap")
-        .agg(F.count(F.lit(1)).alias("n"))
-    )
+    for writer, rows in (("backfill", bars.drop("vwap")), ("live", bars)):
+        tables.write_batch(rows, root, TABLES["indicators"], 0, writer=writer)
+    stored = tables.read_table(spark, root, TABLES["indicators"])
+    return v.rounded(stored, *_MEASURES.split(), digits=8)
 
 
 @query(
@@ -226,5 +226,5 @@ def s14(spark, sf):
 )
 def s16(spark, sf):
     root = fresh_path(spark, "tables")
-    tables.bulk_write(candles.history_ladder(v.ticks(spark, sf)), root, TABLES["ohlvc"])
+    tables.bulk_write(candles.history_ladder(v.ticks(spark, sf), seq="seq"), root, TABLES["ohlvc"])
     return tables.read_table(spark, root, TABLES["ohlvc"])

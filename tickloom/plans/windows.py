@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import functions as F
+from pyspark.sql import Window, functions as F
 
 from tickloom.functions import folds
 from tickloom.functions.times import MINUTE_US
@@ -228,8 +228,8 @@ def w18(spark, sf):
 )
 def w19(spark, sf):
     t = v.ticks(spark, sf)
-    first = t.groupBy("symbol", "time").agg(F.min_by("open", "seq").alias("first_open"))
-    return t.join(first, ["symbol", "time"]).select("symbol", "time", "first_open")
+    at = Window.partitionBy("symbol", "time").orderBy("seq")
+    return t.select("symbol", "time", F.first("open").over(at).alias("first_open"))
 
 
 @query(

@@ -41,24 +41,19 @@ def wall_clock(spark: SparkSession) -> SparkSession:
     return spark
 
 
-def streaming_session(spark: SparkSession, idle_sources: bool = False) -> SparkSession:
+def streaming_session(spark: SparkSession) -> SparkSession:
     """A sibling session (same context, own settings) for stateful queries.
 
-    With ``idle_sources`` a source without records does not hold the watermark
-    of a job with several sources back; records of the slower source may then be
-    late.
-
-    A stateful job keeps its partition count for life and pays for every one in
-    every batch, so there are at most two per core.
+    A stateful job keeps its partition count for life, so it takes the configured
+    one. Only a local master, whose cores never change, gets at most two per core.
     """
     sibling = spark.newSession()
     wall_clock(sibling)
     sibling.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
-    if idle_sources:
-        sibling.conf.set("spark.sql.streaming.multipleWatermarkPolicy", "max")
-    wanted = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    cores = spark.sparkContext.defaultParallelism
-    sibling.conf.set("spark.sql.shuffle.partitions", str(min(wanted, 2 * cores)))
+    partitions = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    if spark.sparkContext.master.startswith("local"):
+        partitions = min(partitions, 2 * spark.sparkContext.defaultParallelism)
+    sibling.conf.set("spark.sql.shuffle.partitions", str(partitions))
     return sibling
 
 

@@ -129,6 +129,11 @@ def kafka_append_query(df: DataFrame, servers: str, topic: str, checkpoint: str,
     )
 
 
+def writer_of(checkpoint: str) -> str:
+    """Name of the job that keeps its state at ``checkpoint``."""
+    return "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+
+
 def upsert_query(
     df: DataFrame, root: str, table_name: str, checkpoint: str,
     order: Sequence[str] = (), output_mode: str = "append",
@@ -136,7 +141,7 @@ def upsert_query(
     """Keyed sink: one idempotent batch folder per micro-batch. The checkpoint names
     the writer, so a job on a new checkpoint starts batches of its own."""
     table = TABLES[table_name]
-    writer = "stream-" + hashlib.sha256(checkpoint.encode()).hexdigest()[:16]
+    writer = writer_of(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, root, table, batch_id, order, writer)

@@ -27,6 +27,20 @@ def timed(df: DataFrame, time: str, delay: str) -> DataFrame:
     return df.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
 
 
+def timed_with_beats(df: DataFrame, time: str, delay: str, beats: DataFrame) -> DataFrame:
+    """As ``timed``, for a source that may fall silent. ``beats`` is a stream with
+    the column ``time``: the source has sent all it had up to there. Beats move the
+    watermark and leave no row; the job waits for its slowest source, so no record
+    is late because another source is quicker."""
+    both = df.unionByName(
+        beats.select(F.col(time), F.col(time).cast("timestamp").alias("_beat")),
+        allowMissingColumns=True,
+    )
+    # The test names the event time, so it is not moved ahead of the watermark.
+    is_beat = F.col("_beat").eqNullSafe(F.col(time))
+    return timed(both, time, delay).filter(~is_beat).drop("_beat")
+
+
 def without_repeats(df: DataFrame, *keys: str) -> DataFrame:
     """Drops exact repeats that arrive within the watermark."""
     return df.dropDuplicatesWithinWatermark(list(keys))
@@ -36,7 +50,7 @@ def minute_bars(records: DataFrame, seq: str | None = None) -> DataFrame:
     """1-minute bars, each emitted once when its window closes; ``rt`` is the
     row time for further windows."""
     return _bars(
-        records.withColumn("_order", arrival_order("time", seq, MINUTE_US)), "time", 1, "_order"
+        records.withColumn("_order", arrival_order("time", seq)), "time", 1, "_order"
     )
 
 
@@ -94,7 +108,7 @@ def news_impact(
     news: DataFrame, prices: DataFrame, horizon_us: int = 15 * MINUTE_US, seq: str | None = None
 ) -> DataFrame:
     """Each news item once, when its horizon has passed. Both inputs are timed."""
-    order = F.struct("time", seq) if seq else F.col("time")
+    order = arrival_order("time", seq)
     wanted = prices.select("symbol", "time", "close", "high", "low", *([seq] if seq else []))
     joined = within_after(news.select(*NEWS_KEYS), wanted, horizon_us)
     return (

@@ -1,29 +1,45 @@
 """Per-symbol state for what streams have no window for: rolling frames,
 recursive indicators and run patterns.
 
-State is small and bounded: at most ``HISTORY`` minute bars per symbol. It is
-checkpointed, so a restart goes on where it stopped. Input is the minute-bar
-stream, at most one row per symbol and minute whatever the record rate.
+State is small and bounded: the bars of one frame and at most ``HISTORY`` closes
+per symbol. It is checkpointed, so a restart goes on where it stopped. Input is the
+minute-bar stream, at most one row per symbol and minute whatever the record rate; a
+first run over a year of minutes gives a task some 30 MB per symbol.
 """
 
 from __future__ import annotations
 
 from collections.abc import Iterator
-from itertools import takewhile
-from math import sqrt
 
 import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 from pyspark.sql.streaming import StatefulProcessor, StatefulProcessorHandle
 
+from tickloom.functions.times import MINUTE_US
+from tickloom.operators.candles import OHLCV
 from tickloom.operators.signals import triggered
 from tickloom.session import ship_package
 
 HISTORY = 300
-FRAME = pd.Timedelta(minutes=20)
+FAST, SLOW, PERIOD = 12, 26, 14
+#: Values gathered at a time while frames are summed.
+_AT_ONCE = 1 << 20
 
-_BAR_STATE = "rt timestamp, close double, volume double"
+STATE_SCHEMA = (
+    "times array<bigint>, closes array<double>, volumes array<double>, "
+    "history array<double>, up bigint, down bigint"
+)
+INDICATORS = (
+    "sma20", "ema12", "ema26", "macd", "rsi14", "bb_mid", "bb_upper", "bb_lower", "vwap", "ret",
+)
+COLUMNS = ("symbol", "rt", *OHLCV, "up", "down", "avg_volume", *INDICATORS)
+OUTPUT_SCHEMA = (
+    "symbol string, rt timestamp, "
+    + "".join(f"{c} double, " for c in OHLCV)
+    + "up bigint, down bigint, avg_volume double, "
+    + ", ".join(f"{c} double" for c in INDICATORS)
+)
 
 
 def _ema_weights(n: int, span: int) -> np.ndarray:
@@ -41,141 +57,157 @@ def _wilder_weights(n: int, period: int) -> np.ndarray:
     return keep**ages / period
 
 
-def ema_of(closes: np.ndarray, span: int) -> float:
-    return float(closes @ _ema_weights(len(closes), span))
-
-
-def rsi_of(closes: np.ndarray, period: int = 14) -> float | None:
-    if len(closes) <= period:
-        return None
-    steps = np.diff(closes)
-    weights = _wilder_weights(len(steps), period)
-    down = float(np.maximum(-steps, 0.0) @ weights)
-    if down == 0:
-        return 100.0
-    return 100.0 - 100.0 / (1.0 + float(np.maximum(steps, 0.0) @ weights) / down)
-
-
-def _in_order(rows: Iterator[pd.DataFrame]) -> pd.DataFrame:
-    return pd.concat(list(rows)).sort_values("rt")
-
-
-def _none(x):
-    return None if pd.isna(x) else float(x)
-
-
-class _Recent(StatefulProcessor):
-    """Keeps the last bars of a symbol."""
+def _sliding(values: np.ndarray, weights: np.ndarray) -> np.ndarray:
+    """Weighted sum of every run of ``len(weights)`` values."""
+    if len(values) < len(weights):
+        return np.empty(0)
+    return np.convolve(values, weights[::-1], "valid")
+
+
+def moving_ema(history: np.ndarray, known: int, span: int, reach: int) -> np.ndarray:
+    """Exponential mean at each value from ``known`` on, over at most ``reach``
+    values. A series of one value has that value as its mean, so a young series is
+    filled up in front with its oldest."""
+    if len(history) == known:
+        return np.empty(0)
+    young = max(0, reach - 1 - known)
+    seen = history[max(0, known - reach + 1) :]
+    return _sliding(np.concatenate([np.full(young, history[0]), seen]), _ema_weights(reach, span))
+
+
+def _rsi(up: np.ndarray, down: np.ndarray) -> np.ndarray:
+    return np.where(down == 0, 100.0, 100.0 - 100.0 / (1.0 + up / np.where(down == 0, 1.0, down)))
+
+
+def moving_rsi(history: np.ndarray, known: int, period: int, reach: int) -> np.ndarray:
+    """Wilder RSI at each value from ``known`` on; NaN while too few are known."""
+    steps = np.diff(history)
+    up, down = np.maximum(steps, 0.0), np.maximum(-steps, 0.0)
+    out = np.full(len(history) - known, np.nan)
+    # The seed of a young series moves with its length: one weighting per length.
+    for i in range(max(known, period), min(len(history), reach - 1)):
+        weights = _wilder_weights(i, period)
+        out[i - known] = _rsi(up[:i] @ weights, down[:i] @ weights)
+    first = max(known, reach - 1)
+    if first < len(history):
+        weights = _wilder_weights(reach - 1, period)
+        begin = first - reach + 1
+        out[first - known :] = _rsi(_sliding(up[begin:], weights), _sliding(down[begin:], weights))
+    return out
+
+
+def framed(closes: np.ndarray, volumes: np.ndarray, starts: np.ndarray, stops: np.ndarray):
+    """Mean and deviation of the closes, VWAP and mean volume of every frame
+    ``[start, stop)``. NaN is no value."""
+    lengths = stops - starts
+    ends = np.cumsum(lengths)
+    cuts = np.searchsorted(ends, np.arange(_AT_ONCE, ends[-1] + _AT_ONCE, _AT_ONCE), "left") + 1
+    parts, begin = [], 0
+    for end in np.unique(np.minimum(cuts, len(lengths))):
+        size = lengths[begin:end]
+        edges = np.cumsum(size) - size
+        at = np.repeat(starts[begin:end] - edges, size) + np.arange(size.sum())
+        close, volume = closes[at], volumes[at]
+        priced, sized = ~np.isnan(close), ~np.isnan(volume)
+
+        def total(values, where):
+            return np.add.reduceat(np.where(where, values, 0.0), edges)
+
+        n = total(1.0, priced)
+        mean = total(close, priced) / n
+        dev = np.sqrt(total((close - np.repeat(mean, size)) ** 2, priced) / n)
+        traded = total(volume, sized)
+        value = total(close * volume, priced & sized)
+        vwap = np.where(traded > 0, value / traded, np.nan)
+        parts.append((mean, dev, vwap, traded / total(1.0, sized)))
+        begin = end
+    return [np.concatenate(p) for p in zip(*parts)]
+
+
+def run_places(goes_on: np.ndarray, before: int) -> np.ndarray:
+    """1-based place of each bar in its run; ``before`` bars of it came earlier."""
+    at = np.arange(len(goes_on))
+    start = np.maximum.accumulate(np.where(goes_on, -1, at))
+    return np.where(start >= 0, at - start + 1, before + at + 1)
+
+
+class BarState(StatefulProcessor):
+    """All columns a minute bar gets from the bars before it: rolling frame,
+    recursive indicators, places in the rising and the falling run."""
+
+    def __init__(self, frame_us: int = 20 * MINUTE_US, history: int = HISTORY):
+        self.frame_us, self.reach = frame_us, history
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.recent = handle.getListState("recent", _BAR_STATE)
-
-    def load(self) -> list[tuple]:
-        return [(pd.Timestamp(r[0]), r[1], r[2]) for r in self.recent.get()]
-
-    def store(self, bars: list[tuple]) -> None:
-        self.recent.put([(rt.to_pydatetime(), c, v) for rt, c, v in bars])
+        self.kept = handle.getValueState("kept", STATE_SCHEMA)
 
     def close(self) -> None:
         pass
 
-
-class IndicatorState(_Recent):
-    def __init__(self, frame: pd.Timedelta = FRAME, history: int = HISTORY):
-        self.frame, self.history = frame, history
-
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        bars, out = self.load(), []
-        priced = [c for _, c, _ in bars if c is not None]
-        for row in _in_order(rows).itertuples(index=False):
-            close, start = _none(row.close), row.rt - self.frame
-            bars.append((row.rt, close, _none(row.volume)))
-            if close is not None:
-                priced.append(close)
-            frame = [(c, v) for _, c, v in takewhile(lambda b: b[0] >= start, reversed(bars))]
-            history = np.array(priced[-self.history :])
-            out.append((key[0], row.rt, *self._values(close, frame, history)))
-        self.store(self._trim(bars))
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in INDICATOR_SCHEMA.split(", ")])
-
-    def _trim(self, bars):
-        """Bars that a later bar can still reach: the frame, and the history."""
-        start = bars[-1][0] - self.frame
-        kept, priced = [], 0
-        for bar in reversed(bars):
-            if bar[0] < start and priced >= self.history:
-                break
-            kept.append(bar)
-            priced += bar[1] is not None
-        return kept[::-1]
-
-    @staticmethod
-    def _values(close, frame, priced):
-        inside = [c for c, _ in frame if c is not None]
-        mean = sum(inside) / len(inside) if inside else None
-        dev = sqrt(sum((c - mean) ** 2 for c in inside) / len(inside)) if inside else None
-        traded = sum(v for _, v in frame if v is not None)
-        value = sum(c * v for c, v in frame if c is not None and v is not None)
-        vwap = value / traded if traded > 0 else None
-        bands = (mean + 2 * dev, mean - 2 * dev) if inside else (None, None)
-        if close is None:
-            return (close, mean, None, None, None, None, mean, *bands, vwap, None)
-        fast, slow = ema_of(priced, 12), ema_of(priced, 26)
-        ret = priced[-1] - priced[-2] if len(priced) > 1 else None
-        ret = None if ret is None else float(ret)
-        return (close, mean, fast, slow, fast - slow, rsi_of(priced), mean, *bands, vwap, ret)
-
-
-INDICATOR_SCHEMA = (
-    "symbol string, rt timestamp, close double, sma20 double, ema12 double, ema26 double, "
-    "macd double, rsi14 double, bb_mid double, bb_upper double, bb_lower double, "
-    "vwap double, ret double"
-)
-
-
-class SignalState(_Recent):
-    """Positions in the rising and falling run, and the rolling volume."""
-
-    def __init__(self, frame: pd.Timedelta = FRAME):
-        self.frame = frame
-
-    def init(self, handle: StatefulProcessorHandle) -> None:
-        super().init(handle)
-        self.runs = handle.getValueState("runs", "close double, up long, down long")
-
-    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
-        bars, out = self.load(), []
-        last, up, down = self.runs.get() if self.runs.exists() else (None, 0, 0)
-        for row in _in_order(rows).itertuples(index=False):
-            close = _none(row.close)
-            known = last is not None and close is not None
-            up = up + 1 if known and close > last else 1
-            down = down + 1 if known and close < last else 1
-            last = close
-            bars.append((row.rt, close, _none(row.volume)))
-            bars = [b for b in bars if b[0] >= row.rt - self.frame]
-            volumes = [v for _, _, v in bars if v is not None]
-            average = sum(volumes) / len(volumes) if volumes else None
-            out.append((key[0], row.rt, close, _none(row.volume), average, up, down))
-        self.store(bars)
-        self.runs.update((last, up, down))
-        yield pd.DataFrame(out, columns=[f.split()[0] for f in RUN_SCHEMA.split(", ")])
-
-
-RUN_SCHEMA = (
-    "symbol string, rt timestamp, close double, volume double, avg_volume double, "
-    "up long, down long"
-)
-
+        new = pd.concat(list(rows)).sort_values("rt")
+        kept = self.kept.get() if self.kept.exists() else ([], [], [], [], 0, 0)
+        old_times, old_closes, old_volumes, history, up, down = kept
+        n = len(old_times)
+        close = new["close"].to_numpy(float)
+        times = np.concatenate(
+            [np.array(old_times, "int64"), new["rt"].to_numpy("datetime64[us]").astype("int64")]
+        )
+        closes = np.concatenate([np.array(old_closes, float), close])
+        volumes = np.concatenate([np.array(old_volumes, float), new["volume"].to_numpy(float)])
+        history = np.concatenate([np.array(history, float), close[~np.isnan(close)]])
+
+        starts = np.searchsorted(times, times[n:] - self.frame_us, "left")
+        with np.errstate(divide="ignore", invalid="ignore"):
+            columns = self._columns(closes, volumes, starts, history, n)
+        previous = np.concatenate([closes[n - 1 : n] if n else [np.nan], close[:-1]])
+        columns["up"] = run_places(close > previous, up)
+        columns["down"] = run_places(close < previous, down)
+        yield new.assign(symbol=key[0], **columns)[list(COLUMNS)]
+
+        first = np.searchsorted(times, times[-1] - self.frame_us, "left")
+        self.kept.update(
+            (
+                times[first:].tolist(),
+                closes[first:].tolist(),
+                volumes[first:].tolist(),
+                history[-self.reach :].tolist(),
+                int(columns["up"][-1]),
+                int(columns["down"][-1]),
+            )
+        )
 
-def _stateful(bars: DataFrame, processor: StatefulProcessor, schema: str) -> DataFrame:
+    def _columns(self, closes, volumes, starts, history, n) -> dict[str, np.ndarray]:
+        stops = np.arange(n, len(closes)) + 1
+        mean, dev, vwap, avg_volume = framed(closes, volumes, starts, stops)
+        priced = ~np.isnan(closes[n:])
+        known = len(history) - int(priced.sum())
+
+        def placed(values: np.ndarray) -> np.ndarray:
+            out = np.full(len(priced), np.nan)
+            out[priced] = values
+            return out
+
+        fast = placed(moving_ema(history, known, FAST, self.reach))
+        slow = placed(moving_ema(history, known, SLOW, self.reach))
+        before = np.concatenate([[np.nan], history])[known : len(history)]
+        return {
+            "sma20": mean, "bb_mid": mean, "bb_upper": mean + 2 * dev, "bb_lower": mean - 2 * dev,
+            "vwap": vwap, "avg_volume": avg_volume, "ema12": fast, "ema26": slow, "macd": fast - slow,
+            "rsi14": placed(moving_rsi(history, known, PERIOD, self.reach)),
+            "ret": placed(history[known:] - before),
+        }
+
+
+def bar_states(bars: DataFrame, frame_minutes: int = 20) -> DataFrame:
+    """Minute bars with every column of ``BarState``, in one stateful pass."""
     ship_package()
     return (
-        bars.select("symbol", "rt", "close", "volume")
+        bars.select("symbol", "rt", *OHLCV)
         .groupBy("symbol")
         .transformWithStateInPandas(
-            statefulProcessor=processor,
-            outputStructType=schema,
+            statefulProcessor=BarState(frame_minutes * MINUTE_US),
+            outputStructType=OUTPUT_SCHEMA,
             outputMode="append",
             timeMode="None",
         )
@@ -184,20 +216,16 @@ def _stateful(bars: DataFrame, processor: StatefulProcessor, schema: str) -> Dat
 
 def indicators(bars: DataFrame, frame_minutes: int = 20) -> DataFrame:
     """All indicator columns over a stream of minute bars."""
-    return _stateful(bars, IndicatorState(pd.Timedelta(minutes=frame_minutes)), INDICATOR_SCHEMA)
+    return bar_states(bars, frame_minutes).select("symbol", "rt", "close", *INDICATORS)
 
 
-def runs(bars: DataFrame, frame_minutes: int = 20) -> DataFrame:
-    return _stateful(bars, SignalState(pd.Timedelta(minutes=frame_minutes)), RUN_SCHEMA)
+def signals_of(states: DataFrame, length: int = 3) -> DataFrame:
+    """Rising and falling runs and volume spikes; each bar gives those it triggers."""
+    hits = triggered(*[F.col(c) for c in ("up", "down", "volume", "avg_volume")], length)
+    rows = states.select("symbol", "rt", F.col("close").alias("price"), F.explode(hits).alias("_hit"))
+    return rows.select("symbol", "rt", "_hit.signal_type", "_hit.side", "price", "_hit.detail")
 
 
 def signals(bars: DataFrame, frame_minutes: int = 20, length: int = 3) -> DataFrame:
-    """Rising and falling runs and volume spikes over a stream of minute bars.
-
-    One stateful pass; each row then gives the signals it triggers.
-    """
-    hits = triggered(*[F.col(c) for c in ("up", "down", "volume", "avg_volume")], length)
-    rows = runs(bars, frame_minutes).select(
-        "symbol", "rt", F.col("close").alias("price"), F.explode(hits).alias("_hit")
-    )
-    return rows.select("symbol", "rt", "_hit.signal_type", "_hit.side", "price", "_hit.detail")
+    """The signals over a stream of minute bars."""
+    return signals_of(bar_states(bars, frame_minutes), length)
