@@ -88,11 +88,17 @@ def forecast_frame(
     )
 
 
-def drift(frame: pd.DataFrame, steps: int) -> list[float]:
+def drift(seen: DataFrame, steps: int = DECODER_ROWS) -> DataFrame:
     """Baseline model: the last close carried on along the mean change."""
-    close = frame["close"].to_numpy(dtype=float)
-    slope = (close[-1] - close[0]) / (len(close) - 1) if len(close) > 1 else 0.0
-    return [float(close[-1] + slope * i) for i in range(1, steps + 1)]
+    ends = seen.groupBy(*SERIES).agg(
+        F.max("time").alias("base_time"),
+        F.max_by("close", "time_idx").alias("_last"),
+        F.min_by("close", "time_idx").alias("_first"),
+        F.count(F.lit(1)).alias("_n"),
+    )
+    slope = (F.col("_last") - F.col("_first")) / F.greatest(F.col("_n") - 1, F.lit(1))
+    path = F.transform(F.sequence(F.lit(1), F.lit(steps)), lambda i: F.col("_last") + slope * i)
+    return ends.select(*SERIES, "base_time", path.alias("predictions"), F.lit("drift").alias("model"))
 
 
 PREDICTION_SCHEMA = (
@@ -103,35 +109,47 @@ PREDICTION_SCHEMA = (
 
 def predict(
     frame: DataFrame,
-    model: Callable[[pd.DataFrame, int], Sequence[float]] = drift,
-    name: str = "drift",
+    model: Callable[[pd.DataFrame, int], Sequence[float]] | None = None,
+    name: str = "model",
     steps: int = DECODER_ROWS,
+    rungs: dict[str, int] | None = None,
+    created_at: Column | None = None,
 ) -> DataFrame:
-    """Runs ``model(encoder rows, steps)`` once per series of a forecast frame.
+    """One row per series of a forecast frame, as the prediction topic has it:
+    ``predictions``, ``interval`` in minutes and ``created_at``, by default now.
 
-    A group is one frame: at most the encoder rows. The base time is the last
-    observed bar.
+    Without a model it is ``drift``. A model of one's own is called as
+    ``model(encoder rows, steps)`` once per series: a group is one frame, at most the
+    encoder rows. The base time is the last observed bar.
     """
+    seen = frame.filter(~F.col("is_decoder"))
+    made = drift(seen, steps) if model is None else _by_model(seen, model, name, steps)
+    now = F.current_timestamp() if created_at is None else created_at
+    return made.withColumns(
+        {
+            "interval": minutes_of("screener", rungs).cast("int"),
+            "created_at": now.cast("timestamp_ntz"),
+        }
+    )
+
+
+def _by_model(seen: DataFrame, model, name: str, steps: int) -> DataFrame:
 
     def run(group: pd.DataFrame) -> pd.DataFrame:
-        seen = group.sort_values("time_idx")
-        values = [float(v) for v in model(seen, steps)]
+        rows = group.sort_values("time_idx")
+        values = [float(v) for v in model(rows, steps)]
         return pd.DataFrame(
             {
-                "screener": [seen["screener"].iloc[-1]],
-                "symbol": [seen["symbol"].iloc[-1]],
-                "base_time": [seen["time"].iloc[-1]],
+                "screener": [rows["screener"].iloc[-1]],
+                "symbol": [rows["symbol"].iloc[-1]],
+                "base_time": [rows["time"].iloc[-1]],
                 "predictions": [values],
                 "model": [name],
             }
         )
 
     ship_package()
-    return (
-        frame.filter(~F.col("is_decoder"))
-        .groupBy(*SERIES)
-        .applyInPandas(run, PREDICTION_SCHEMA)
-    )
+    return seen.groupBy(*SERIES).applyInPandas(run, PREDICTION_SCHEMA)
 
 
 def explode_predictions(predictions: DataFrame) -> DataFrame:
@@ -155,6 +173,12 @@ def explode_predictions(predictions: DataFrame) -> DataFrame:
     )
 
 
+def against_actuals(steps: DataFrame, bars: DataFrame) -> DataFrame:
+    """Forecast steps that have come true, with the ``close`` of their bar."""
+    actual = bars.select(*SERIES, F.col("time").alias("time_step"), "close")
+    return steps.join(actual, [*SERIES, "time_step"])
+
+
 def anchor_to_open(predictions: Column, open_: Column) -> Column:
     """Shifts a forecast so that its first value equals the open."""
     shift = F.element_at(predictions, 1) - open_

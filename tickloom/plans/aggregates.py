@@ -327,12 +327,12 @@ def u2(spark, sf):
     "u3_concat_parts",
     W(v.TICKS)
     + """SELECT symbol, time, close FROM ticks WHERE time < TIMESTAMP '2024-01-10 00:00:00'
-UNION ALL SELECT symbol, time, close FROM ticks WHERE time > TIMESTAMP '2024-01-20 00:00:00'""",
+UNION ALL SELECT symbol, time, close FROM ticks WHERE time >= TIMESTAMP '2024-01-10 00:00:00'""",
 )
 def u3(spark, sf):
     t = v.ticks(spark, sf).select("symbol", "time", "close")
-    cut = [F.lit(s).cast("timestamp_ntz") for s in ("2024-01-10 00:00:00", "2024-01-20 00:00:00")]
-    return candles.union_all([t.filter(F.col("time") < cut[0]), t.filter(F.col("time") > cut[1])])
+    cut = F.lit("2024-01-10 00:00:00").cast("timestamp_ntz")
+    return candles.union_all([t.filter(F.col("time") < cut), t.filter(F.col("time") >= cut)])
 
 
 @query(

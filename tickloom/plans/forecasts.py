@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 from tickloom.operators import candles, forecast
 from tickloom.plans import views as v
 from tickloom.plans.registry import query
+from tickloom.schemas import TABLES
+from tickloom.session import fresh_path
+from tickloom.sources import tables
 
 W = v.with_
 
@@ -52,6 +55,55 @@ def y4(spark, sf):
     return v.rounded(out, "close_predict")
 
 
+_STEPS = """steps AS (
+  SELECT screener, symbol, base_time AS time,
+    base_time + CAST(step * CAST(replace(screener, 'm', '') AS BIGINT) AS INTEGER) * INTERVAL 1 MINUTE AS time_step,
+    last_close + (last_close - first_close) / greatest(n - 1, 1) * step AS close_predict
+  FROM (SELECT screener, symbol, max(time) AS base_time, arg_max(close, time) AS last_close,
+               arg_min(close, time) AS first_close, count(*) AS n, unnest(range(1, 11)) AS step
+        FROM recent GROUP BY screener, symbol))"""
+
+
+@query(
+    "y4_prediction_table",
+    W(v.TICKS, v.LADDER, RECENT, _STEPS)
+    + """SELECT symbol, screener, time, time_step, round(close_predict, 6) + 0e0 AS close_predict,
+  'drift' AS model, TIMESTAMP '2024-02-01 00:00:00' AS created_at FROM steps""",
+)
+def y4_table(spark, sf):
+    """Frame, forecast, steps, stored and read back."""
+    made = F.lit("2024-02-01 00:00:00").cast("timestamp_ntz")
+    steps = forecast.explode_predictions(forecast.predict(frame(spark, sf), created_at=made))
+    root = fresh_path(spark, "predictions")
+    tables.write_batch(steps, root, TABLES["prediction"], 0, writer="model")
+    return v.rounded(tables.read_table(spark, root, TABLES["prediction"]), "close_predict")
+
+
+_PAST = RECENT.replace(
+    "FROM ladder WHERE", "FROM ladder WHERE time < (SELECT date_trunc('day', max(time)) FROM ticks) AND"
+)
+
+
+@query(
+    "a14_past_forecasts",
+    W(v.TICKS, v.LADDER, _PAST, _STEPS)
+    + """SELECT screener, round(avg(abs(l.close - s.close_predict)), 6) + 0e0 AS mae,
+  round(avg(2 * abs(l.close - s.close_predict) / (abs(l.close) + abs(s.close_predict) + 1e-8)), 6) + 0e0 AS smape,
+  round(avg(abs(l.close - s.close_predict) / (abs(l.close) + 1e-8)), 6) + 0e0 AS mape, count(*) AS n
+FROM steps s JOIN (SELECT screener, symbol, time AS time_step, close FROM ladder) l
+  USING (screener, symbol, time_step) GROUP BY screener""",
+)
+def a14_past(spark, sf):
+    """Forecasts made at the start of the last day, scored on the bars that followed."""
+    ticks = v.ticks(spark, sf)
+    last_day = ticks.agg(F.date_trunc("day", F.max("time")).cast("timestamp_ntz")).first()[0]
+    bars = candles.candle_ladder(ticks, seq="seq").filter(F.col("screener") != "1H")
+    past = forecast.forecast_frame(bars.filter(F.col("time") < F.lit(last_day)))
+    steps = forecast.explode_predictions(forecast.predict(past))
+    out = forecast.forecast_errors(forecast.against_actuals(steps, bars), ["screener"])
+    return v.rounded(out, "mae", "smape", "mape")
+
+
 @query(
     "y6_anchor_predictions",
     W(v.TICKS, v.BARS_1H)

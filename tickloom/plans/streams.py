@@ -10,13 +10,13 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tickloom.operators.candles import OHLCV
+from tickloom.operators.candles import OHLCV, arrival_order
 from tickloom.plans import views as v
 from tickloom.plans.registry import query
 from tickloom.schemas import TABLES
 from tickloom.session import fresh_path, streaming_session
 from tickloom.sources import records, tables
-from tickloom.streaming import flows, state
+from tickloom.streaming import flows, live, state
 
 W = v.with_
 
@@ -39,6 +39,16 @@ def run(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
+def halves(rows: DataFrame) -> list[DataFrame]:
+    """The rows before and from the middle of their time span, which lies inside a
+    window of any length."""
+    low, high = rows.agg(F.min("time"), F.max("time")).first()
+    if low is None:
+        return [rows]
+    middle = F.lit(low + (high - low) / 2)
+    return [rows.filter(F.col("time") < middle), rows.filter(F.col("time") >= middle)]
+
+
 def appended(
     spark: SparkSession, sf_dir: str, build: Callable[[SparkSession, str], DataFrame]
 ) -> DataFrame:
@@ -82,7 +92,7 @@ def x2(spark, sf):
         for m in (1, 5, 15, 30, 60):
             window = F.window("time", f"{m} minutes")
             bars = prices.groupBy("symbol", window.alias("window")).agg(
-                *flows.bar_columns(F.col("time"))
+                *flows.bar_columns(arrival_order("time", "seq"))
             )
             parts.append(
                 bars.select(
@@ -139,8 +149,12 @@ def x4(spark, sf):
     return appended(spark, sf, build)
 
 
+# The given events are sparse: a frame of 20 minutes would mostly hold one bar.
+FRAME_MINUTES = 1200
+
+
 def stream_indicators(s, d):
-    bars = state.indicators(flows.minute_bars(price_stream(s, d), "seq"))
+    bars = state.indicators(flows.minute_bars(price_stream(s, d), "seq"), FRAME_MINUTES)
     return flows.settle(bars)
 
 
@@ -149,24 +163,28 @@ CLOSED_IND = (v.TICKS, CLOSED, v.BARS_1M, CLOSED_1M)
 
 @query(
     "x5_rolling_range",
-    W(*CLOSED_IND, v.sql_range("closed", "20 MINUTE"))
-    + f"SELECT symbol, time, close, {v.sql_rounded('sma20 bb_upper bb_lower vwap', 8)} FROM ind",
+    W(*CLOSED_IND, v.sql_range("closed"))
+    + f"SELECT symbol, time, close, {v.sql_off_ties('sma20 bb_upper bb_lower vwap')} FROM ind",
 )
 def x5(spark, sf):
     out = appended(spark, sf, stream_indicators)
     columns = ("sma20", "bb_upper", "bb_lower", "vwap")
-    return v.rounded(out.select("symbol", "time", "close", *columns), *columns, digits=8)
+    return v.off_ties(out.select("symbol", "time", "close", *columns), *columns)
+
+
+SIGNALS_SQL = W(
+    *CLOSED_IND, v.sql_range("closed"), v.SPIKES,
+    v.sql_trend("closed", True, "ups"), v.sql_trend("closed", False, "downs"),
+) + "SELECT * FROM ups UNION ALL SELECT * FROM downs UNION ALL SELECT * FROM spikes"
 
 
 @query(
     "x6_patterns",
-    W(*CLOSED_IND, v.sql_range("closed", "20 MINUTE"), v.SPIKES,
-      v.sql_trend("closed", True, "ups"), v.sql_trend("closed", False, "downs"))
-    + "SELECT * FROM ups UNION ALL SELECT * FROM downs UNION ALL SELECT * FROM spikes",
+    SIGNALS_SQL,
 )
 def x6(spark, sf):
     def build(s, d):
-        out = state.signals(flows.minute_bars(price_stream(s, d), "seq"))
+        out = state.signals(flows.minute_bars(price_stream(s, d), "seq"), FRAME_MINUTES)
         return flows.settle(out, time="signal_time")
 
     return appended(spark, sf, build)
@@ -188,16 +206,18 @@ def timed_news(s, d):
     return flows.timed(rows, "event_time", flows.NEWS_DELAY)
 
 
-@query(
-    "x8_news_impact",
+X8_SQL = (
     W(v.TICKS, v.NEWS, v.IMPACT)
     + """, mark AS (SELECT least(
   (SELECT date_trunc('millisecond', max(event_time)) - INTERVAL 5 SECOND FROM news),
   (SELECT date_trunc('millisecond', max(time)) - INTERVAL 10 SECOND FROM prices)) AS mark)
 SELECT symbol, id, news_time, title, link, price_before, price_after, max_price, min_price,
   n_candles, round(impact_pct, 6) + 0e0 AS impact_pct
-FROM impact, mark WHERE news_time + INTERVAL 15 MINUTE <= mark""",
+FROM impact, mark WHERE news_time + INTERVAL 15 MINUTE <= mark"""
 )
+
+
+@query("x8_news_impact", X8_SQL)
 def x8(spark, sf):
     def build(s, d):
         prices = flows.timed(v.as_prices(tick_stream(s, d)), "time", flows.PRICE_DELAY)
@@ -223,7 +243,7 @@ def s12(spark, sf):
     bars = (
         price_stream(s, sf)
         .groupBy("symbol", F.window("time", "1 hour").alias("window"))
-        .agg(*flows.bar_columns(F.col("time")))
+        .agg(*flows.bar_columns(arrival_order("time", "seq")))
         .select(F.lit("1H").alias("screener"), "symbol", F.window_time("window").alias("rt"), *OHLCV)
     )
     root = fresh_path(s, "upsert")
@@ -265,11 +285,15 @@ def s15(spark, sf):
     W(v.TICKS, CLOSED, v.BARS_1M, CLOSED_1M) + f"SELECT {BAR} FROM closed",
 )
 def x11(spark, sf):
-    """The same job started twice on one checkpoint emits every bar once."""
+    """A job stopped in the middle of the input and started again on its checkpoint
+    goes on with the windows that were open."""
     s = streaming_session(spark)
     path = fresh_path(s, "restart")
-    for _ in range(2):
-        bars = flows.settle(flows.minute_bars(price_stream(s, sf), "seq"))
+    rows = v.ticks(spark, sf)
+    for part in halves(rows):
+        part.write.mode("append").parquet(f"{path}/in")
+        source = records.table_stream(s, f"{path}/in", rows.schema)
+        bars = flows.settle(flows.minute_bars(flows.timed(source, "time", flows.PRICE_DELAY), "seq"))
         run(tables.append_query(bars, f"{path}/data", f"{path}/checkpoint"))
     return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/data")
 
@@ -294,9 +318,12 @@ def x9(spark, sf):
 
 @query("x10_idle_source", CLOSED_BARS)
 def x10(spark, sf):
-    """A second source that never has a record does not hold windows open."""
-    s = streaming_session(spark, idle_sources=True)
-    idle = flows.timed(tick_stream(s, sf).filter(F.col("event_type") == "none"), "time", flows.NEWS_DELAY)
+    """A second source that never has a record, but sends beats, does not hold
+    windows open."""
+    s = streaming_session(spark)
+    silent = tick_stream(s, sf).filter(F.col("event_type") == "none")
+    beats = tick_stream(s, sf).select("time")
+    idle = flows.timed_with_beats(silent, "time", flows.NEWS_DELAY, beats)
     both = price_stream(s, sf).unionByName(idle)
     path = fresh_path(s, "idle")
     bars = flows.settle(flows.minute_bars(both, "seq"))
@@ -304,6 +331,36 @@ def x10(spark, sf):
     return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/out")
 
 
+@query(
+    "x10_slow_source",
+    W(v.TICKS, """last AS (
+  SELECT date_trunc('millisecond', least(max(time) FILTER (seq % 2 = 0), max(time) FILTER (seq % 2 = 1)))
+         - INTERVAL 10 SECOND AS mark FROM ticks)""", v.BARS_1M, CLOSED_1M)
+    + f"SELECT {BAR} FROM closed",
+)
+def x10_slow(spark, sf):
+    """Two sources, one of which comes in four parts after the other is complete:
+    the job waits for it and loses none of its records. The complete one sends a
+    beat each time; a restarted job would else not know how far it had come."""
+    s = streaming_session(spark)
+    path = fresh_path(s, "slow")
+    rows = v.ticks(spark, sf)
+    slow = rows.filter(F.col("seq") % 2 == 1)
+    first = rows.filter(F.col("seq") % 2 == 0)
+    first.write.parquet(f"{path}/quick")
+    for part in (quarter for half in halves(slow) for quarter in halves(half)):
+        part.write.mode("append").parquet(f"{path}/slow")
+        first.agg(F.max("time").alias("time")).write.mode("append").parquet(f"{path}/beats")
+        beats = records.table_stream(s, f"{path}/beats", rows.select("time").schema)
+        quick = flows.timed_with_beats(
+            records.table_stream(s, f"{path}/quick", rows.schema), "time", flows.PRICE_DELAY, beats
+        )
+        late = flows.timed(records.table_stream(s, f"{path}/slow", rows.schema), "time", flows.PRICE_DELAY)
+        bars = flows.settle(flows.minute_bars(quick.unionByName(late), "seq"))
+        run(tables.append_query(bars, f"{path}/out", f"{path}/checkpoint"))
+    return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/out")
+
+
 @query(
     "x12_updates_merged",
     W(v.TICKS, v.sql_bars("bars_15m", "15m", 15)) + f"SELECT screener, {BAR} FROM bars_15m",
@@ -314,15 +371,14 @@ def x12(spark, sf):
     s = streaming_session(spark)
     path = fresh_path(s, "changes")
     rows = v.ticks(spark, sf)
-    cut = F.lit("2024-01-15 12:07:00").cast("timestamp_ntz")
-    for part in (F.col("time") < cut, F.col("time") >= cut):
-        rows.filter(part).write.mode("append").parquet(f"{path}/in")
+    for part in halves(rows):
+        part.write.mode("append").parquet(f"{path}/in")
         source = flows.timed(
             records.table_stream(s, f"{path}/in", rows.schema), "time", flows.PRICE_DELAY
         )
         bars = (
             source.groupBy("symbol", F.window("time", "15 minutes").alias("window"))
-            .agg(*flows.bar_columns(F.col("time")))
+            .agg(*flows.bar_columns(arrival_order("time", "seq")))
             .select(F.lit("15m").alias("screener"), "symbol", F.window_time("window").alias("rt"), *OHLCV)
         )
         run(tables.upsert_query(flows.settle(bars), path, "ohlvc", f"{path}/checkpoint", output_mode="update"))
@@ -334,7 +390,80 @@ def x13(spark, sf):
     """A restarted job goes on behind the records it has written."""
     s = streaming_session(spark)
     path = fresh_path(s, "offsets")
-    for _ in range(2):
-        rows = tick_stream(s, sf).select("symbol", "time", "close", "seq")
+    ticks = v.ticks(spark, sf)
+    for part in halves(ticks):
+        part.write.mode("append").parquet(f"{path}/in")
+        source = records.table_stream(s, f"{path}/in", ticks.schema)
+        rows = source.select("symbol", "time", "close", "seq")
         run(tables.append_query(rows, f"{path}/out", f"{path}/checkpoint"))
     return v.wall_clock(spark).read.schema(rows.schema).parquet(f"{path}/out")
+
+
+# ---- the live job: JSON topics in, keyed tables out -------------------------
+
+
+def live_tables(spark: SparkSession, sf: str) -> str:
+    """Runs the live job over both topics as folders of JSON lines; gives its root."""
+    s = streaming_session(spark)
+    root = fresh_path(s, "live")
+    ticks = v.ticks(spark, sf)
+    text = F.col("time").cast("string")
+    prices = ticks.select(
+        F.lit("1m").alias("screener"), "symbol", *OHLCV, text.alias("time"), F.col("seq").alias("offset")
+    )
+    news = v.as_news(ticks).select(
+        "symbol", "id", F.col("title").alias("news_title"), F.col("link").alias("news_source_link"),
+        F.col("event_time").cast("string").alias("public_date"),
+    )
+    for name, rows in (("prices", prices), ("news", news)):
+        records.encode(rows).write.text(f"{root}/topics/{name}")
+
+    def price_topic() -> DataFrame:
+        raw = records.text_stream(s, f"{root}/topics/prices")
+        offset = F.get_json_object("value", "$.offset").cast("long")
+        return live.prices_of(raw.withColumn("offset", offset))
+
+    news_topic = live.news_of(records.text_stream(s, f"{root}/topics/news"))
+    run(live.price_tables_query(price_topic(), f"{root}/t", f"{root}/cp-prices", "offset", FRAME_MINUTES))
+    run(live.impact_query(news_topic, price_topic(), f"{root}/t", f"{root}/cp-news", "offset"))
+    v.wall_clock(spark)
+    return f"{root}/t"
+
+
+def live_table(spark, sf, name: str) -> DataFrame:
+    return tables.read_table(spark, live_tables(spark, sf), TABLES[name])
+
+
+@query(
+    "x3_live_ladder",
+    W(v.TICKS, CLOSED, v.BARS_1M, CLOSED_1M,
+      ", ".join(v.sql_bars(f"r_{n}", n, m, "closed") for n, m in v.RUNGS.items()))
+    + " UNION ALL ".join(f"SELECT screener, {BAR} FROM r_{n}" for n in v.RUNGS),
+)
+def x3_live(spark, sf):
+    """Table ohlvc: closed minutes, and the longer bars they have made so far."""
+    return live_table(spark, sf, "ohlvc")
+
+
+_LIVE = "sma20 ema12 ema26 macd rsi14 bb_upper bb_lower vwap ret"
+
+
+@query(
+    "x7_live_indicators",
+    W(*CLOSED_IND, v.sql_range("closed"), v.sql_recursive("ind"))
+    + f"SELECT symbol, time, close, {v.sql_off_ties(_LIVE)} FROM rec",
+)
+def x7_live(spark, sf):
+    out = live_table(spark, sf, "indicators").select("symbol", "time", "close", *_LIVE.split())
+    return v.off_ties(out, *_LIVE.split())
+
+
+@query("x6_live_signals", SIGNALS_SQL)
+def x6_live(spark, sf):
+    return live_table(spark, sf, "signals")
+
+
+@query("x8_live_impact", X8_SQL.replace("prices AS (SELECT * FROM ticks WHERE event_type <> 'signup')", "prices AS (SELECT * FROM ticks)"))
+def x8_live(spark, sf):
+    """Here the price topic holds every tick."""
+    return v.rounded(live_table(spark, sf, "news_impact"), "impact_pct")

@@ -85,6 +85,15 @@ def rounded(df: DataFrame, *columns: str, digits: int = 6) -> DataFrame:
     return df.withColumns({c: r(F.col(c), digits) for c in columns})
 
 
+# Means of prices end in a tie at some decimal again and again, and the last bits
+# then decide. Both sides add this odd amount before they round.
+OFF_TIES = 3.1830989e-7
+
+
+def off_ties(df: DataFrame, *columns: str) -> DataFrame:
+    return df.withColumns({c: r(F.col(c) + OFF_TIES) for c in columns})
+
+
 def r(c: Column, digits: int = 6) -> Column:
     return F.round(c, digits) + F.lit(0.0)
 
@@ -240,6 +249,10 @@ def with_(*parts: str) -> str:
     return "WITH " + ",\n".join(parts) + "\n"
 
 
+def sql_off_ties(columns: str) -> str:
+    return ", ".join(f"round({c} + {OFF_TIES}, 6) + 0e0 AS {c}" for c in columns.split())
+
+
 def sql_rounded(columns: str, digits: int = 6) -> str:
     return ", ".join(f"round({c}, {digits}) + 0e0 AS {c}" for c in columns.split())
 
