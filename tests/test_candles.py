@@ -2,9 +2,10 @@ from datetime import datetime
 
 import pandas as pd
 import pytest
+from pyspark.sql import functions as F
 
 from tickloom.functions.times import HOUR_US, MINUTE_US
-from tickloom.operators import candles
+from tickloom.operators import candles, news
 
 T = datetime
 
@@ -42,12 +43,6 @@ def test_hour_from_raw_uses_sequence_too(spark):
     assert (row.open, row.close, row.time) == (4.0, 5.0, T(2024, 1, 1, 9))
 
 
-def test_sequence_out_of_range_stops_the_job(spark):
-    df = ticks(spark, [("A", T(2024, 1, 1), 5.0, 1.0, 1 << 40)])
-    with pytest.raises(Exception, match="outside"):
-        candles.rollup(df, MINUTE_US, seq="seq").collect()
-
-
 @pytest.mark.parametrize(
     "closed,label,expected",
     [
@@ -102,3 +97,42 @@ def test_ladder_places_minute_bars_once(spark):
 def test_incomplete_bars_are_dropped(spark):
     df = ticks(spark, [("A", T(2024, 1, 1), 5.0, None, 1), ("A", T(2024, 1, 2), 5.0, 1.0, 1)])
     assert [r.time for r in candles.daily(df).collect()] == [T(2024, 1, 2)]
+
+
+BIG = (-(2**63), -5, 0, 2**40, 2**62, 2**63 - 1)
+
+
+@pytest.mark.parametrize("width", [MINUTE_US, 60 * MINUTE_US])
+def test_ties_follow_any_sequence_number(spark, width):
+    at = datetime(2024, 1, 1, 9, 0, 30)
+    rows = [("A", at, float(i), q) for i, q in enumerate(BIG)] + [("B", at, 9.0, 7), ("B", at, 8.0, None)]
+    df = spark.createDataFrame(rows[::-1], "symbol string, time timestamp_ntz, close double, seq bigint")
+    for c in ("open", "high", "low", "volume"):
+        df = df.withColumn(c, F.col("close"))
+    got = {r.symbol: (r.open, r.close) for r in candles.rollup(df, width, seq="seq").collect()}
+    assert got == {"A": (0.0, 5.0), "B": (8.0, 9.0)}
+
+
+def test_later_time_beats_a_higher_sequence_number(spark):
+    rows = [("A", datetime(2024, 1, 1, 9, 0, 1), 1.0, 2**62), ("A", datetime(2024, 1, 1, 9, 0, 2), 2.0, -7)]
+    df = spark.createDataFrame(rows, "symbol string, time timestamp_ntz, close double, seq bigint")
+    for c in ("open", "high", "low", "volume"):
+        df = df.withColumn(c, F.col("close"))
+    row = candles.rollup(df, seq="seq").first()
+    assert (row.open, row.close) == (1.0, 2.0)
+
+
+def plan_of(df):
+    return df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_bars_and_news_impact_hash_their_rows(spark):
+    rows = spark.createDataFrame(
+        [], "symbol string, time timestamp_ntz, open double, high double, low double, close double, "
+        "volume double, seq bigint"
+    )
+    news_rows = spark.createDataFrame(
+        [], "symbol string, id string, event_time timestamp_ntz, title string, link string"
+    )
+    for df in (candles.rollup(rows, seq="seq"), news.news_impact(news_rows, rows, seq="seq")):
+        assert "SortAggregate" not in plan_of(df) and "HashAggregate" in plan_of(df)

@@ -1,6 +1,7 @@
 import math
 import random
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -146,3 +147,21 @@ def test_array_forms(spark):
     assert (got[1].e, got[2].e, got[3].e, got[3].r) == (None, None, 5.0, None)
     assert all(r.z is None for r in got.values())
     assert math.isfinite(got[0].r)
+
+
+@pytest.mark.parametrize("bad", [float("nan"), float("inf"), float("-inf")])
+@pytest.mark.parametrize("block", [2048, 64])
+def test_a_bad_close_leaves_after_the_history(spark, bars, bad, block):
+    """With 40 closes of history, the 41st row and all after it are right again."""
+    closes = [50 + 10 * math.sin(i) for i in range(200)]
+    spoilt = closes[:60] + [bad] + closes[61:]
+
+    def values(series):
+        df = bars({"A": list(enumerate(series))})
+        out = ind.recursive_indicators(df, history=40, block=block).orderBy("time").toPandas()
+        return out[["ema12", "ema26", "macd", "rsi14"]]
+
+    got, want = values(spoilt), values(closes)
+    assert got.iloc[60:100].isna().all().all()
+    for part in (slice(0, 60), slice(100, None)):
+        assert np.allclose(got.iloc[part], want.iloc[part], equal_nan=True)

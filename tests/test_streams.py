@@ -3,6 +3,8 @@
 import random
 from datetime import datetime as T, timedelta
 
+import numpy as np
+import pandas as pd
 import pytest
 from pyspark.sql import functions as F
 
@@ -178,3 +180,108 @@ def test_longer_rungs_over_stored_bars(spark, tmp_path, feed):
     mark = stored.agg(F.max("time")).first()[0] - timedelta(seconds=5)
     want = candles.ladder(stored).filter("screener <> '1m'")
     same(got, want.filter(F.col("time") + F.expr("INTERVAL '0.001' SECOND") <= F.lit(mark)))
+
+
+def test_bar_state_equals_a_row_by_row_fold_and_stays_small():
+    """Null closes, several batches, a long and a short frame."""
+    rng = random.Random(3)
+    start = T(2024, 1, 1)
+    bars_ = [
+        (start + timedelta(minutes=i), None if rng.random() < 0.2 else rng.uniform(10, 20), rng.uniform(1, 5))
+        for i in range(900)
+    ]
+
+    class Kept:
+        value = None
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def update(self, value):
+            self.value = value
+
+    for frame in (20, 600):
+        processor = state.BarState(frame * MINUTE_US)
+        processor.kept = Kept()
+        out = []
+        for i in (0, 1, 7, 400):
+            j = {0: 1, 1: 7, 7: 400, 400: 900}[i]
+            part = pd.DataFrame(bars_[i:j], columns=["rt", "close", "volume"]).assign(open=1.0, high=1.0, low=1.0)
+            part["close"] = part["close"].astype(float)
+            out.append(pd.concat(processor.handleInputRows(("A",), iter([part[::-1]]), None)))
+        got = pd.concat(out).reset_index(drop=True)
+        history, up, last = [], 0, None
+        for i, (rt, close, _) in enumerate(bars_):
+            inside = [b for b in bars_[: i + 1] if b[0] >= rt - timedelta(minutes=frame)]
+            priced = [c for _, c, _ in inside if c is not None]
+            if priced:
+                assert got.sma20[i] == pytest.approx(np.mean(priced))
+                assert got.bb_upper[i] == pytest.approx(np.mean(priced) + 2 * np.std(priced))
+            assert got.avg_volume[i] == pytest.approx(np.mean([v for *_, v in inside]))
+            up = up + 1 if close is not None and last is not None and close > last else 1
+            assert got.up[i] == up
+            last = close
+            if close is None:
+                assert np.isnan(got.ema12[i]) and np.isnan(got.rsi14[i])
+                continue
+            history = (history + [close])[-300:]
+            mean = history[0]
+            for c in history[1:]:
+                mean = c * 2 / 13 + mean * 11 / 13
+            assert got.ema12[i] == pytest.approx(mean)
+            if len(history) > 14:
+                steps = np.diff(history)
+                means = []
+                for side in (np.maximum(steps, 0), np.maximum(-steps, 0)):
+                    m = side[:14].mean()
+                    for x in side[14:]:
+                        m = (m * 13 + x) / 14
+                    means.append(m)
+                assert got.rsi14[i] == pytest.approx(100 - 100 / (1 + means[0] / means[1]))
+            else:
+                assert np.isnan(got.rsi14[i])
+        times, closes, volumes, kept_history, *_ = processor.kept.value
+        assert len(times) == len(closes) == len(volumes) == frame + 1 and len(kept_history) == 300
+
+    # Without any close only the frame is kept.
+    processor = state.BarState()
+    processor.kept = Kept()
+    part = pd.DataFrame({"rt": [b[0] for b in bars_], "close": np.nan, "volume": 1.0}).assign(open=1.0, high=1.0, low=1.0)
+    list(processor.handleInputRows(("A",), iter([part]), None))
+    assert len(processor.kept.value[0]) == 21 and processor.kept.value[3] == []
+
+
+def test_beats_move_the_watermark_and_leave_no_row(spark, tmp_path, feed):
+    rows = rows_of(300)
+    feed(chunks(rows, 2))
+    s, schema = streaming_session(spark), spark.createDataFrame([], SCHEMA).schema
+
+    def raw():
+        return records.table_stream(s, str(tmp_path / "in"), schema, files_per_batch=1)
+
+    silent, beats = raw().filter("symbol = 'none'"), raw().select("time")
+    both = flows.timed(raw(), "time", flows.PRICE_DELAY).unionByName(
+        flows.timed_with_beats(silent, "time", flows.NEWS_DELAY, beats)
+    )
+    got = drain(spark, tmp_path, flows.settle(flows.minute_bars(both, "seq")), "bars")
+    same(got, minute(spark, rows))
+
+
+def test_live_job_keeps_the_ladder_of_touched_hours(spark, tmp_path, feed):
+    from tickloom.streaming import live
+
+    rows = rows_of(900)
+    source = feed(chunks(rows, 3))
+    root = str(tmp_path / "live")
+    query = live.price_tables_query(source(), root, f"{root}-cp", "seq")
+    query.trigger(availableNow=True).start().awaitTermination()
+    bars_ = minute(spark, rows)
+    same(tables.read_table(spark, root, TABLES["ohlvc"]), candles.ladder(bars_))
+    same(tables.read_table(spark, root, TABLES["signals"]), signals.signal_table(bars_))
+    assert tables.read_table(spark, root, TABLES["indicators"]).count() == bars_.count()
+
+
+def test_stateful_jobs_take_the_configured_partitions_up_to_two_per_local_core(spark):
+    cores = spark.sparkContext.defaultParallelism
+    asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    got = int(streaming_session(spark).conf.get("spark.sql.shuffle.partitions"))
+    assert got == min(asked, 2 * cores)
