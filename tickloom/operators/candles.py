@@ -15,17 +15,17 @@ LADDER = {"1m": 1, "5m": 5, "15m": 15, "30m": 30, "1H": 60}
 
 OHLCV = ("open", "high", "low", "close", "volume")
 
-# A packed order key has room for every bigint, and a null, in each microsecond.
+# A packed order key has room for every bigint, and a null below them, in each
+# microsecond.
 _SEQ_ROOM = Decimal(1 << 65)
-_FIRST_SEQ = Decimal(1 - (1 << 63))
+_NO_SEQ = Decimal(-(1 << 63) - 1)
 
 
 def _packed(time_us: Column, seq: str) -> Column:
     """(microseconds, sequence number) as one decimal; a null sequence number
     comes before all others of its time."""
-    number = F.coalesce(F.col(seq).cast("decimal(20,0)") - F.lit(_FIRST_SEQ) + 2, F.lit(Decimal(0)))
-    key = time_us.cast("decimal(17,0)") * F.lit(_SEQ_ROOM) + number
-    return key.cast("decimal(38,0)")
+    number = F.coalesce(F.col(seq).cast("decimal(20,0)"), F.lit(_NO_SEQ))
+    return time_us.cast("decimal(17,0)") * F.lit(_SEQ_ROOM) + number
 
 
 def arrival_order(time: str, seq: str | None) -> Column:
