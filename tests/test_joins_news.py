@@ -1,4 +1,5 @@
-from datetime import datetime as T
+import random
+from datetime import datetime as T, timedelta
 
 import pytest
 from pyspark.sql import functions as F
@@ -98,3 +99,44 @@ def test_history_text_gives_one_row_per_entry(spark):
     df = spark.createDataFrame([("A", text), ("B", "none")], "symbol string, text string")
     got = [tuple(r) for r in news.extract_entries(df, "text").collect()]
     assert got == [("A", "Ngày 02/01/2020", "lập ra"), ("A", "Năm 1999", "đổi tên: mới")]
+
+
+@pytest.mark.parametrize("horizon_us", [1, 40_000_000, 60_000_000, 15 * 60_000_000, 90_500_001])
+def test_impact_by_minutes_equals_all_pairs(spark, horizon_us):
+    rng = random.Random(horizon_us)
+    base = T(1969, 12, 31, 23, 50)
+
+    def moment():
+        # Whole minutes and the microseconds beside them come up often.
+        us = rng.choice([0, 1, -1, 30_000_000, rng.randrange(60_000_000)])
+        return base + timedelta(minutes=rng.randrange(30), microseconds=us)
+
+    p = prices(spark, [(rng.choice("AB"), moment(), float(rng.randrange(-2, 50))) for _ in range(400)])
+    n = items(spark, [(rng.choice("ABC"), str(i % 50), moment()) for i in range(60)])
+    n = n.unionByName(n.limit(3))
+    got = news.news_impact(n, p, horizon_us, seq="seq")
+    order = F.struct("time", "seq")
+    want = (
+        joins.within_after(n, p, horizon_us)
+        .groupBy("symbol", "id", "event_time", "title", "link")
+        .agg(
+            F.min_by("close", order), F.max_by("close", order), F.max("high"), F.min("low"), F.count(F.lit(1))
+        )
+    )
+    rows = [tuple(r)[:10] for r in got.collect()]
+    assert sorted(rows) == sorted(tuple(r) for r in want.collect())
+    assert rows or horizon_us == 1
+
+
+def test_bounds_and_daily_values_leave_records_where_they_are(spark):
+    from tickloom.operators import forecast, research
+
+    p = prices(spark, [("A", T(2024, 1, d, 9), float(d)) for d in range(1, 9)])
+    days = p.select("symbol", F.date_trunc("day", "time").cast("timestamp_ntz").alias("day"), F.col("close").alias("v"))
+    for df in (
+        joins.outside_stored(p, p.filter("seq < 3")),
+        research.join_daily(p, days),
+        forecast.normalise(p),
+    ):
+        df.collect()
+        assert "hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()

@@ -142,3 +142,21 @@ def test_a_zero_price_gives_null_not_an_error(spark):
     )
     got = research.volatility_features(df).orderBy("time").collect()
     assert [r.tr for r in got] == [None, 1.0, None]
+
+
+def test_volatility_summary_equals_the_means_of_the_features(spark):
+    rows = [
+        (s, T(2024, 1, 1 + d, 9 + m), c, c, c + m, c - m, 1.0)
+        for s, base in (("A", 10.0), ("B", 50.0))
+        for d in range(25)
+        for m in range(d % 3 + 1)
+        for c in [0.0 if (d, m) == (20, 1) else base + (d * 7 + m * 3) % 5]
+    ]
+    df = spark.createDataFrame(
+        rows, "symbol string, time timestamp_ntz, open double, close double, high double, low double, volume double"
+    )
+    want = research.volatility_features(df).groupBy("symbol").agg(F.avg("hist_vol"), F.avg("atr"))
+    got = {r.symbol: tuple(r)[1:] for r in research.volatility_summary(df).collect()}
+    assert len(got) == 2
+    for r in want.collect():
+        assert got[r.symbol] == pytest.approx(tuple(r)[1:])

@@ -11,7 +11,7 @@ from tickloom.functions.scalars import ratio
 from tickloom.functions.times import HOUR_US, plus_minutes
 from tickloom.operators import segments as sg
 from tickloom.operators.serving import latest_n
-from tickloom.session import ship_package
+from tickloom.session import ship_package, stored
 
 # Encoder and decoder lengths, and minutes of the forecast rungs.
 ENCODER_ROWS = 120
@@ -240,7 +240,10 @@ def target_scale(df: DataFrame, target: str = "close", key: str = "symbol") -> D
 
 
 def normalise(df: DataFrame, target: str = "close", key: str = "symbol") -> DataFrame:
-    return df.join(target_scale(df, target, key), key).withColumn(
+    """``target`` less its centre, over its scale. The scales are stored first, so no
+    row of ``df`` is shuffled while they are below the broadcast threshold."""
+    scale = stored(target_scale(df, target, key), "target-scale")
+    return df.join(scale, key).withColumn(
         f"{target}_scaled", ratio(F.col(target) - F.col("center"), F.col("scale"))
     )
 

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions.times import DAY_US, MICROS, MINUTE_US, chunk_of
+from tickloom.session import stored as stored_table
 
 
 def within_after(
@@ -68,12 +69,14 @@ def gap_bounds(incoming: DataFrame, stored: DataFrame, key: str = "symbol") -> D
 def outside_stored(incoming: DataFrame, stored: DataFrame, key: str = "symbol") -> DataFrame:
     """Backfill filter: rows before the stored start or after the stored end.
 
-    Keys without both bounds keep all rows.
+    Keys without both bounds keep all rows. The bounds, one row per key, are stored
+    first: below the broadcast threshold no incoming row is shuffled.
     """
+    bounds = stored_table(gap_bounds(incoming, stored, key), "gap-bounds")
     start, end = F.col("stored_start"), F.col("stored_end")
     keep = start.isNull() | end.isNull() | (F.col("time") < start) | (F.col("time") > end)
     return (
-        incoming.join(gap_bounds(incoming, stored, key), key, "left")
+        incoming.join(bounds, key, "left")
         .filter(keep)
         .select(*incoming.columns)
     )

@@ -14,6 +14,7 @@ from tickloom.functions import folds
 from tickloom.functions.scalars import ratio
 from tickloom.functions.times import DAY_US, MINUTE_US, bin_start, from_micros
 from tickloom.operators.candles import daily, recency_order
+from tickloom.session import stored
 
 TRADING_DAYS = 252
 
@@ -113,34 +114,59 @@ def average_true_range(days: DataFrame, rows: int = 14, method: str = "simple")
     return out.withColumn("_past", past).withColumn("atr", folds.wilder(F.col("_past"), rows)).drop("_past")
 
 
+def _daily_features(records: DataFrame, seq: str | None) -> DataFrame:
+    days = daily(records, seq=seq)
+    return backfill(average_true_range(historical_volatility(days)), "tr", "atr").select(
+        "symbol", F.col("time").alias("day"), "hist_vol", "tr", "atr"
+    )
+
+
 def volatility_features(records: DataFrame, seq: str | None = None) -> DataFrame:
     """Daily hist_vol, TR and ATR joined back onto the minute rows.
 
     Back-filling happens on the daily rows: all rows of one day share a value,
     so the next value of a row is the value of the next day that has one.
     """
-    days = daily(records, seq=seq)
-    features = backfill(average_true_range(historical_volatility(days)), "tr", "atr").select(
-        "symbol", F.col("time").alias("day"), "hist_vol", "tr", "atr"
-    )
-    return join_daily(records, features).withColumns(
+    return join_daily(records, _daily_features(records, seq)).withColumns(
         {c: ratio(F.col(c), F.col("close")) for c in ("tr", "atr")}
     )
 
 
 def join_daily(records: DataFrame, features: DataFrame) -> DataFrame:
-    """Left join of daily values (symbol, day, ...) onto finer rows."""
+    """Left join of daily values (symbol, day, ...) onto finer rows.
+
+    The daily values are stored first, so their size is known when the join is
+    planned: below the broadcast threshold no finer row is shuffled.
+    """
     return (
         records.withColumn("day", from_micros(bin_start("time", DAY_US)))
-        .join(features, ["symbol", "day"], "left")
+        .join(stored(features, "daily-values"), ["symbol", "day"], "left")
         .drop("day")
     )
 
 
-def volatility_summary(features: DataFrame) -> DataFrame:
-    """Mean hist_vol and ATR per symbol; symbols lacking either are left out."""
+def volatility_summary(records: DataFrame, seq: str | None = None) -> DataFrame:
+    """Means per symbol of the hist_vol and atr that ``volatility_features`` gives
+    the records; symbols lacking either are left out.
+
+    The rows of a day share its values, so they are counted per day and no record is
+    joined: the mean of ATR over close is ATR times the sum of 1 / close.
+    """
+    inverse = ratio(F.lit(1.0), F.col("close"))
+    counted = (
+        records.groupBy("symbol", from_micros(bin_start("time", DAY_US)).alias("day"))
+        .agg(F.count(F.lit(1)).alias("_n"), F.sum(inverse).alias("_inverse"), F.count(inverse).alias("_n_inverse"))
+    )
+    met = counted.join(_daily_features(records, seq), ["symbol", "day"])
+
+    def mean(total, n, of):
+        return ratio(F.sum(total), F.sum(F.when(F.col(of).isNotNull(), F.col(n))))
+
     return (
-        features.groupBy("symbol")
-        .agg(F.avg("hist_vol").alias("hist_vol"), F.avg("atr").alias("atr"))
+        met.groupBy("symbol")
+        .agg(
+            mean(F.col("hist_vol") * F.col("_n"), "_n", "hist_vol").alias("hist_vol"),
+            mean(F.col("atr") * F.col("_inverse"), "_n_inverse", "atr").alias("atr"),
+        )
         .dropna()
     )

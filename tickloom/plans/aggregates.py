@@ -183,8 +183,7 @@ features AS (
 WHERE hist_vol IS NOT NULL AND atr IS NOT NULL""",
 )
 def a10(spark, sf):
-    features = research.volatility_features(v.ticks(spark, sf), "seq")
-    return v.rounded(research.volatility_summary(features), "hist_vol", "atr")
+    return v.rounded(research.volatility_summary(v.ticks(spark, sf), "seq"), "hist_vol", "atr")
 
 
 @query(
@@ -232,7 +231,7 @@ def naive(spark, sf):
     """One-step forecasts: every bar is predicted by the bar before."""
     from tickloom.operators.segments import with_previous
 
-    bars = with_previous(v.hour_bars(spark, sf), ["symbol"], "time", {"close_predict": "close"})
+    bars = with_previous(v.stored_hour_bars(spark, sf), ["symbol"], "time", {"close_predict": "close"})
     return bars.filter(F.col("close_predict").isNotNull())
 
 
@@ -281,7 +280,7 @@ GROUP BY symbol""",
 def a16(spark, sf):
     from tickloom.operators.indicators import look_ahead
 
-    bars = look_ahead(v.hour_bars(spark, sf), 10).select(
+    bars = look_ahead(v.stored_hour_bars(spark, sf), 10).select(
         "symbol",
         (F.col("close") - F.col("open")).alias("predicted"),
         (F.col("close_ahead") - F.col("open")).alias("actual"),
@@ -298,7 +297,7 @@ FROM bars_1h b JOIN (SELECT symbol, avg(close) AS center, stddev_samp(close) AS
                      FROM bars_1h GROUP BY symbol) s ON b.symbol = s.symbol""",
 )
 def a17(spark, sf):
-    out = forecast.normalise(v.hour_bars(spark, sf))
+    out = forecast.normalise(v.stored_hour_bars(spark, sf))
     return v.rounded(out.select("symbol", "time", "close", "close_scaled"), "close_scaled")
 
 
@@ -320,7 +319,7 @@ SIGNAL_UNION = ("SELECT * FROM ups UNION ALL SELECT * FROM downs UNION ALL SELEC
 
 @query("u2_union_signals", W(v.TICKS, v.BARS_1H, *SIGNALS_1H) + SIGNAL_UNION)
 def u2(spark, sf):
-    return signals.signal_table(v.hour_bars(spark, sf), v.FRAME_US)
+    return signals.signal_table(v.stored_hour_bars(spark, sf), v.FRAME_US)
 
 
 @query(

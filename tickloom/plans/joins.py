@@ -55,7 +55,8 @@ def j3(spark, sf):
 )
 def j4(spark, sf):
     ranked = research.nominal_volume(v.day_bars(spark, sf))
-    top = research.top_symbols(ranked, "nominal_volume", 3).select("symbol")
+    # Three rows, whatever the data: the records stay where they are.
+    top = F.broadcast(research.top_symbols(ranked, "nominal_volume", 3).select("symbol"))
     return v.ticks(spark, sf).select("symbol", "time", "close").join(top, "symbol", "left_semi")
 
 
@@ -68,7 +69,7 @@ SELECT a.symbol, a.time_idx, a.close, b.close AS close_predict FROM indexed a
 LEFT JOIN indexed b ON a.symbol = b.symbol AND a.time_idx = b.time_idx + 1""",
 )
 def j5(spark, sf):
-    rows = forecast.with_time_idx(v.hour_bars(spark, sf)).select("symbol", "time_idx", "close")
+    rows = forecast.with_time_idx(v.stored_hour_bars(spark, sf)).select("symbol", "time_idx", "close")
     ahead = rows.select(
         "symbol", (F.col("time_idx") + 1).alias("time_idx"), F.col("close").alias("close_predict")
     )

@@ -215,7 +215,7 @@ def p14(spark, sf):
     + f" ELSE side END AS side FROM ({SIGNAL_UNION})",
 )
 def p15(spark, sf):
-    return signals.signal_table(v.hour_bars(spark, sf), v.FRAME_US).select(
+    return signals.signal_table(v.stored_hour_bars(spark, sf), v.FRAME_US).select(
         "symbol", "signal_time", "signal_type", sc.side_label().alias("side")
     )
 
@@ -227,7 +227,7 @@ def p15(spark, sf):
   WHEN rsi14 IS NOT NULL THEN 'neutral' END AS zone FROM rec""",
 )
 def p16(spark, sf):
-    bars = indicators.recursive_indicators(v.hour_bars(spark, sf))
+    bars = indicators.recursive_indicators(v.stored_hour_bars(spark, sf))
     return bars.select("symbol", "time", sc.rsi_zone().alias("zone"))
 
 

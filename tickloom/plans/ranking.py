@@ -86,7 +86,7 @@ def k1_indicators(spark, sf):
     + _latest("*", "signals", "symbol", "signal_time DESC, signal_type", 50),
 )
 def k1_signals(spark, sf):
-    rows = signals.signal_table(v.hour_bars(spark, sf), v.FRAME_US)
+    rows = signals.signal_table(v.stored_hour_bars(spark, sf), v.FRAME_US)
     return serving.latest_n(rows, ["symbol"], 50, "signal_time", ["signal_type"])
 
 

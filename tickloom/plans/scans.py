@@ -203,7 +203,7 @@ def s13_indicators(spark, sf):
     """The indicator table, written first without a column and then whole, by two
     writers; every key is read once."""
     root = fresh_path(spark, "tables")
-    bars = indicators.indicator_table(v.hour_bars(spark, sf), v.FRAME_US)
+    bars = indicators.indicator_table(v.stored_hour_bars(spark, sf), v.FRAME_US)
     for writer, rows in (("backfill", bars.drop("vwap")), ("live", bars)):
         tables.write_batch(rows, root, TABLES["indicators"], 0, writer=writer)
     stored = tables.read_table(spark, root, TABLES["indicators"])

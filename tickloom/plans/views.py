@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types a
 
 from tickloom.functions.times import HOUR_US, MINUTE_US
 from tickloom.operators import candles
-from tickloom.session import wall_clock
+from tickloom.session import stored, wall_clock
 
 EVENTS_SCHEMA = T.StructType(
     [
@@ -54,6 +54,11 @@ def hour_bars(spark, sf_dir) -> DataFrame:
     return bars.withColumn("screener", F.lit("1H"))
 
 
+def stored_hour_bars(spark, sf_dir) -> DataFrame:
+    """Hour bars as a stored table, for operators that read their input twice."""
+    return stored(hour_bars(spark, sf_dir), "hour-bars")
+
+
 def day_bars(spark, sf_dir) -> DataFrame:
     return candles.daily(ticks(spark, sf_dir), seq="seq")
 

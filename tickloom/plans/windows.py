@@ -75,16 +75,16 @@ def _rows(n: int) -> str:
 
 @query("w5_sma20_rows", _rows(20))
 def w5(spark, sf):
-    return pick(ind.row_sma(v.hour_bars(spark, sf), (20,)), "sma_20", digits=MEANS)
+    return pick(ind.row_sma(v.stored_hour_bars(spark, sf), (20,)), "sma_20", digits=MEANS)
 
 
 @query("w6_sma50_rows", _rows(50))
 def w6(spark, sf):
-    return pick(ind.row_sma(v.hour_bars(spark, sf), (50,)), "sma_50", digits=MEANS)
+    return pick(ind.row_sma(v.stored_hour_bars(spark, sf), (50,)), "sma_50", digits=MEANS)
 
 
 def recursive(spark, sf):
-    return ind.recursive_indicators(v.hour_bars(spark, sf))
+    return ind.recursive_indicators(v.stored_hour_bars(spark, sf))
 
 
 def _rec(columns: str) -> str:
@@ -114,7 +114,7 @@ def w9(spark, sf):
     + " FROM rec",
 )
 def indicator_table(spark, sf):
-    out = ind.indicator_table(v.hour_bars(spark, sf), v.FRAME_US)
+    out = ind.indicator_table(v.stored_hour_bars(spark, sf), v.FRAME_US)
     return v.rounded(out, *[c for c in ind.INDICATOR_COLUMNS if c not in
                             ("screener", "symbol", "time", "close")])
 
@@ -126,7 +126,7 @@ def indicator_table(spark, sf):
   + 0e0 AS ret FROM bars_1h""",
 )
 def w10(spark, sf):
-    return pick(ind.returns(v.hour_bars(spark, sf)), "ret")
+    return pick(ind.returns(v.stored_hour_bars(spark, sf)), "ret")
 
 
 @query(
@@ -137,7 +137,7 @@ def w10(spark, sf):
 FROM (SELECT *, lag(close, 1, close) OVER (PARTITION BY symbol ORDER BY time) AS prev FROM bars_1h)""",
 )
 def w11(spark, sf):
-    return pick(ind.price_change(v.hour_bars(spark, sf)), "price_change", "price_change_pct")
+    return pick(ind.price_change(v.stored_hour_bars(spark, sf)), "price_change", "price_change_pct")
 
 
 def volatility_days(spark, sf):
@@ -238,7 +238,7 @@ def w19(spark, sf):
     + f"SELECT {IDS}, lead(close, 10) OVER (PARTITION BY symbol ORDER BY time) AS close_ahead FROM bars_1h",
 )
 def w20(spark, sf):
-    return ind.look_ahead(v.hour_bars(spark, sf), 10).select("screener", "symbol", "time", "close_ahead")
+    return ind.look_ahead(v.stored_hour_bars(spark, sf), 10).select("screener", "symbol", "time", "close_ahead")
 
 
 @query("w21_shared_window", _range("sma20 bb_mid bb_upper bb_lower vwap avg_volume"))
@@ -251,12 +251,12 @@ def w21(spark, sf):
 
 @query("m1_trend_up", W(*HOURS, v.sql_trend("bars_1h", True)) + "SELECT * FROM trend")
 def m1(spark, sf):
-    return signals.trend_signals(v.hour_bars(spark, sf), True)
+    return signals.trend_signals(v.stored_hour_bars(spark, sf), True)
 
 
 @query("m2_trend_down", W(*HOURS, v.sql_trend("bars_1h", False)) + "SELECT * FROM trend")
 def m2(spark, sf):
-    return signals.trend_signals(v.hour_bars(spark, sf), False)
+    return signals.trend_signals(v.stored_hour_bars(spark, sf), False)
 
 
 @query("m1_trend_up_minutes", W(v.TICKS, v.BARS_1M, v.sql_trend("bars_1m", True)) + "SELECT * FROM trend")
@@ -274,7 +274,7 @@ def m3(spark, sf):
     W(*HOURS, v.sql_trend("bars_1h", True, length=4)) + "SELECT symbol, signal_time, price FROM trend",
 )
 def m4(spark, sf):
-    return signals.trend_signals(v.hour_bars(spark, sf), True, 4).select("symbol", "signal_time", "price")
+    return signals.trend_signals(v.stored_hour_bars(spark, sf), True, 4).select("symbol", "signal_time", "price")
 
 
 # ---- array forms -----------------------------------------------------------

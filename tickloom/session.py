@@ -8,7 +8,7 @@ import tempfile
 import uuid
 
 from pyspark import cloudpickle
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 ROCKSDB_PROVIDER = (
     "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -83,6 +83,18 @@ def fresh_path(spark: SparkSession, name: str) -> str:
     return os.path.join(shared_folder(spark).rstrip("/"), f"{name}-{uuid.uuid4().hex}")
 
 
+def stored(df: DataFrame, name: str) -> DataFrame:
+    """Writes ``df`` to the shared folder and reads it again.
+
+    What it was made from is read once however often the result is used, and the
+    planner knows its size: it broadcasts the table if that is below its threshold
+    and shuffles otherwise.
+    """
+    path = fresh_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
 def ship_package() -> None:
     """Sends this package's functions to Python workers by value, so that no
     installation is needed there."""
