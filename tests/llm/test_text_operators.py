@@ -241,6 +241,16 @@ def test_near_links_join_what_brute_force_joins(spark, tile):
     assert groups(find) == groups(root.__getitem__)
 
 
+def test_a_guest_joins_two_trees(spark):
+    fps = [0x7084E52DB2221A58, 0x7204E52DB2221B58, 0x7200E5ADB2221A58, 0x7200E1A5B2221B58]
+    assert len(set(brute_components(fps).values())) == 1
+    parent = {f: f for f in fps}
+    for a, b in simhash.near_links(spark.createDataFrame([(f,) for f in fps], "fp bigint")).collect():
+        gone, stays = parent[a], parent[b]
+        parent = {f: stays if x == gone else x for f, x in parent.items()}
+    assert len(set(parent.values())) == 1
+
+
 def test_near_duplicates(edge, real, empty):
     for docs in (edge, real):
         rows = both(docs)[0]

@@ -107,23 +107,37 @@ def anchored(prints: DataFrame) -> DataFrame:
 
 
 def _trees(fps: np.ndarray, home: np.ndarray, near: int) -> list[tuple[int, int]]:
-    """Links that join what is near to a fingerprint at home, one per fingerprint
-    reached at most. Only those at home are compared further."""
+    """Links that join what is near to a fingerprint at home: a forest, so fewer links
+    than fingerprints. Each at home is in one tree and is compared with all that no tree
+    holds and with every guest; a guest that several trees reach joins those trees."""
     out = []
-    left, left_home = fps, home
-    while left_home.any():
-        start = int(np.argmax(left_home))
-        root = left[start]
+    left, guests = fps[home], fps[~home]
+    owner = np.full(len(guests), -1)  # the first tree that reached a guest
+    roots, heads = [], []
+    while len(left):
+        root, left = left[0], left[1:]
+        tree = len(roots)
+        roots.append(root)
+        heads.append(tree)
         wait = [root]
-        rest = np.ones(len(left), bool)
-        rest[start] = False
-        left, left_home = left[rest], left_home[rest]
-        while wait and len(left):
-            hit = np.bitwise_count(left ^ wait.pop()) <= near
+        reached = np.zeros(len(guests), bool)
+        while wait:
+            at = wait.pop()
+            hit = np.bitwise_count(left ^ at) <= near
             if hit.any():
                 out += [(root, x) for x in left[hit]]
-                wait += list(left[hit & left_home])
-                left, left_home = left[~hit], left_home[~hit]
+                wait += list(left[hit])
+                left = left[~hit]
+            reached |= np.bitwise_count(guests ^ at) <= near
+        first = reached & (owner < 0)
+        out += [(root, x) for x in guests[first]]
+        for other in np.unique(owner[reached & ~first]).tolist():
+            while heads[other] != other:
+                heads[other] = other = heads[heads[other]]
+            if other != tree:
+                heads[other] = tree
+                out.append((root, roots[other]))
+        owner[first] = tree
     return out
 
 
