@@ -1,0 +1,224 @@
+"""Links between texts whose sets of word shingles have a Jaccard similarity of a
+threshold or more. Nothing is missed: of two such sets, each ordered alike, the
+first n - ceil(threshold n) + 1 shingles have one in common (prefix filter).
+
+Shingles stand as 64-bit hashes. The order puts common ones last, so that a line of
+many documents seldom is a prefix; any order gives the same links. Texts that share a
+prefix shingle meet in tiles, first with counts of hashes by slot, whose smaller values
+bound the overlap from above. What may still have a partner meets with its whole set,
+and gives a forest of links.
+"""
+
+from __future__ import annotations
+
+import math
+from collections.abc import Iterator
+
+import numpy as np
+import pyarrow as pa
+import xxhash
+from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
+
+from tickloom.llm.common import settle, ship, text_of
+
+SHINGLE = 5
+SIMILARITY = 0.8
+#: Texts of a crowded shingle that meet in one tile; each brings its set.
+TILE = 256
+_SLOTS = 1 << 20
+#: Slots of common shingles that the order knows.
+_COMMON = 1 << 15
+#: Counts of a sketch: the slot is the upper seven bits.
+_BINS = 128
+
+
+def shingle_set(text: str | None, size: int = SHINGLE) -> np.ndarray:
+    """Distinct hashes of the word shingles, ascending; fewer words are one shingle, no
+    words are one of their own."""
+    words = (text or "").encode("utf-8", "surrogatepass").lower().split()
+    if not words:
+        return np.zeros(1, np.uint64)
+    digest = xxhash.xxh64_intdigest
+    each = np.fromiter((digest(w, 42) for w in words), np.uint64, len(words))
+    size = min(size, len(words))
+    count = len(words) - size + 1
+    out = np.full(count, size, np.uint64)
+    for k in range(size):
+        out = (out ^ each[k : k + count]) * np.uint64(0x9E3779B97F4A7C15)
+        out ^= out >> np.uint64(29)
+    return np.unique(out)
+
+
+def _slots(hashes: np.ndarray) -> np.ndarray:
+    return (hashes >> np.uint64(44)).astype(np.int64)
+
+
+def _common_slots(texts: DataFrame, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Slots that stand out in some partition, and how often they were counted."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts = np.zeros(_SLOTS, np.int64)
+        for batch in batches:
+            for t in batch.column("text"):
+                counts[_slots(shingle_set(t.as_py(), size))] += 1
+        out = np.flatnonzero(counts > 16 + 8 * counts.mean())
+        yield pa.RecordBatch.from_arrays([pa.array(out), pa.array(counts[out])], ["slot", "n"])
+
+    rows = (
+        texts.select("text").mapInArrow(run, "slot bigint, n bigint").groupBy("slot").agg(F.sum("n").alias("n"))
+        .orderBy(F.desc("n"), "slot").limit(_COMMON).collect()
+    )
+    rows.sort()
+    return np.array([r.slot for r in rows], np.int64), np.array([r.n for r in rows], np.int64)
+
+
+def _prefixes(texts: DataFrame, size: int, similarity: float) -> DataFrame:
+    slots, times = _common_slots(texts, size)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            nodes, keys = [], []
+            for node, t in zip(batch.column("node").to_pylist(), batch.column("text"), strict=True):
+                found = shingle_set(t.as_py(), size)
+                take = len(found) - math.ceil(similarity * len(found) - 1e-9) + 1
+                if len(slots):
+                    own = _slots(found)
+                    at = np.minimum(np.searchsorted(slots, own), len(slots) - 1)
+                    found = found[np.argsort(np.where(slots[at] == own, times[at], 0), kind="stable")]
+                keys.append(found[:take])
+                nodes.append(np.full(len(keys[-1]), node, np.int64))
+            if keys:
+                both = [pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(nodes))]
+                yield pa.RecordBatch.from_arrays(both, ["key", "fp"])
+
+    return texts.mapInArrow(run, "key bigint, fp bigint")
+
+
+def _sketch(hashes: np.ndarray) -> np.ndarray:
+    return np.bincount((hashes >> np.uint64(57)).astype(np.int64), minlength=_BINS).astype(np.int32)
+
+
+def _sets(texts: DataFrame, size: int, sketch: bool) -> DataFrame:
+    """The sets' bytes, or those of their counts by slot."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sets = [shingle_set(t.as_py(), size) for t in batch.column("text")]
+            sets = [(_sketch(x) if sketch else x).tobytes() for x in sets]
+            yield pa.RecordBatch.from_arrays([batch.column("node"), pa.array(sets, pa.binary())], ["node", "hashes"])
+
+    return texts.mapInArrow(run, "node bigint, hashes binary")
+
+
+def _groups(batches: Iterator[pa.RecordBatch]) -> Iterator[list[tuple]]:
+    """Rows key, tile, fp, home, hashes of one key and tile, which may span batches."""
+    held, last = [], None
+    names = ("key", "tile", "fp", "home", "hashes")
+    for batch in batches:
+        for row in zip(*[batch.column(n).to_pylist() for n in names], strict=True):
+            if row[:2] != last and held:
+                yield held
+                held = []
+            last = row[:2]
+            held.append(row)
+    if held:
+        yield held
+
+
+def _possible(similarity: float):
+    """Of the rows with sketches, those that may have a partner in their tile."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            counts = np.stack([np.frombuffer(r[4], np.int32) for r in rows])
+            sizes = counts.sum(axis=1, dtype=np.int64)
+            names = np.array([r[2] for r in rows], np.int64)
+            stays = np.zeros(len(rows), bool)
+            for k in np.flatnonzero([r[3] for r in rows]):
+                most = np.minimum(counts, counts[k]).sum(axis=1, dtype=np.int64)
+                hit = (most / (sizes + sizes[k] - most) >= similarity) & (names != names[k])
+                stays |= hit
+                stays[k] |= hit.any()
+            kept = [r for r, x in zip(rows, stays, strict=True) if x]
+            if kept:
+                kinds = (pa.int64(), pa.int32(), pa.int64(), pa.bool_())
+                parts = [pa.array([r[i] for r in kept], kind) for i, kind in enumerate(kinds)]
+                yield pa.RecordBatch.from_arrays(parts, ["key", "tile", "fp", "home"])
+
+    return run
+
+
+def _compare(similarity: float):
+    from tickloom.llm.simhash import forest
+
+    def links_of(rows: list[tuple]) -> list[tuple[int, int]]:
+        names = [r[2] for r in rows]
+        sets = [np.frombuffer(r[4], np.uint64) for r in rows]
+        sizes = np.array([len(s) for s in sets])
+
+        def close(at: int, others: np.ndarray) -> np.ndarray:
+            own, n = sets[at], sizes[at]
+            small, large = np.minimum(sizes[others], n), np.maximum(sizes[others], n)
+            out = small / large >= similarity
+            for k in np.flatnonzero(out):
+                other = sets[others[k]]
+                spot = np.minimum(np.searchsorted(own, other), n - 1)
+                both = int(np.count_nonzero(own[spot] == other))
+                out[k] = both / (n + len(other) - both) >= similarity
+            return out
+
+        home = np.array([r[3] for r in rows])
+        return [(names[a], names[b]) for a, b in forest(np.arange(len(rows)), home, close)]
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for rows in _groups(batches):
+            found = np.array(links_of(rows), np.int64).reshape(-1, 2)
+            if len(found):
+                ends = [pa.array(found.min(axis=1)), pa.array(found.max(axis=1))]
+                yield pa.RecordBatch.from_arrays(ends, ["a", "b"])
+
+    return run
+
+
+def similar_links(
+    docs: DataFrame, text_col: str = "text", shingle: int = SHINGLE, similarity: float = SIMILARITY, tile: int = TILE
+) -> DataFrame:
+    """Links a, b between the hashes (``xxhash64``) of distinct texts: they join the same
+    texts as the pairs with a Jaccard similarity of ``similarity`` or more."""
+    from tickloom.llm.simhash import in_tiles
+
+    if not 0 < similarity <= 1:
+        raise ValueError("similarity must lie above 0 and not above 1")
+    ship()
+    text = text_of(text_col)
+    texts = docs.select(F.xxhash64(text).alias("node"), text.alias("text"))
+    parts = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = settle(_prefixes(texts, shingle, similarity).repartition(parts, "key").distinct(), "prefix-shingles")
+    shared = (
+        rows.groupBy("key")
+        .agg(
+            F.count(F.lit(1)).alias("n"),
+            F.bit_xor(F.xxhash64("fp")).alias("x"),
+            F.bit_xor(F.xxhash64("fp", F.lit(1))).alias("y"),
+        )
+        .filter("n > 1")
+    )
+    # Shingles with the same texts need one meeting.
+    shared = shared.groupBy("n", "x", "y").agg(F.min("key").alias("key")).select("key")
+    met = settle(rows.join(shared, "key", "left_semi").withColumn("home", F.lit(True)), "shared-shingles")
+    dealt = in_tiles(met, tile)
+
+    def together(rows: DataFrame, sketch: bool) -> DataFrame:
+        wanted = rows.select(F.col("fp").alias("node")).distinct()
+        sets = _sets(texts.join(wanted, "node", "left_semi"), shingle, sketch).dropDuplicates(["node"])
+        return (
+            rows.join(sets, rows["fp"] == sets["node"])
+            .select("key", "tile", "fp", "home", "hashes")
+            .repartition(parts, "key", "tile")
+            .sortWithinPartitions("key", "tile", "fp")
+        )
+
+    able = together(dealt, True).mapInArrow(_possible(similarity), "key bigint, tile int, fp bigint, home boolean")
+    able = settle(able, "possible-partners")
+    return together(able, False).mapInArrow(_compare(similarity), "a bigint, b bigint").distinct()

@@ -14,7 +14,7 @@ anchor yields a tree of links, never all its pairs.
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -24,6 +24,7 @@ from pyspark.sql import functions as F
 
 from tickloom.llm.common import settle, ship, text_of
 from tickloom.llm.components import connected_components
+from tickloom.llm.overlap import similar_links
 
 SHINGLE = 3
 SEED = 42
@@ -106,12 +107,13 @@ def anchored(prints: DataFrame) -> DataFrame:
     return parts[0].unionByName(parts[1])
 
 
-def _trees(fps: np.ndarray, home: np.ndarray, near: int) -> list[tuple[int, int]]:
-    """Links that join what is near to a fingerprint at home: a forest, so fewer links
-    than fingerprints. Each at home is in one tree and is compared with all that no tree
-    holds and with every guest; a guest that several trees reach joins those trees."""
+def forest(items: np.ndarray, home: np.ndarray, close: Callable[..., np.ndarray]) -> list[tuple]:
+    """Links that join what is close to an item at home: a forest, so fewer links than
+    items. Each at home is in one tree and is compared with all that no tree holds and
+    with every guest; a guest that several trees reach joins those trees.
+    ``close(item, others)`` tells which others are."""
     out = []
-    left, guests = fps[home], fps[~home]
+    left, guests = items[home], items[~home]
     owner = np.full(len(guests), -1)  # the first tree that reached a guest
     roots, heads = [], []
     while len(left):
@@ -123,12 +125,13 @@ def _trees(fps: np.ndarray, home: np.ndarray, near: int) -> list[tuple[int, int]
         reached = np.zeros(len(guests), bool)
         while wait:
             at = wait.pop()
-            hit = np.bitwise_count(left ^ at) <= near
+            hit = close(at, left)
             if hit.any():
                 out += [(root, x) for x in left[hit]]
                 wait += list(left[hit])
                 left = left[~hit]
-            reached |= np.bitwise_count(guests ^ at) <= near
+            unmet = np.flatnonzero(~reached)
+            reached[unmet] = close(at, guests[unmet])
         first = reached & (owner < 0)
         out += [(root, x) for x in guests[first]]
         for other in np.unique(owner[reached & ~first]).tolist():
@@ -153,7 +156,7 @@ def _compare(near: int):
         found += list(zip(fp[hit], fp[hit + 1], strict=True))
         for at in np.flatnonzero((size > 2) & (at_home > 0)):
             part = slice(starts[at], ends[at])
-            found += _trees(fp[part], home[part], near)
+            found += forest(fp[part], home[part], lambda x, others: np.bitwise_count(others ^ x) <= near)
         return found
 
     def emit(found: list) -> pa.RecordBatch:
@@ -186,15 +189,9 @@ def _compare(near: int):
     return run
 
 
-def near_links(prints: DataFrame, near: int = NEAR, tile: int = TILE) -> DataFrame:
-    """Links a, b between the distinct fingerprints ``fp``: they join the same
-    fingerprints as the pairs that differ in at most ``near`` (3 or less) bits. The
-    ends of one link may differ more, if such pairs lead from one to the other."""
-    if not 0 <= near <= NEAR:
-        raise ValueError(f"near must lie between 0 and {NEAR}")
-    ship()
-    spark = prints.sparkSession
-    rows = anchored(prints)
+def in_tiles(rows: DataFrame, tile: int) -> DataFrame:
+    """key, tile, fp, home of the rows key, fp, home: what has one key is in one tile,
+    or where it is more than ``tile`` rows, each at home meets each other in one."""
     crowds = settle(
         rows.groupBy("key")
         .agg(F.count(F.lit(1)).alias("n"), F.sum(F.col("home").cast("int")).alias("at_home"))
@@ -218,7 +215,19 @@ def near_links(prints: DataFrame, near: int = NEAR, tile: int = TILE) -> DataFra
     tiles = tiles.when(F.col("home"), F.concat(as_struct(host_tiles, True), as_struct(guest_tiles, False))).otherwise(
         as_struct(guest_tiles, False)
     )
-    dealt = placed.select("key", "fp", F.explode(tiles).alias("t")).select("key", "t.tile", "fp", "t.home")
+    return placed.select("key", "fp", F.explode(tiles).alias("t")).select("key", "t.tile", "fp", "t.home")
+
+
+def near_links(prints: DataFrame, near: int = NEAR, tile: int = TILE) -> DataFrame:
+    """Links a, b between the distinct fingerprints ``fp``: they join the same
+    fingerprints as the pairs that differ in at most ``near`` (3 or less) bits. The
+    ends of one link may differ more, if such pairs lead from one to the other."""
+    if not 0 <= near <= NEAR:
+        raise ValueError(f"near must lie between 0 and {NEAR}")
+    ship()
+    spark = prints.sparkSession
+    rows = anchored(prints)
+    dealt = in_tiles(rows, tile)
     parts = int(spark.conf.get("spark.sql.shuffle.partitions"))
     return (
         dealt.repartition(parts, "key", "tile")
@@ -228,13 +237,24 @@ def near_links(prints: DataFrame, near: int = NEAR, tile: int = TILE) -> DataFra
     )
 
 
-def _labelled(docs: DataFrame, id_col: str, text_col: str, near: int) -> DataFrame:
-    """A row per document: doc_id, text_hash, fp, label, component_id, component_size."""
-    prints = settle(fingerprints(docs, id_col, text_col), "fingerprints")
+def _labelled(
+    docs: DataFrame, id_col: str, text_col: str, near: int, shingle: int = SHINGLE, similarity: float | None = None
+) -> DataFrame:
+    """A row per document: doc_id, text_hash, fp, label, component_id, component_size.
+    With a similarity, fp is the text_hash."""
+    if similarity is None:
+        prints = settle(fingerprints(docs, id_col, text_col), "fingerprints")
+    else:
+        text_hash = F.xxhash64(text_of(text_col))
+        prints = docs.select(F.col(id_col).alias("doc_id"), text_hash.alias("text_hash"), text_hash.alias("fp"))
     groups = settle(
         prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "fingerprint-groups"
     )
-    labels = connected_components(near_links(groups.select("fp"), near))
+    if similarity is None:
+        links = near_links(groups.select("fp"), near)
+    else:
+        links = similar_links(docs, text_col, shingle, similarity)
+    labels = connected_components(links)
     labelled = groups.join(labels, groups["fp"] == labels["node"], "left").select(
         "fp", "least", "n", F.coalesce("label", "fp").alias("label")
     )
@@ -265,17 +285,25 @@ def near_duplicates(
 
 
 def keep_representatives(
-    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR
+    docs: DataFrame,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    near: int = NEAR,
+    shingle: int = SHINGLE,
+    similarity: float | None = None,
 ) -> DataFrame:
     """One document of each component, with all columns: that of the smallest id,
     and of several texts with that id the one of smallest hash. Rows that repeat
-    both leave one row."""
+    both leave one row. With a ``similarity``, a link is that Jaccard similarity or
+    more of the sets of ``shingle`` words, and ``near`` is not used."""
+    if similarity is None and shingle != SHINGLE:
+        raise ValueError("a shingle size needs a similarity")
 
     def key(doc_id: Column, text_hash: Column) -> Column:
         return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), text_hash.cast("string"))
 
     stays = (
-        _labelled(docs, id_col, text_col, near)
+        _labelled(docs, id_col, text_col, near, shingle, similarity)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("label", "doc_id")
         .agg(F.min("text_hash").alias("text_hash"))
