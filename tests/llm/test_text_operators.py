@@ -12,7 +12,7 @@ import pytest
 import xxhash
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact, licences, mixing, overlap, pieces, quality, secrets, simhash, substrings, token_files
+from tickloom.llm import exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
 from tickloom.session import fresh_path
 
 TABLE = "/root/testdata/sf0.001"
@@ -89,6 +89,40 @@ def test_keep_first_keeps_columns(edge, empty, spark):
     assert exact.keep_first(empty, exact.DigestIndex(spark)).count() == 0
 
 
+CLASHING = ["_key", "_turn", "_copy", "_all", "_label_id", "label", "a.b", "row", "hash", "Turn"]
+
+
+def test_columns_of_any_name_stay(edge, spark):
+    """Helper columns replace none of the user's, and dots do no harm."""
+    docs = edge.drop("label")
+    for k, name in enumerate(CLASHING):
+        docs = docs.withColumn(name, F.concat_ws("-", F.lit(k), "doc_id", F.length("text")))
+    labels = spark.createDataFrame([(1, 0), (6, 1)], "doc_id bigint, quality int")
+    given = Counter(docs.collect())
+    for found in (
+        exact.keep_first(docs, exact.DigestIndex(spark)),
+        simhash.keep_representatives(docs),
+        mixing.mixed_documents(docs),
+        quality.kept_documents(docs, labels),
+    ):
+        assert found.columns == docs.columns
+        assert set(found.collect()) <= set(given)
+
+
+def test_the_row_that_stays_is_the_same_in_every_order(spark):
+    rows = [(1, f"a b {k // 20}", "s", k) for k in range(40)]
+    for step in (
+        lambda d: exact.keep_first(d, exact.DigestIndex(spark)),
+        simhash.keep_representatives,
+        mixing.mixed_documents,
+    ):
+        results = []
+        for order in (rows, rows[::-1]):
+            docs = spark.createDataFrame(order, "doc_id bigint, text string, source string, k int").repartition(3)
+            results.append(Counter(step(docs).collect()))
+        assert results[0] == results[1]
+
+
 # Mixing
 
 
@@ -268,66 +302,6 @@ def test_near_duplicates(edge, real, empty):
     assert simhash.near_duplicates(empty).count() == 0
 
 
-# Overlapping texts
-
-
-def brute_overlap(texts, similarity=0.8):
-    """The text of smallest index of each component."""
-    sets = []
-    for t in texts:
-        words = t.encode().lower().split()
-        size = min(5, len(words))
-        sets.append({tuple(words[i : i + size]) for i in range(len(words) - size + 1)})
-    head = list(range(len(texts)))
-    for a, x in enumerate(sets):
-        for b, y in enumerate(sets[:a]):
-            if head[a] != head[b] and len(x & y) >= similarity * len(x | y):
-                low, high = sorted((head[a], head[b]))
-                head = [low if h == high else h for h in head]
-    return head
-
-
-def near_copies(seed):
-    random.seed(seed)
-    words = [f"w{k}" for k in range(500)]
-    line = random.sample(words, 30)
-    texts = ["", "one", "One", "a b c d", "a b c d e"]
-    for _ in range(25):
-        text = random.choices(words, k=random.randrange(20, 200)) + line
-        for _ in range(random.choice((1, 2, 6))):
-            texts.append(" ".join(text))
-            text = list(text)
-            for _ in range(random.randrange(1, 2 + len(text) // 40)):
-                text[random.randrange(len(text))] = random.choice(words)
-    return texts
-
-
-@pytest.mark.parametrize("tile", [256, 2])
-def test_similar_links_join_what_brute_force_joins(spark, tile):
-    texts = near_copies(tile)
-    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id int, text string").repartition(3)
-    name = {r.h: r.doc_id for r in docs.select("doc_id", F.xxhash64("text").alias("h")).collect()}
-    head = list(range(len(texts)))
-    for a, b in overlap.similar_links(docs, tile=tile).collect():
-        low, high = sorted((head[name[a]], head[name[b]]))
-        head = [low if h == high else h for h in head]
-    assert head == brute_overlap(texts)
-
-
-def test_near_dedup_stage_takes_five_words_and_similarity(spark):
-    import corpus_pipeline
-
-    texts = near_copies(1)
-    rows = [(i, t) for i, t in enumerate(texts)] + [(None, texts[-1]), (500, texts[-1])]
-    docs = spark.createDataFrame(rows, "doc_id int, text string")
-    kept = corpus_pipeline.near_dedup(spark, docs, TABLE)
-    assert kept.columns == docs.columns
-    head = brute_overlap(texts)
-    assert Counter(r.doc_id for r in kept.collect()) == Counter(set(head))
-    assert len(set(head)) < len(set(brute_components(map(brute_simhash, texts)).values()))
-    assert corpus_pipeline.near_dedup(spark, docs.limit(0), TABLE).count() == 0
-
-
 # Repeated substrings
 
 

@@ -8,7 +8,7 @@ from collections.abc import Callable
 from typing import Any
 
 from pyspark import cloudpickle
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tickloom.session import fresh_path
@@ -40,7 +40,7 @@ def let(value: Column, body: Callable[[Column], Column]) -> Column:
 
 def text_of(column: str | Column = "text") -> Column:
     """The text, empty where it is null."""
-    return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit("")).cast("string")
+    return F.coalesce(F.col(quoted(column)) if isinstance(column, str) else column, F.lit("")).cast("string")
 
 
 def words_of(text: Column) -> Column:
@@ -49,6 +49,37 @@ def words_of(text: Column) -> Column:
     return F.when(trimmed == "", F.array().cast("array<string>")).otherwise(F.split(trimmed, SPACE))
 
 
+def quoted(name: str) -> str:
+    """A column's name as ``F.col`` takes it, dots included."""
+    return "`" + name.replace("`", "``") + "`"
+
+
+def whole_row(docs: DataFrame) -> Column:
+    """All columns as one struct, so that no helper column can meet one of theirs.
+    ``select("row.*")`` gives them back under an alias of ``row``."""
+    return F.struct(*[F.col(quoted(c)) for c in docs.columns])
+
+
+def row_hash(docs: DataFrame) -> Column:
+    """A hash of the whole row (columns that hold maps have no part in it): an order
+    between rows that a key does not tell apart, the same in every run."""
+    hashed = [F.col(quoted(f.name)) for f in docs.schema if "map<" not in f.dataType.simpleString()]
+    return F.xxhash64(*hashed) if hashed else F.lit(0).cast("bigint")
+
+
+def first_rows(docs: DataFrame, key: Column, stays: DataFrame) -> DataFrame:
+    """One row of ``docs``, with all its columns, for each value of ``key`` that is in
+    ``stays.key``: the row of smallest ``row_hash``."""
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
+    return (
+        docs.select(whole_row(docs).alias("row"), key.alias("key"), row_hash(docs).alias("hash"))
+        .join(stays.select("key"), "key", "left_semi")
+        .withColumn("turn", turn)
+        .filter("turn = 1")
+        .select("row.*")
+    )
+
+
 def ship() -> None:
     """Sends this package's functions to Python workers by value."""
     cloudpickle.register_pickle_by_value(sys.modules["tickloom"])

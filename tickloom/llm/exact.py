@@ -15,7 +15,7 @@ import hashlib
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SPACE, settle, text_of
+from tickloom.llm.common import SPACE, first_rows, quoted, settle, text_of
 from tickloom.session import fresh_path
 
 
@@ -67,8 +67,8 @@ class DigestIndex:
         """
         rows = settle(
             docs.select(
-                F.col(id_col).cast("bigint").alias("doc_id"),
-                digest(F.col(text_col)).alias("digest"),
+                F.col(quoted(id_col)).cast("bigint").alias("doc_id"),
+                digest(F.col(quoted(text_col))).alias("digest"),
                 F.monotonically_increasing_id().alias("row_id"),
             ),
             "digests",
@@ -101,19 +101,13 @@ def keep_first(
     """The documents that ``index.add`` keeps, with all their columns.
 
     The key holds id and digest, so a large group of copies spreads over many
-    partitions. Rows that repeat both leave one row.
+    partitions. Rows that repeat both leave one row, that of smallest ``row_hash``.
+    Further columns may have any names.
     """
 
     def key(doc_id: Column, found: Column) -> Column:
         return F.concat_ws(":", F.hex(found), F.coalesce(doc_id.cast("bigint").cast("string"), F.lit("")))
 
     stays = index.add(docs, id_col, text_col).filter("kept")
-    stays = stays.select(key(F.col("doc_id"), F.col("digest")).alias("_key"))
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))
-    return (
-        docs.withColumn("_key", key(F.col(id_col), digest(F.col(text_col))))
-        .join(stays, "_key", "left_semi")
-        .withColumn("_turn", turn)
-        .filter("_turn = 1")
-        .select(*docs.columns)
-    )
+    stays = stays.select(key(F.col("doc_id"), F.col("digest")).alias("key"))
+    return first_rows(docs, key(F.col(quoted(id_col)), digest(F.col(quoted(text_col)))), stays)

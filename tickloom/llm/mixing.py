@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import settle, text_of, words_of
+from tickloom.llm.common import quoted, row_hash, settle, text_of, whole_row, words_of
 
 WEIGHTS = (1, 2, 3)
 MOST_COPIES = 3
@@ -84,8 +84,8 @@ def mix(
     """
     rows = settle(
         docs.select(
-            F.col(id_col).alias("doc_id"),
-            F.col(source_col).alias("source"),
+            F.col(quoted(id_col)).alias("doc_id"),
+            F.col(quoted(source_col)).alias("source"),
             F.size(words_of(text_of(text_col))).cast("bigint").alias("size"),
         ),
         "sizes",
@@ -156,25 +156,31 @@ def mixed_documents(
     source_col: str = "source",
     **options,
 ) -> DataFrame:
-    """The mix itself: each document as often as ``mix`` takes it, all columns kept.
+    """The mix itself: each document as often as ``mix`` takes it, all columns kept,
+    whatever their names.
 
-    Rows with one id, source and size are told apart by their turn.
+    Rows with one id, source and size are told apart by their turn: in the order of
+    ``row_hash``, those first that are taken more often.
     """
 
     def key(doc_id: Column, source: Column, size: Column) -> Column:
         return F.to_json(F.struct(doc_id.alias("i"), source.alias("s"), size.alias("n")))
 
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))
     found = mix(docs, id_col, text_col, source_col, **options)
-    found = found.select(key(F.col("doc_id"), F.col("source"), F.col("size")).alias("_key"), "copies")
+    found = found.select(key(F.col("doc_id"), F.col("source"), F.col("size")).alias("key"), "copies")
     found = found.withColumn(
-        "_turn", F.row_number().over(Window.partitionBy("_key").orderBy(F.desc("copies")))
+        "turn", F.row_number().over(Window.partitionBy("key").orderBy(F.desc("copies")))
     ).filter("copies > 0")
     size = F.size(words_of(text_of(text_col))).cast("bigint")
+    turn = F.row_number().over(Window.partitionBy("key").orderBy("hash"))
     return (
-        docs.withColumn("_key", key(F.col(id_col), F.col(source_col), size))
-        .withColumn("_turn", turn)
-        .join(found, ["_key", "_turn"])
-        .withColumn("_copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint"))))
-        .select(*docs.columns)
+        docs.select(
+            whole_row(docs).alias("row"),
+            key(F.col(quoted(id_col)), F.col(quoted(source_col)), size).alias("key"),
+            row_hash(docs).alias("hash"),
+        )
+        .withColumn("turn", turn)
+        .join(found, ["key", "turn"])
+        .withColumn("copy", F.explode(F.sequence(F.lit(1).cast("bigint"), F.col("copies").cast("bigint"))))
+        .select("row.*")
     )

@@ -20,7 +20,7 @@ from dataclasses import dataclass, field
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import SPACE, let, settle, text_of, words_of
+from tickloom.llm.common import SPACE, let, quoted, settle, text_of, whole_row, words_of
 
 LEAST_WORDS = 10
 REPEAT_PERCENT = 20
@@ -300,16 +300,13 @@ def kept_documents(
     docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """The documents that the rules keep, all columns. The list is learned from the
-    labelled documents alone and then tested on every row where it lies."""
-    known = labels.select(F.col(id_col).alias("_label_id")).dropna().distinct()
-    sample = docs.join(known, docs[id_col] == F.col("_label_id"), "left_semi")
-    stats = settle(
-        statistics(sample.select(F.col(id_col).alias("doc_id"), F.col(text_col).alias("text"))),
-        "quality-labelled",
-    )
+    labelled documents alone and then tested on every row where it lies. Further
+    columns may have any names."""
+    ids = F.col(quoted(id_col))
+    known = labels.select(ids.alias("labelled")).dropna().distinct()
+    texts = docs.select(ids.alias("doc_id"), F.col(quoted(text_col)).alias("text"))
+    sample = texts.join(known, F.col("doc_id") == F.col("labelled"), "left_semi")
+    stats = settle(statistics(sample), "quality-labelled")
     rules = learn(labelled_statistics(stats, labels.withColumnRenamed(id_col, "doc_id")))
-    return (
-        statistics(docs.withColumn("_all", F.struct(*[F.col(c) for c in docs.columns])), text_col, ("_all",))
-        .filter(~F.col("base_failed") & ~rules.rejects())
-        .select("_all.*")
-    )
+    rows = docs.select(whole_row(docs).alias("row"), F.col(quoted(text_col)).alias("text"))
+    return statistics(rows, "text", ("row",)).filter(~F.col("base_failed") & ~rules.rejects()).select("row.*")

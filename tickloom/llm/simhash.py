@@ -19,12 +19,11 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tickloom.llm.common import settle, ship, text_of
+from tickloom.llm.common import first_rows, quoted, settle, ship, text_of
 from tickloom.llm.components import connected_components
-from tickloom.llm.overlap import similar_links
 
 SHINGLE = 3
 SEED = 42
@@ -61,7 +60,7 @@ def fingerprints(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     integer; one row per row."""
     ship()
     text = text_of(text_col)
-    rows = docs.select(F.col(id_col).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
+    rows = docs.select(F.col(quoted(id_col)).alias("doc_id"), F.xxhash64(text).alias("text_hash"), text.alias("text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -237,24 +236,13 @@ def near_links(prints: DataFrame, near: int = NEAR, tile: int = TILE) -> DataFra
     )
 
 
-def _labelled(
-    docs: DataFrame, id_col: str, text_col: str, near: int, shingle: int = SHINGLE, similarity: float | None = None
-) -> DataFrame:
-    """A row per document: doc_id, text_hash, fp, label, component_id, component_size.
-    With a similarity, fp is the text_hash."""
-    if similarity is None:
-        prints = settle(fingerprints(docs, id_col, text_col), "fingerprints")
-    else:
-        text_hash = F.xxhash64(text_of(text_col))
-        prints = docs.select(F.col(id_col).alias("doc_id"), text_hash.alias("text_hash"), text_hash.alias("fp"))
+def _labelled(docs: DataFrame, id_col: str, text_col: str, near: int) -> DataFrame:
+    """A row per document: doc_id, text_hash, fp, label, component_id, component_size."""
+    prints = settle(fingerprints(docs, id_col, text_col), "fingerprints")
     groups = settle(
         prints.groupBy("fp").agg(F.min("doc_id").alias("least"), F.count(F.lit(1)).alias("n")), "fingerprint-groups"
     )
-    if similarity is None:
-        links = near_links(groups.select("fp"), near)
-    else:
-        links = similar_links(docs, text_col, shingle, similarity)
-    labels = connected_components(links)
+    labels = connected_components(near_links(groups.select("fp"), near))
     labelled = groups.join(labels, groups["fp"] == labels["node"], "left").select(
         "fp", "least", "n", F.coalesce("label", "fp").alias("label")
     )
@@ -285,35 +273,21 @@ def near_duplicates(
 
 
 def keep_representatives(
-    docs: DataFrame,
-    id_col: str = "doc_id",
-    text_col: str = "text",
-    near: int = NEAR,
-    shingle: int = SHINGLE,
-    similarity: float | None = None,
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", near: int = NEAR
 ) -> DataFrame:
     """One document of each component, with all columns: that of the smallest id,
     and of several texts with that id the one of smallest hash. Rows that repeat
-    both leave one row. With a ``similarity``, a link is that Jaccard similarity or
-    more of the sets of ``shingle`` words, and ``near`` is not used."""
-    if similarity is None and shingle != SHINGLE:
-        raise ValueError("a shingle size needs a similarity")
+    both leave one row, that of smallest ``row_hash``. Further columns may have any
+    names."""
 
     def key(doc_id: Column, text_hash: Column) -> Column:
         return F.concat_ws(":", F.coalesce(doc_id.cast("string"), F.lit("")), text_hash.cast("string"))
 
     stays = (
-        _labelled(docs, id_col, text_col, near, shingle, similarity)
+        _labelled(docs, id_col, text_col, near)
         .filter(F.col("doc_id").eqNullSafe(F.col("component_id")))
         .groupBy("label", "doc_id")
         .agg(F.min("text_hash").alias("text_hash"))
-        .select(key(F.col("doc_id"), F.col("text_hash")).alias("_key"))
-    )
-    turn = F.row_number().over(Window.partitionBy("_key").orderBy(F.lit(1)))
-    return (
-        docs.withColumn("_key", key(F.col(id_col), F.xxhash64(text_of(text_col))))
-        .join(stays, "_key", "left_semi")
-        .withColumn("_turn", turn)
-        .filter("_turn = 1")
-        .select(*docs.columns)
+        .select(key(F.col("doc_id"), F.col("text_hash")).alias("key"))
     )
+    return first_rows(docs, key(F.col(quoted(id_col)), F.xxhash64(text_of(text_col))), stays)
