@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
+from tickloom.llm import bpe, exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
 from tickloom.llm.common import documents
 from tickloom.session import fresh_path
 
@@ -147,3 +147,9 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
         of_verdict("live").alias("n_live"),
         of_verdict("example").alias("n_example"),
     )
+
+
+@query("op12_byte_bpe")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
+    return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
