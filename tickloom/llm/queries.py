@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
+from tickloom.llm import bpe, codes, exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
 from tickloom.llm.common import documents
 from tickloom.session import fresh_path
 
@@ -153,3 +153,45 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
     return found.select("doc_id", "n_tokens", "ids_sha256", "decoded_sha256")
+
+
+def _sql_round(k: int) -> str:
+    """Assignment to codebooks b{k} as a{k}, then the refined codebooks b{k + 1}."""
+    return f"""
+    a{k} AS (
+      SELECT r, part, min(CAST(list_sum(list_transform(range(1, len(sub) + 1),
+               lambda i: (sub[i] - entry[i]) * (sub[i] - entry[i]))) AS BIGINT) * 64 + k) AS best
+      FROM p JOIN b{k} USING (part) GROUP BY r, part),
+    m{k} AS (
+      SELECT part, best % 64 AS k, i, CAST(sum(sub[i]) AS BIGINT) AS s, count(*) AS n
+      FROM a{k} JOIN p USING (r, part), unnest(range(1, len(sub) + 1)) AS t(i) GROUP BY ALL),
+    n{k} AS (SELECT part, k, list((s - ((s % n) + n) % n) // n ORDER BY i) AS mean FROM m{k} GROUP BY part, k),
+    b{k + 1} AS (SELECT part, k, coalesce(mean, entry) AS entry FROM b{k} LEFT JOIN n{k} USING (part, k))"""
+
+
+@query(
+    "op13_vector_codes",
+    f"""
+    WITH v AS (
+      SELECT row_number() OVER () AS r, vec_id, label,
+             list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS ints
+      FROM embeddings
+      WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+    p AS (
+      SELECT r, part, ints[part * (len(ints) // 16) + 1 : (part + 1) * (len(ints) // 16)] AS sub
+      FROM v, range(16) AS t(part)),
+    seeds AS (SELECT r, row_number() OVER (ORDER BY vec_id NULLS LAST, ints) - 1 AS k FROM v),
+    b0 AS (SELECT part, k, sub AS entry FROM p JOIN seeds USING (r) WHERE k < 64),
+    {_sql_round(0)}, {_sql_round(1)}, {_sql_round(2)},
+    coded AS (
+      SELECT r, vec_id, label, string_agg(format('{{:02x}}', best % 64), '' ORDER BY part) AS code,
+             CAST(sum(best // 64) AS BIGINT) AS error
+      FROM a2 JOIN v USING (r) GROUP BY ALL)
+    SELECT vec_id, code, error, CAST(sum(error) OVER (PARTITION BY label) AS BIGINT) AS label_error,
+           (SELECT sha256(string_agg(array_to_string(entry, ','), ',' ORDER BY part, k)) FROM b2) AS codebooks_sha256
+    FROM coded
+    """,
+)
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found, _ = codes.compressed(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+    return found.select("vec_id", "code", "error", "label_error", "codebooks_sha256")
