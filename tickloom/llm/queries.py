@@ -7,7 +7,7 @@ import os
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tickloom.llm import bpe, codes, exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
+from tickloom.llm import alignment, bpe, codes, exact, licences, mixing, pieces, quality, secrets, simhash, substrings, token_files
 from tickloom.llm.common import documents
 from tickloom.session import fresh_path
 
@@ -149,6 +149,13 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query("op11_token_alignment")
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return alignment.aligned_documents(
+        documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"), tokenizer_path("piece_bpe_32k.model")
+    )
+
+
 @query("op12_byte_bpe")
 def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = bpe.round_trip(documents(spark, sf_dir), tokenizer_path("byte_bpe_50k.json"))
