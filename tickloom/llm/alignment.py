@@ -35,28 +35,23 @@ from tickloom.llm.pieces import BYTE, MARK, USER_DEFINED, _fields, read_pieces
 #: Pairs whose counts are broadcast, at most.
 FREQUENT = 1 << 18
 #: Characters that are aligned at a time, and of a slice of a long text.
-BATCH_CHARS = 1 << 20
-#: Segments of B that a worker remembers, and their longest length.
-REMEMBERED = 400_000
-LONGEST_REMEMBERED = 48
+BATCH_CHARS = 1 << 19
+#: Rows whose links are looked up at a time.
+ROWS_AT_ONCE = 1024
 
-#: A segment of B: blanks and what follows up to the next blank.
-_SEGMENT = re.compile(r" *[^ ]+| +")
 #: A place where both tokenizers part whatever comes before and behind.
 _CUT = re.compile(r"(?<=[^\W_])(?= )")
 
 _ROW = (
     "part int, n_a bigint, n_b bigint, n_groups bigint, n_links bigint, groups_sha256 string, "
-    "links_a array<int>, links_b array<int>"
+    "links_a binary, links_b binary"
 )
 
 
 class PieceEncoder:
-    """Ids of texts that begin with the space which the model puts before them.
-
-    No piece holds a marker behind another character and nothing is normalised, so a
-    text's ids are those of its segments; equal ones are remembered.
-    """
+    """Ids of strings that begin with the space which the model puts before a text. No
+    piece holds a marker behind another character, and nothing is normalised, so a slice
+    that begins with a space has the ids it has within its text."""
 
     def __init__(self, path: str):
         import sentencepiece
@@ -71,25 +66,10 @@ class PieceEncoder:
             raise ValueError("only models whose pieces hold markers in front alone")
         self.raw = [bytes([int(p[1:-1], 16)]) if k == BYTE else p.replace(MARK, " ").encode() for p, _, k in pieces]
         self.blank = self.library.piece_to_id(MARK)
-        self.known: dict[str, bytes] = {}
-
-    def learn(self, segments: set[str]) -> list[str]:
-        """Makes all segments known; returns those to forget after use."""
-        if len(self.known) > REMEMBERED:
-            self.known.clear()
-        new = sorted(segments.difference(self.known))
-        found = self.library.encode([s[1:] for s in new], num_threads=1)
-        self.known.update((s, np.array(x, "<u4").tobytes()) for s, x in zip(new, found, strict=True))
-        self.known[" "] = self.blank.to_bytes(4, "little")  # the library gives nothing for no text
-        return [s for s in new if len(s) > LONGEST_REMEMBERED]
-
-    def encode_batch(self, texts: list[str]) -> list[bytes]:
-        cut = [_SEGMENT.findall(t) for t in texts]
-        used_once = self.learn(set().union(*cut))
-        out = [b"".join(map(self.known.__getitem__, segments)) for segments in cut]
-        for s in used_once:
-            del self.known[s]
-        return out
+
+    def encode(self, texts: list[str]) -> list[list[int]]:
+        found = self.library.encode([t[1:] for t in texts], num_threads=1)
+        return [x or [self.blank] for x in found]  # the library gives nothing for no text
 
 
 def _offsets(raw: list[bytes]) -> np.ndarray:
@@ -106,24 +86,29 @@ def _id_lists(raw: list[bytes]) -> pa.ListArray:
 
 
 class Aligner:
-    """Both encoders, their tokens' bytes and lengths, and ids as text."""
+    """Both encoders, their tokens' lengths, and ids as text."""
 
     def __init__(self, merges: bpe.MergeList, model: str):
         self.first, self.second = bpe.Encoder(merges), PieceEncoder(model)
         self.sizes = [pa.array([len(x) for x in raw], pa.int64()) for raw in (merges.raw, self.second.raw)]
-        self.bytes = pa.array(self.second.raw, pa.binary())
         self.names = pa.array([str(i) for i in range(max(map(len, self.sizes)))], pa.string())
+        self.kind = "<u2" if len(self.names) <= 1 << 16 else "<u4"
+        self.bytes = pa.array(self.second.raw, pa.binary())
 
-    def encode(self, texts: list[str]) -> tuple[list[bytes], list[bytes]]:
+    def encode(self, texts: list[str]) -> list[list[bytes]]:
         """The ids of A and of B for each text; texts of which B's tokens hold other bytes
         get none. (A's bytes are always the text's.)"""
-        first, second = self.first.encode_batch(texts), self.second.encode_batch(texts)
-        joined = pc.take(self.bytes, pa.array(np.frombuffer(b"".join(second), "<u4").astype(np.int32)))
-        joined = pc.binary_join(_lists(_offsets(second), joined), b"").to_pylist()
-        for at, (found, text) in enumerate(zip(joined, texts, strict=True)):
-            if found != text.encode():
-                first[at] = second[at] = b""
-        return first, second
+        first = self.first.encode_batch(texts)
+        second = [np.array(x, "<u4").tobytes() for x in self.second.encode(texts)]
+        lists = _id_lists(second)
+        ends = np.append(0, np.cumsum(pc.take(self.sizes[1], lists.values).to_numpy()))[lists.offsets.to_numpy()]
+        spelled = bytes(memoryview(pc.take(self.bytes, lists.values).buffers()[2] or b"")[: ends[-1]])
+        raw = [t.encode() for t in texts]
+        if spelled != b"".join(raw) or np.diff(ends).tolist() != list(map(len, raw)):
+            for at, text in enumerate(raw):
+                if spelled[ends[at] : ends[at + 1]] != text:
+                    first[at] = second[at] = b""
+        return [first, second]
 
     def ends(self, ids: pa.ListArray, side: int) -> tuple[pa.Array, pa.Array]:
         """All ids, and for each its text's place and the byte at which it ends, as one
@@ -135,9 +120,9 @@ class Aligner:
         end = pc.subtract(upto, pc.take(before, place))
         return flat, pc.add(pc.shift_left(pc.cast(place, pa.int64()), pa.scalar(32, pa.int64())), end)
 
-    def align(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, pa.Array, pa.Array]]:
+    def align(self, texts: list[str]) -> Iterator[tuple[int, int, int, int, str, bytes, bytes]]:
         """Per text: tokens of A and of B, groups, links, the groups as text, and the ids of
-        A and of B of every link in order."""
+        A and of B of every link in order, as little-endian integers of ``kind``."""
         sides = [_id_lists(x) for x in self.encode(texts)]
         tables, flats = [], []
         for side, ids in enumerate(sides):
@@ -162,11 +147,12 @@ class Aligner:
             grouped.append(pc.binary_join(_lists(stops, pc.take(self.names, flat)), ","))
         groups = pc.binary_join_element_wise(*grouped, "|")
         groups = pc.binary_join(_lists(np.append(0, np.cumsum(counts[0])), groups), ";")
-        edges = np.append(0, np.cumsum(counts[1])).tolist()
+        raw = [x.to_numpy().astype(self.kind).tobytes() for x in linked]
+        edges = (np.append(0, np.cumsum(counts[1])) * np.dtype(self.kind).itemsize).tolist()
         sizes = [np.diff(ids.offsets.to_numpy()).tolist() for ids in sides]
         for at, text in enumerate(groups.to_pylist()):
-            some = slice(edges[at], edges[at + 1])
-            yield sizes[0][at], sizes[1][at], int(counts[0, at]), int(counts[1, at]), text, linked[0][some], linked[1][some]
+            of_a, of_b = (x[edges[at] : edges[at + 1]] for x in raw)
+            yield sizes[0][at], sizes[1][at], int(counts[0, at]), int(counts[1, at]), text, of_a, of_b
 
 
 def slices(text: str, size: int = BATCH_CHARS) -> list[str]:
@@ -195,7 +181,7 @@ def _aligned(aligner: Aligner, texts: list[str]) -> Iterator[tuple]:
     size = 0
     for place, text in enumerate(texts):
         if not text:
-            yield place, 0, 0, 0, 0, 0, "", None, None
+            yield place, 0, 0, 0, 0, 0, "", b"", b""
         elif len(text) <= BATCH_CHARS:
             wait.append((place, text))
             size += len(text)
@@ -205,7 +191,7 @@ def _aligned(aligner: Aligner, texts: list[str]) -> Iterator[tuple]:
         else:
             parts = slices(" " + text)
             if not all(aligner.encode([part])[0][0] for part in parts):
-                yield place, 0, 0, 0, 0, 0, "", None, None
+                yield place, 0, 0, 0, 0, 0, "", b"", b""
                 continue
             digest = hashlib.sha256()
             for number, part in enumerate(parts):
@@ -237,8 +223,9 @@ def links(docs: DataFrame, tokenizer: str, model: str, id_col: str = "doc_id", t
             out = []
             for begin in range(0, batch.num_rows, 512):
                 part = batch.slice(begin, 512)
+                ids = [part.column(c).to_pylist() for c in ("row_id", "doc_id")]
                 for place, *row in _aligned(aligner, part.column("text").to_pylist()):
-                    out.append((part.column("row_id")[place], part.column("doc_id")[place], *row))
+                    out.append((ids[0][place], ids[1][place], *row))
                     if len(out) == 256 or row[4] > 1 << 16:
                         yield _batch(out)
                         out = []
@@ -250,29 +237,34 @@ def links(docs: DataFrame, tokenizer: str, model: str, id_col: str = "doc_id", t
 
 def _batch(rows: list[tuple]) -> pa.RecordBatch:
     columns = list(zip(*rows, strict=True))
-    kinds = [*[pa.int64()] * 2, pa.int32(), *[pa.int64()] * 4, pa.string()]
-    arrays = [pa.array([getattr(x, "as_py", lambda x=x: x)() for x in c], k) for c, k in zip(columns, kinds)]
-    for found in columns[-2:]:
-        found = [pa.array([], pa.int32()) if x is None else x for x in found]
-        arrays.append(_lists(np.append(0, np.cumsum([len(x) for x in found])), pa.concat_arrays(found)))
+    kinds = [*[pa.int64()] * 2, pa.int32(), *[pa.int64()] * 4, pa.string(), *[pa.binary()] * 2]
+    arrays = [pa.array(c, k) for c, k in zip(columns, kinds, strict=True)]
     names = ["row_id", "doc_id", "part", "n_a", "n_b", "n_groups", "n_links", "groups_sha256", "links_a", "links_b"]
     return pa.RecordBatch.from_arrays(arrays, names)
 
 
-def _keys(batch: pa.RecordBatch, width: int) -> tuple[np.ndarray, np.ndarray]:
-    """Pair of every link as one number, and where each row's links begin."""
-    a, b = (batch.column(c).flatten().to_numpy().astype(np.int64) for c in ("links_a", "links_b"))
-    return a * width + b, np.append(0, np.cumsum(pc.list_value_length(batch.column("links_a")).to_numpy()))
+def _keys(batch: pa.RecordBatch, width: int, kind: str) -> Iterator[tuple[pa.RecordBatch, np.ndarray, np.ndarray]]:
+    """Some rows at a time: the rows, the pair of every link as one number, and where each
+    row's links begin."""
+    for begin in range(0, batch.num_rows, ROWS_AT_ONCE):
+        rows = batch.slice(begin, ROWS_AT_ONCE)
+        a, b = (np.frombuffer(b"".join(rows.column(c).to_pylist()), kind) for c in ("links_a", "links_b"))
+        edges = np.append(0, np.cumsum(pc.binary_length(rows.column("links_a")).to_numpy())) // np.dtype(kind).itemsize
+        yield rows, a.astype(np.int64) * width + b, edges
 
 
-def pair_counts(linked: DataFrame, width: int) -> DataFrame:
+def pair_counts(linked: DataFrame, width: int, kind: str) -> DataFrame:
     """pair (A's id times ``width`` plus B's), n (links of that pair), best (whether no pair
     of that id of B has more). ``width`` is the size of B's vocabulary."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keys, _ = _keys(batch, width)
-            found = pa.table({"pair": keys}).group_by("pair", use_threads=False).aggregate([("pair", "count")])
+            found = []
+            for _, keys, _ in _keys(batch, width, kind):
+                counted = pa.table({"pair": keys}).group_by("pair", use_threads=False).aggregate([("pair", "count")])
+                found.append(counted)
+            found = pa.concat_tables(found).group_by("pair", use_threads=False).aggregate([("pair_count", "sum")])
+            found = found.rename_columns(["pair", "pair_count"])
             yield from found.select(["pair", "pair_count"]).rename_columns(["pair", "n"]).combine_chunks().to_batches()
 
     partial = linked.select("links_a", "links_b").mapInArrow(run, "pair bigint, n bigint")
@@ -295,7 +287,7 @@ def frequent_pairs(counts: DataFrame, most: int = FREQUENT) -> DataFrame:
     return counts.filter(F.col("n") >= F.lit(1 << least) if least < 63 else F.lit(False))
 
 
-def scored(linked: DataFrame, counts: DataFrame, width: int, frequent: int = FREQUENT) -> DataFrame:
+def scored(linked: DataFrame, counts: DataFrame, width: int, kind: str, frequent: int = FREQUENT) -> DataFrame:
     """One row per row_id: doc_id, the sums over its slices, n_best, count_sum, groups_sha256."""
     top = frequent_pairs(counts, frequent).orderBy("pair").toArrow()
     shared = linked.sparkSession.sparkContext.broadcast(
@@ -306,8 +298,7 @@ def scored(linked: DataFrame, counts: DataFrame, width: int, frequent: int = FRE
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pairs, n, best = shared.value
         known = pa.array(pairs)
-        for batch in batches:
-            keys, edges = _keys(batch, width)
+        for rows, keys, edges in (x for batch in batches for x in _keys(batch, width, kind)):
             place = pc.index_in(pa.array(keys), value_set=known)
             rare = place.is_null().to_numpy(zero_copy_only=False)
             place = place.fill_null(len(pairs)).to_numpy()
@@ -317,7 +308,7 @@ def scored(linked: DataFrame, counts: DataFrame, width: int, frequent: int = FRE
                 return pa.array(np.diff(upto[edges]))
 
             rest = _lists(np.append(0, np.cumsum(rare))[edges], pa.array(keys[rare]))
-            columns = [*[batch.column(c) for c in kept], summed(best), summed(n), rest]
+            columns = [*[rows.column(c) for c in kept], summed(best), summed(n), rest]
             yield pa.RecordBatch.from_arrays(columns, [*kept, "n_best", "count_sum", "rare"])
 
     sums = ["n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum"]
@@ -346,4 +337,5 @@ def aligned_documents(
     """
     linked = settle(links(docs, tokenizer, model, id_col, text_col), "links")
     width = len(read_pieces(model))
-    return scored(linked, pair_counts(linked, width), width, frequent).drop("row_id")
+    kind = "<u2" if max(width, len(bpe.MergeList(tokenizer, special=False).raw)) <= 1 << 16 else "<u4"
+    return scored(linked, pair_counts(linked, width, kind), width, kind, frequent).drop("row_id")

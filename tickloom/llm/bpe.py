@@ -163,9 +163,11 @@ class MergeList:
         self.ranks = np.append(np.arange(len(merges))[order], len(merges)).astype(np.int32)
         self.products = np.append(product, 0).astype(np.int32)
         self.never = len(merges)
+        self.byte_ranks = self.rank(np.repeat(self.byte_ids, 256), np.tile(self.byte_ids, 256)).reshape(256, 256)
         # The exact classes are slow, so they are used where a text has such characters.
         unlike = _unlike_library(path)
         self.unlike = "".join(unlike.values())
+        self.lowest = min((int(x[2:10], 16) for x in unlike.values() if x), default=0)
         self.split = SPLIT.format(L=r"\p{L}", N=r"\p{N}")
         self.exact_split = SPLIT.format(
             **{k: rf"[\p{{{k}}}--[{x}]]" if x else rf"\p{{{k}}}" for k, x in unlike.items()}
@@ -182,13 +184,15 @@ class MergeList:
         are merged side by side: in each round every stream merges all places of its
         lowest rank."""
         sizes = np.array([len(s) for s in streams], np.int64)
-        ids = self.byte_ids[np.frombuffer(b"".join(streams), np.uint8)]
+        letters = np.frombuffer(b"".join(streams), np.uint8)
+        ids = self.byte_ids[letters]
         home = np.repeat(np.arange(len(streams), dtype=np.int32), sizes)
         done_ids, done_home = [], []
+        # The rank of each place with the next one.
+        ranks = np.full(len(ids), self.never, np.int32)
+        ranks[:-1] = self.byte_ranks[letters[:-1], letters[1:]]
+        ranks[:-1][home[:-1] != home[1:]] = self.never
         while len(ids):
-            ranks = np.full(len(ids), self.never, np.int32)
-            ranks[:-1] = self.rank(ids[:-1], ids[1:])
-            ranks[:-1][home[:-1] != home[1:]] = self.never
             starts = np.flatnonzero(np.concatenate(([True], home[1:] != home[:-1])))
             least = np.minimum.reduceat(ranks, starts)
             size = np.diff(np.append(starts, len(ids)))
@@ -208,7 +212,14 @@ class MergeList:
             ids[hit] = self.products[ranks[hit]]
             keep = np.ones(len(ids), bool)
             keep[hit + 1] = False
-            ids, home = ids[keep], home[keep]
+            ids, home, ranks = ids[keep], home[keep], ranks[keep]
+            # Only pairs that hold a merged token change.
+            merged = hit - np.arange(len(hit))
+            ranks[merged] = self.never
+            near = np.concatenate((merged, merged - 1))
+            near = near[(near >= 0) & (near < len(ids) - 1)]
+            near = near[home[near] == home[near + 1]]
+            ranks[near] = self.rank(ids[near], ids[near + 1])
         if not done_ids:
             return np.empty(0, np.int32), np.zeros(len(streams), np.int64)
         home = np.concatenate(done_home)
@@ -263,13 +274,16 @@ class Encoder:
         self.plain_split = regex.compile(merges.split, regex.V1)
         self.exact_split = regex.compile(merges.exact_split, regex.V1)
         self.unlike = re.compile(f"[{merges.unlike}]") if merges.unlike else None
+        self.lowest = merges.lowest
         names = sorted(merges.added, key=len, reverse=True) if merges.special else []
         self.added = regex.compile("(" + "|".join(map(regex.escape, names)) + ")") if names else None
         self.known: dict[str, bytes] = {}
 
     def split(self, text: str) -> regex.Pattern:
-        rare = self.unlike and not text.isascii() and self.unlike.search(text)
-        return self.exact_split if rare else self.plain_split
+        if text.isascii() or not self.unlike:
+            return self.plain_split
+        units = np.frombuffer(text.encode("utf-16-le"), "<u2")
+        return self.exact_split if units.max() >= self.lowest and self.unlike.search(text) else self.plain_split
 
     def parts(self, text: str) -> Iterator[tuple[str, bool]]:
         """The text cut at added tokens: part, and whether it is one."""
