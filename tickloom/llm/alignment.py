@@ -39,6 +39,12 @@ BATCH_CHARS = 1 << 19
 #: Rows whose links are looked up at a time.
 ROWS_AT_ONCE = 1024
 
+#: Segments of B that a worker remembers, and their longest length.
+REMEMBERED = 250_000
+LONGEST_REMEMBERED = 48
+
+#: A segment of B: blanks and what follows up to the next blank.
+_SEGMENT = re.compile(r" *[^ ]+| +")
 #: A place where both tokenizers part whatever comes before and behind.
 _CUT = re.compile(r"(?<=[^\W_])(?= )")
 
@@ -66,10 +72,30 @@ class PieceEncoder:
             raise ValueError("only models whose pieces hold markers in front alone")
         self.raw = [bytes([int(p[1:-1], 16)]) if k == BYTE else p.replace(MARK, " ").encode() for p, _, k in pieces]
         self.blank = self.library.piece_to_id(MARK)
-
-    def encode(self, texts: list[str]) -> list[list[int]]:
-        found = self.library.encode([t[1:] for t in texts], num_threads=1)
-        return [x or [self.blank] for x in found]  # the library gives nothing for no text
+        self.known: dict[str, bytes] = {}
+
+    def learn(self, segments: set[str]) -> list[str]:
+        """Makes all segments known; returns those to forget after use."""
+        if len(self.known) > REMEMBERED:
+            self.known.clear()
+        new = sorted(segments.difference(self.known))
+        found = self.library.encode([s[1:] for s in new], num_threads=1)
+        sizes = [len(x) for x in found]
+        raw = np.fromiter((i for x in found for i in x), "<u4", sum(sizes)).tobytes()
+        ends = (4 * np.cumsum(sizes)).tolist()
+        self.known.update((s, raw[a:b]) for s, a, b in zip(new, [0, *ends], ends))
+        self.known[" "] = self.blank.to_bytes(4, "little")  # the library gives nothing for no text
+        return [s for s in new if len(s) > LONGEST_REMEMBERED]
+
+    def encode_batch(self, texts: list[str]) -> list[bytes]:
+        """The ids of each text, as little-endian 32-bit integers: those of its segments,
+        of which equal ones are remembered."""
+        cut = [_SEGMENT.findall(t) for t in texts]
+        used_once = self.learn(set().union(*cut))
+        out = [b"".join(map(self.known.__getitem__, segments)) for segments in cut]
+        for s in used_once:
+            del self.known[s]
+        return out
 
 
 def _offsets(raw: list[bytes]) -> np.ndarray:
@@ -99,7 +125,7 @@ class Aligner:
         """The ids of A and of B for each text; texts of which B's tokens hold other bytes
         get none. (A's bytes are always the text's.)"""
         first = self.first.encode_batch(texts)
-        second = [np.array(x, "<u4").tobytes() for x in self.second.encode(texts)]
+        second = self.second.encode_batch(texts)
         lists = _id_lists(second)
         ends = np.append(0, np.cumsum(pc.take(self.sizes[1], lists.values).to_numpy()))[lists.offsets.to_numpy()]
         spelled = bytes(memoryview(pc.take(self.bytes, lists.values).buffers()[2] or b"")[: ends[-1]])
