@@ -1,6 +1,7 @@
 """Streams over several micro-batches equal the batch result on closed windows."""
 
 import random
+import time
 from datetime import datetime as T, timedelta
 
 import numpy as np
@@ -90,12 +91,76 @@ def test_late_records_do_not_reopen_a_window(spark, tmp_path, feed):
     same(got, minute(spark, rows))
 
 
-def test_two_rungs_cascade_in_one_job(spark, tmp_path, feed):
-    rows = rows_of(500)
-    source = feed(chunks(rows, 2))
-    got = drain(spark, tmp_path, flows.candle_ladder(source, {"1m": 1, "5m": 5}, "seq"), "ladder")
-    want = candles.candle_ladder(spark.createDataFrame(rows, SCHEMA), "seq").filter("screener IN ('1m', '5m')")
-    same(got, closed(want, rows))
+def test_all_rungs_cascade_in_one_scan(spark, tmp_path, feed):
+    """Over several batches; S2 trades for four minutes only, so timers close its bars."""
+    rows = rows_of(900)
+    rows += [("S2", r[1], *r[2:]) for r in rows[:20]]
+    rows.sort(key=lambda r: r[1])
+    source = feed(chunks(rows, 3))
+    ladder = flows.candle_ladder(source(), seq="seq")
+    assert ladder._jdf.queryExecution().logical().toString().count("StreamingRelation") == 1
+    got = drain(spark, tmp_path, ladder, "ladder")
+    want = closed(candles.candle_ladder(spark.createDataFrame(rows, SCHEMA), "seq"), rows)
+    same(got, want)
+    assert got.filter("symbol = 'S2'").select("screener").distinct().count() == 5
+
+
+def test_bars_are_appended_to_state(spark, tmp_path, feed):
+    """State holds a bounded number of bars, and a retired symbol leaves with its ttl."""
+    rows = rows_of(900)
+    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
+    states = None
+    for part in chunks(rows, 2):
+        bars = flows.minute_bars(feed([part])(), "seq")
+        states = flows.settle(state.bar_states(bars, ttl_ms=2000))
+        tables.append_query(states, out, cp).trigger(availableNow=True).start().awaitTermination()
+        time.sleep(2.5)
+    got = pd.DataFrame([r.asDict() for r in spark.read.schema(states.schema).parquet(out).collect()])
+    got = got.sort_values("time")
+    # Each symbol starts anew twice: at first, and when its bars had left state.
+    assert (got.groupby("symbol")["ret"].apply(lambda x: int(x.isna().sum())) == 2).all()
+
+
+@pytest.mark.parametrize("batch", [1, 7, 1000])
+def test_state_stays_bounded_and_exact(batch):
+    """The processor over a list in memory: at most twice the bars it needs, one entry
+    written per bar on average or less than three, results as in one go."""
+    rng = np.random.default_rng(3)
+    n = 1000
+    close = np.where(rng.random(n) < 0.05, np.nan, np.round(rng.uniform(10, 90, n), 2))
+    at = np.datetime64("2024-01-01T00:01") + np.arange(n) * np.timedelta64(60, "s") - np.timedelta64(1, "us")
+    frame = pd.DataFrame({"symbol": "A", "rt": at, **{c: close for c in candles.OHLCV[:4]}, "volume": 5.0})
+
+    class Kept:
+        def __init__(self):
+            self.value, self.written = None, 0
+
+        exists = lambda self: self.value is not None
+        get = lambda self: self.value
+
+        def put(self, value):
+            self.value, self.written = value, self.written + len(value)
+
+        def update(self, value):
+            self.value = value
+
+        def appendList(self, value):
+            self.value, self.written = (self.value or []) + value, self.written + len(value)
+
+    def run(size):
+        processor = state.BarState(history=60)
+        processor.bars, processor.runs = Kept(), Kept()
+        parts = []
+        for begin in range(0, n, size):
+            parts += processor.handleInputRows(("A",), iter([frame[begin : begin + size]]), None)
+            assert size > 100 or len(processor.bars.value) <= 2 * 80 + size
+        return pd.concat(parts), processor.bars.written
+
+    got, written = run(batch)
+    want, _ = run(n)
+    assert written < 3 * n
+    for c in ("sma20", "ema12", "rsi14", "vwap", "ret", "up", "down"):
+        assert np.allclose(got[c].to_numpy(float), want[c].to_numpy(float), equal_nan=True)
 
 
 def test_stateful_indicators_and_signals_equal_batch(spark, tmp_path, feed):

@@ -113,7 +113,7 @@ def x2(spark, sf):
     + f"SELECT screener, {BAR} FROM ladder, last WHERE time + INTERVAL 1 MILLISECOND <= mark",
 )
 def x3(spark, sf):
-    return appended(spark, sf, lambda s, d: flows.candle_ladder(lambda: price_stream(s, d), seq="seq"))
+    return appended(spark, sf, lambda s, d: flows.candle_ladder(price_stream(s, d), seq="seq"))
 
 
 @query(

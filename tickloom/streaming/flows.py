@@ -6,7 +6,7 @@ UTC session. ``settle`` turns a result back to the zoneless stored form.
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Mapping
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -15,6 +15,7 @@ from tickloom.operators.candles import LADDER, OHLCV, arrival_order, bar_columns
 from tickloom.operators.joins import within_after
 from tickloom.operators.news import NEWS_KEYS, impact_columns
 from tickloom.functions.times import MINUTE_US
+from tickloom.streaming.state import ladder_states
 
 # How long each input waits for late records.
 PRICE_DELAY = "10 seconds"
@@ -63,11 +64,6 @@ def _bars(df: DataFrame, time: str, minutes: int, order: str) -> DataFrame:
     )
 
 
-def rung(bars: DataFrame, minutes: int) -> DataFrame:
-    """A longer rung from the minute bars, as a second windowed state."""
-    return bars if minutes == 1 else _bars(bars, "rt", minutes, "rt")
-
-
 def settle(df: DataFrame, rt: str = "rt", time: str = "time") -> DataFrame:
     """Row time (end - 1 us) to the stored label (end - 1 ms), zoneless."""
     label = F.col(rt) + F.expr("INTERVAL '0.000001' SECOND") - F.expr("INTERVAL '0.001' SECOND")
@@ -75,21 +71,15 @@ def settle(df: DataFrame, rt: str = "rt", time: str = "time") -> DataFrame:
 
 
 def candle_ladder(
-    source: Callable[[], DataFrame], rungs: Mapping[str, int] | None = None, seq: str | None = None
+    records: DataFrame, rungs: Mapping[str, int] | None = None, seq: str | None = None
 ) -> DataFrame:
-    """All rungs as one stream with a ``screener`` column, cascaded in one job.
-
-    ``source`` opens the timed record stream. Every rung opens it anew: branches
-    of one stream that each chain two windows do not all see the watermark, and
-    only the first would emit. Where the minute bars are stored anyway,
-    ``stored_ladder`` reads the records and keeps the minute state only once.
-    """
-    return union_all(
-        [
-            _labelled(settle(rung(minute_bars(source(), seq), m)), name)
-            for name, m in (rungs or LADDER).items()
-        ]
-    )
+    """All rungs as one stream with a ``screener`` column, cascaded in one job over one
+    scan of the timed record stream: native minute windows, then one stateful pass in
+    which all rungs of a symbol grow out of its minute bars."""
+    rungs = dict(rungs or LADDER)
+    bars = settle(ladder_states(minute_bars(records, seq), tuple(rungs.values())))
+    name = F.element_at(F.create_map(*[F.lit(x) for n, m in rungs.items() for x in (m, n)]), F.col("minutes").cast("int"))
+    return bars.select(name.alias("screener"), "symbol", "time", *OHLCV)
 
 
 def stored_ladder(bars: DataFrame, rungs: Mapping[str, int] | None = None) -> DataFrame:

@@ -1,8 +1,9 @@
 """Per-symbol state for what streams have no window for: rolling frames,
 recursive indicators and run patterns.
 
-State is small and bounded: the bars of one frame and at most ``HISTORY`` closes
-per symbol. It is checkpointed, so a restart goes on where it stopped. Input is the
+State is small and bounded: the bars of one frame or the last ``HISTORY`` of them, at
+most twice that, per symbol. Bars are appended to it, so a bar costs one entry however
+long the history. It is checkpointed, so a restart goes on where it stopped. Input is the
 minute-bar stream, at most one row per symbol and minute whatever the record rate; a
 first run over a year of minutes gives a task some 30 MB per symbol.
 """
@@ -26,10 +27,7 @@ FAST, SLOW, PERIOD = 12, 26, 14
 #: Values gathered at a time while frames are summed.
 _AT_ONCE = 1 << 20
 
-STATE_SCHEMA = (
-    "times array<bigint>, closes array<double>, volumes array<double>, "
-    "history array<double>, up bigint, down bigint"
-)
+BAR_SCHEMA = "time bigint, close double, volume double"
 INDICATORS = (
     "sma20", "ema12", "ema26", "macd", "rsi14", "bb_mid", "bb_upper", "bb_lower", "vwap", "ret",
 )
@@ -135,27 +133,27 @@ class BarState(StatefulProcessor):
     """All columns a minute bar gets from the bars before it: rolling frame,
     recursive indicators, places in the rising and the falling run."""
 
-    def __init__(self, frame_us: int = 20 * MINUTE_US, history: int = HISTORY):
-        self.frame_us, self.reach = frame_us, history
+    def __init__(self, frame_us: int = 20 * MINUTE_US, history: int = HISTORY, ttl_ms: int | None = None):
+        self.frame_us, self.reach, self.ttl_ms = frame_us, history, ttl_ms
 
     def init(self, handle: StatefulProcessorHandle) -> None:
-        self.kept = handle.getValueState("kept", STATE_SCHEMA)
+        self.bars = handle.getListState("bars", BAR_SCHEMA, self.ttl_ms)
+        self.runs = handle.getValueState("runs", "up bigint, down bigint", self.ttl_ms)
 
     def close(self) -> None:
         pass
 
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows)).sort_values("rt")
-        kept = self.kept.get() if self.kept.exists() else ([], [], [], [], 0, 0)
-        old_times, old_closes, old_volumes, history, up, down = kept
-        n = len(old_times)
-        close = new["close"].to_numpy(float)
-        times = np.concatenate(
-            [np.array(old_times, "int64"), new["rt"].to_numpy("datetime64[us]").astype("int64")]
-        )
-        closes = np.concatenate([np.array(old_closes, float), close])
-        volumes = np.concatenate([np.array(old_volumes, float), new["volume"].to_numpy(float)])
-        history = np.concatenate([np.array(history, float), close[~np.isnan(close)]])
+        old = np.array([tuple(r) for r in self.bars.get()] if self.bars.exists() else [], object).reshape(-1, 3)
+        up, down = self.runs.get() if self.runs.exists() else (0, 0)
+        n = len(old)
+        times = np.concatenate([old[:, 0].astype("int64"), new["rt"].to_numpy("datetime64[us]").astype("int64")])
+        closes = np.concatenate([old[:, 1].astype(float), new["close"].to_numpy(float)])
+        volumes = np.concatenate([old[:, 2].astype(float), new["volume"].to_numpy(float)])
+        close = closes[n:]
+        priced = ~np.isnan(closes)
+        history = closes[priced]
 
         starts = np.searchsorted(times, times[n:] - self.frame_us, "left")
         with np.errstate(divide="ignore", invalid="ignore"):
@@ -165,17 +163,18 @@ class BarState(StatefulProcessor):
         columns["down"] = run_places(close < previous, down)
         yield new.assign(symbol=key[0], **columns)[list(COLUMNS)]
 
-        first = np.searchsorted(times, times[-1] - self.frame_us, "left")
-        self.kept.update(
-            (
-                times[first:].tolist(),
-                closes[first:].tolist(),
-                volumes[first:].tolist(),
-                history[-self.reach :].tolist(),
-                int(columns["up"][-1]),
-                int(columns["down"][-1]),
-            )
-        )
+        # Kept are the frame and as many closes as the indicators see. Bars are appended;
+        # the list is written anew only when more than half of it is of no more use.
+        frame = int(np.searchsorted(times, times[-1] - self.frame_us, "left"))
+        seen = np.flatnonzero(priced)[-self.reach :]
+        first = min([frame, *seen[:1].tolist()]) if len(seen) == self.reach else 0
+        begin = first if 2 * first > len(times) else n
+        kept = list(zip(times[begin:].tolist(), closes[begin:].tolist(), volumes[begin:].tolist(), strict=True))
+        if begin == n:
+            self.bars.appendList(kept)
+        else:
+            self.bars.put(kept)
+        self.runs.update((int(columns["up"][-1]), int(columns["down"][-1])))
 
     def _columns(self, closes, volumes, starts, history, n) -> dict[str, np.ndarray]:
         stops = np.arange(n, len(closes)) + 1
@@ -199,17 +198,113 @@ class BarState(StatefulProcessor):
         }
 
 
-def bar_states(bars: DataFrame, frame_minutes: int = 20) -> DataFrame:
-    """Minute bars with every column of ``BarState``, in one stateful pass."""
+class LadderState(StatefulProcessor):
+    """All rungs of one symbol from its minute bars. State holds the bars that the
+    watermark has not passed, one entry each, so what is written does not grow with the
+    history; an event-time timer closes a bar that gets no further minute."""
+
+    def __init__(self, minutes: tuple[int, ...]):
+        self.minutes = minutes
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.handle = handle
+        bar = ", ".join(f"{c} double" for c in OHLCV)
+        self.open = handle.getMapState("open", "minutes bigint, start bigint", bar)
+
+    def close(self) -> None:
+        pass
+
+    def _rows(self, key, bars: list[tuple]) -> pd.DataFrame:
+        """``bars``: minutes, start and values. A row time is the end less 1 us."""
+        out = pd.DataFrame(bars, columns=["minutes", "start", *OHLCV])
+        ends = (out["start"] + out["minutes"] * MINUTE_US - 1).to_numpy("int64").astype("datetime64[us]")
+        return out.assign(symbol=key[0], rt=ends)[["minutes", "symbol", "rt", *OHLCV]]
+
+    def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
+        new = pd.concat(list(rows)).sort_values("rt")
+        mark = timerValues.getCurrentWatermarkInMs()
+        at = new["rt"].to_numpy("datetime64[us]").astype("int64")
+        kept = dict(self.open.iterator())
+        for minutes in self.minutes:
+            width = minutes * MINUTE_US
+            bars = new.groupby(at // width * width).agg(
+                open=("open", lambda x: x.iloc[0]),
+                high=("high", "max"),
+                low=("low", "min"),
+                close=("close", lambda x: x.iloc[-1]),
+                volume=("volume", lambda x: x.sum(min_count=1)),
+            )
+            closed = []
+            for start, *bar in bars.itertuples():
+                place = (minutes, start)
+                if place in kept:
+                    bar = _joined(kept[place], bar)
+                if start + width <= mark * 1000:
+                    closed.append((minutes, start, *bar))
+                    if place in kept:
+                        self.open.removeKey(place)
+                else:
+                    self.open.updateValue(place, tuple(None if np.isnan(x) else float(x) for x in bar))
+                    if place not in kept:
+                        self.handle.registerTimer((start + width) // 1000)
+            if closed:
+                yield self._rows(key, closed)
+
+    def handleExpiredTimer(self, key, timerValues, expiredTimerInfo) -> Iterator[pd.DataFrame]:
+        upto = expiredTimerInfo.getExpiryTimeInMs() * 1000
+        closed = [
+            (*place, *[np.nan if x is None else x for x in bar])
+            for place, bar in self.open.iterator()
+            if place[1] + place[0] * MINUTE_US <= upto
+        ]
+        for minutes, start, *_ in closed:
+            self.open.removeKey((minutes, start))
+        if closed:
+            yield self._rows(key, closed)
+
+
+def _joined(before: tuple, after: list) -> list[float]:
+    """One bar of its earlier and its later part; NaN is no value."""
+    before = [np.nan if x is None else x for x in before]
+    volumes = [x for x in (before[4], after[4]) if not np.isnan(x)]
+    return [
+        before[0], np.fmax(before[1], after[1]), np.fmin(before[2], after[2]), after[3],
+        sum(volumes) if volumes else np.nan,
+    ]
+
+
+def ladder_states(bars: DataFrame, minutes: tuple[int, ...]) -> DataFrame:
+    """Bars of every width, each once when the watermark has passed its end: minutes,
+    symbol, rt and values. ``bars`` is a timed stream of minute bars."""
+    ship_package()
+    return (
+        bars.select("symbol", "rt", *OHLCV)
+        .groupBy("symbol")
+        .transformWithStateInPandas(
+            statefulProcessor=LadderState(minutes),
+            outputStructType="minutes bigint, symbol string, rt timestamp, " + ", ".join(f"{c} double" for c in OHLCV),
+            outputMode="append",
+            timeMode="EventTime",
+        )
+    )
+
+
+def bar_states(bars: DataFrame, frame_minutes: int = 20, ttl_ms: int | None = None) -> DataFrame:
+    """Minute bars with every column of ``BarState``, in one stateful pass.
+
+    With ``ttl_ms`` a symbol's bars leave state that long (by the clock) after they were
+    written, so one that trades no more leaves nothing behind. It must be longer than
+    the time in which the history's bars come, or the indicators see fewer of them.
+    """
     ship_package()
     return (
         bars.select("symbol", "rt", *OHLCV)
         .groupBy("symbol")
         .transformWithStateInPandas(
-            statefulProcessor=BarState(frame_minutes * MINUTE_US),
+            statefulProcessor=BarState(frame_minutes * MINUTE_US, ttl_ms=ttl_ms),
             outputStructType=OUTPUT_SCHEMA,
             outputMode="append",
-            timeMode="None",
+            timeMode="ProcessingTime" if ttl_ms else "None",
         )
     )
 
