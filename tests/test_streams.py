@@ -1,5 +1,6 @@
 """Streams over several micro-batches equal the batch result on closed windows."""
 
+import os
 import random
 import time
 from datetime import datetime as T, timedelta
@@ -105,18 +106,30 @@ def test_all_rungs_cascade_in_one_scan(spark, tmp_path, feed):
     assert got.filter("symbol = 'S2'").select("screener").distinct().count() == 5
 
 
-def test_bars_are_appended_to_state(spark, tmp_path, feed):
-    """State holds a bounded number of bars, and a retired symbol leaves with its ttl."""
-    rows = rows_of(900)
-    out, cp = str(tmp_path / "out"), str(tmp_path / "cp")
-    states = None
-    for part in chunks(rows, 2):
-        bars = flows.minute_bars(feed([part])(), "seq")
-        states = flows.settle(state.bar_states(bars, ttl_ms=2000))
-        tables.append_query(states, out, cp).trigger(availableNow=True).start().awaitTermination()
-        time.sleep(2.5)
-    got = pd.DataFrame([r.asDict() for r in spark.read.schema(states.schema).parquet(out).collect()])
-    got = got.sort_values("time")
+def test_bars_leave_state_with_their_ttl(spark, tmp_path, feed):
+    """A job by the clock: what comes after the ttl starts anew. (With a ttl the job runs a
+    batch per trigger even without data, so it does not end by itself.)"""
+    rows = rows_of(400)
+    out = str(tmp_path / "out")
+    states = flows.settle(state.bar_states(flows.minute_bars(feed([rows[:200]])(), "seq"), ttl_ms=3000))
+    query = tables.append_query(states, out, f"{out}-cp").trigger(processingTime="1 second").start()
+
+    def wait_for(least: int) -> pd.DataFrame:
+        end = time.monotonic() + 60
+        while time.monotonic() < end:
+            time.sleep(2)
+            found = spark.read.schema(states.schema).parquet(out).toPandas() if os.path.isdir(f"{out}/_spark_metadata") else ()
+            if len(found) >= least:
+                return found
+        raise AssertionError("no output")
+
+    try:
+        wait_for(50)
+        time.sleep(6)
+        feed([rows[200:]])
+        got = wait_for(110).sort_values("time")
+    finally:
+        query.stop()
     # Each symbol starts anew twice: at first, and when its bars had left state.
     assert (got.groupby("symbol")["ret"].apply(lambda x: int(x.isna().sum())) == 2).all()
 

@@ -295,6 +295,7 @@ def bar_states(bars: DataFrame, frame_minutes: int = 20, ttl_ms: int | None = No
     With ``ttl_ms`` a symbol's bars leave state that long (by the clock) after they were
     written, so one that trades no more leaves nothing behind. It must be longer than
     the time in which the history's bars come, or the indicators see fewer of them.
+    Such a job runs by the clock: with ``availableNow`` it would not end.
     """
     ship_package()
     return (
