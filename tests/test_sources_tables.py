@@ -182,3 +182,25 @@ def test_two_writers_share_a_table(spark, tmp_path):
     assert {(r.symbol, r.close) for r in tables.read_table(spark, root, table).collect()} == {("A", 3.0), ("B", 2.0)}
     assert tables.read_key(spark, root, table, symbol="A", close=1.0).count() == 0
     assert tables.read_key(spark, root, table, close=3.0).count() == 1
+
+
+def test_changes_of_rows(spark):
+    """Insert, update, unchanged (NaN and null included), delete, delete of nothing."""
+    nan = float("nan")
+    schema = "k string, a double, b string"
+    before = spark.createDataFrame(
+        [("same", nan, None), ("moved", 1.0, "x"), ("gone", 2.0, "y"), ("dead", None, None), ("back", None, None)], schema
+    )
+    rows = spark.createDataFrame(
+        [("same", nan, None), ("moved", None, "x"), ("gone", None, None), ("dead", None, None), ("back", 3.0, None),
+         ("new", 4.0, "z"), ("never", None, None), (None, 5.0, "n")],
+        schema,
+    )
+    got = sorted(map(tuple, tables.changes_of(rows, before, ["k"]).collect()), key=str)
+    assert got == sorted(
+        [("-U", "moved", 1.0, "x"), ("+U", "moved", None, "x"), ("-D", "gone", 2.0, "y"), ("+I", "back", 3.0, None),
+         ("+I", "new", 4.0, "z"), ("+I", None, 5.0, "n")],
+        key=str,
+    )
+    assert tables.changes_of(rows.limit(0), before, ["k"]).count() == 0
+    assert tables.changes_of(rows, before.limit(0), ["k"]).filter("op <> '+I'").count() == 0

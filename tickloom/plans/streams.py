@@ -385,6 +385,61 @@ def x12(spark, sf):
     return tables.read_table(v.wall_clock(spark), path, TABLES["ohlvc"])
 
 
+def quarter_updates(s: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Bars of 15 minutes as updates over the stream of a folder."""
+    source = flows.timed(records.table_stream(s, path, rows.schema), "time", flows.PRICE_DELAY)
+    bars = (
+        source.groupBy("symbol", F.window("time", "15 minutes").alias("window"))
+        .agg(*flows.bar_columns(arrival_order("time", "seq")))
+        .select(F.lit("15m").alias("screener"), "symbol", F.window_time("window").alias("rt"), *OHLCV)
+    )
+    return flows.settle(bars)
+
+
+def changed_bars(spark: SparkSession, sf: str) -> str:
+    """Root of a table whose changes were kept over two batches that meet in a window."""
+    s = streaming_session(spark)
+    path = fresh_path(s, "changelog")
+    rows = v.ticks(spark, sf)
+    for part in halves(rows):
+        part.write.mode("append").parquet(f"{path}/in")
+        run(tables.changelog_query(quarter_updates(s, rows, f"{path}/in"), path, "ohlvc", f"{path}/checkpoint"))
+    v.wall_clock(spark)
+    return path
+
+
+EARLY = """early AS (SELECT * FROM ticks WHERE time <
+  (SELECT make_timestamp((epoch_us(min(time)) + epoch_us(max(time))) // 2) FROM ticks))"""
+_DIFFERS = "(o.open, o.high, o.low, o.close, o.volume) IS DISTINCT FROM (n.open, n.high, n.low, n.close, n.volume)"
+_BARS_OF = {a: "screener, symbol, time, " + ", ".join(f"{a}.{c}" for c in OHLCV) for a in "on"}
+_BOTH = "FROM old o JOIN new n USING (screener, symbol, time)"
+
+
+@query(
+    "x12_changelog",
+    W(v.TICKS, EARLY, v.sql_bars("old", "15m", 15, "early"), v.sql_bars("new", "15m", 15))
+    + f"""SELECT '+I' AS op, screener, {BAR} FROM old
+UNION ALL SELECT '-U', {_BARS_OF['o']} {_BOTH} WHERE {_DIFFERS}
+UNION ALL SELECT '+U', {_BARS_OF['n']} {_BOTH} WHERE {_DIFFERS}
+UNION ALL SELECT '+I', screener, {BAR} FROM new n
+  WHERE (screener, symbol, time) NOT IN (SELECT (screener, symbol, time) FROM old)""",
+)
+def x12_changelog(spark, sf):
+    """Every insert of a bar and both sides of every update."""
+    changes = tables.read_changes(spark, changed_bars(spark, sf), TABLES["ohlvc"])
+    return changes.drop(tables.BATCH, tables.WRITER)
+
+
+@query(
+    "x12_changelog_folded",
+    W(v.TICKS, v.sql_bars("bars_15m", "15m", 15)) + f"SELECT screener, {BAR} FROM bars_15m",
+)
+def x12_folded(spark, sf):
+    """The changes, folded, are the final bars."""
+    changes = tables.read_changes(spark, changed_bars(spark, sf), TABLES["ohlvc"])
+    return tables.fold_changes(changes, TABLES["ohlvc"].keys)
+
+
 @query("x13_offsets_kept", W(v.TICKS) + "SELECT symbol, time, close, seq FROM ticks")
 def x13(spark, sf):
     """A restarted job goes on behind the records it has written."""

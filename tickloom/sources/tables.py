@@ -12,8 +12,9 @@ from __future__ import annotations
 import hashlib
 import time
 from collections.abc import Callable, Sequence
+from functools import reduce
 
-from pyspark.sql import DataFrame, SparkSession, Window, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F, types as T
 
 from tickloom.functions.times import DAY_US, chunk_of
 from tickloom.schemas import TABLES, Table
@@ -153,6 +154,98 @@ def upsert_query(
     )
 
 
+#: Kind of a change: new key, old and new values of a replaced row, deleted row.
+CHANGE = "op"
+INSERT, BEFORE, AFTER, DELETE = "+I", "-U", "+U", "-D"
+
+
+def changes_of(rows: DataFrame, before: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What ``rows``, one per key, change in ``before``, one per key: a row per insert and
+    delete, two per update, none where nothing differs. A row without any value deletes
+    its key; one for a key that is absent, or deleted already, changes nothing."""
+    values = [c for c in rows.columns if c not in keys]
+    new = F.struct(*[F.col(f"r.{c}").alias(c) for c in values])
+    old = F.struct(*[F.col(f"b.{c}").alias(c) for c in values])
+
+    def empty(side: str) -> Column:
+        return reduce(lambda x, y: x & y, [F.col(f"{side}.{c}").isNull() for c in values])
+
+    absent = F.col("b._stored").isNull() | empty("b")
+
+    def change(op: str, row: Column) -> Column:
+        return F.struct(F.lit(op).alias(CHANGE), row.alias("row"))
+
+    none = F.slice(F.array(change(INSERT, new)), 1, 0)
+    ops = (
+        F.when(empty("r"), F.when(absent, none).otherwise(F.array(change(DELETE, old))))
+        .when(absent, F.array(change(INSERT, new)))
+        .when(new.eqNullSafe(old), none)
+        .otherwise(F.array(change(BEFORE, old), change(AFTER, new)))
+    )
+    matched = reduce(lambda x, y: x & y, [F.col(f"r.{k}").eqNullSafe(F.col(f"b.{k}")) for k in keys])
+    stored = before.select(*keys, *values, F.lit(True).alias("_stored"))
+    joined = rows.alias("r").join(stored.alias("b"), matched, "left")
+    spread = joined.select(*[F.col(f"r.{k}").alias(k) for k in keys], F.explode(ops).alias("_c"))
+    return spread.select(f"_c.{CHANGE}", *keys, *[F.col(f"_c.row.{c}").alias(c) for c in values])
+
+
+def changelog_query(
+    df: DataFrame, root: str, table_name: str, checkpoint: str,
+    order: Sequence[str] = (), output_mode: str = "update",
+):
+    """Keyed sink that also keeps the changes it makes, with retractions. The version a
+    row replaces is the newest that this job stored in an earlier batch, so a retried
+    batch finds the same one and gives the same changes. Of stored batches only the time
+    range of the new rows is read."""
+    table = TABLES[table_name]
+    writer = writer_of(checkpoint)
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        if order:
+            batch = latest_by_key(batch, table.keys, order)
+        rows = conform(batch, table).persist()
+        try:
+            write_batch(rows, root, table, batch_id, writer=writer)
+            changes = changes_of(rows, _before(rows, root, table, batch_id, writer), table.keys)
+            changes.write.mode("overwrite").parquet(_changes(root, table, writer, batch_id))
+        finally:
+            rows.unpersist()
+
+    return (
+        df.writeStream.outputMode(output_mode)
+        .option("checkpointLocation", checkpoint)
+        .foreachBatch(write)
+    )
+
+
+def _changes(root: str, table: Table, writer: str, batch_id: int) -> str:
+    return f"{root}/{table.name}_changes/{WRITER}={writer}/{BATCH}={batch_id}"
+
+
+def _before(rows: DataFrame, root: str, table: Table, batch_id: int, writer: str) -> DataFrame:
+    """Rows as this writer left them before the batch, in the time range of ``rows``."""
+    schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
+    stored = rows.sparkSession.read.schema(schema).parquet(f"{root}/{table.name}/{WRITER}={writer}")
+    stored = stored.filter(F.col(BATCH) < batch_id)
+    time = _day_column(table)
+    if time:
+        low, high = rows.agg(F.min(time), F.max(time)).first()
+        stored = stored.filter(F.col(time).between(F.lit(low), F.lit(high)))
+    return latest_by_key(stored, table.keys, [BATCH]).drop(BATCH)
+
+
+def read_changes(spark: SparkSession, root: str, table: Table) -> DataFrame:
+    """All changes of a keyed table, with writer and batch."""
+    return spark.read.parquet(f"{root}/{table.name}_changes")
+
+
+def fold_changes(changes: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """The rows that a changelog of one writer leaves."""
+    lasting = changes.filter(F.col(CHANGE) != BEFORE)
+    newest = latest_by_key(lasting, keys, [BATCH])
+    return newest.filter(F.col(CHANGE) != DELETE).drop(CHANGE, BATCH, WRITER)
+
+
 def fan_out_query(
     df: DataFrame, writers: Sequence[Callable[[DataFrame, int], None]], checkpoint: str
 ):

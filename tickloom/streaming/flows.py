@@ -12,9 +12,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tickloom.functions.scalars import percent_change
 from tickloom.operators.candles import LADDER, OHLCV, arrival_order, bar_columns, union_all
-from tickloom.operators.joins import within_after
-from tickloom.operators.news import NEWS_KEYS, impact_columns
+from tickloom.operators.news import NEWS_KEYS
 from tickloom.functions.times import MINUTE_US
+from tickloom.streaming.impact import impact_parts, joined_parts
 from tickloom.streaming.state import ladder_states
 
 # How long each input waits for late records.
@@ -97,14 +97,11 @@ def _labelled(bars: DataFrame, screener: str) -> DataFrame:
 def news_impact(
     news: DataFrame, prices: DataFrame, horizon_us: int = 15 * MINUTE_US, seq: str | None = None
 ) -> DataFrame:
-    """Each news item once, when its horizon has passed. Both inputs are timed."""
-    order = arrival_order("time", seq)
-    wanted = prices.select("symbol", "time", "close", "high", "low", *([seq] if seq else []))
-    joined = within_after(news.select(*NEWS_KEYS), wanted, horizon_us)
-    return (
-        joined.groupBy(*NEWS_KEYS)
-        .agg(*impact_columns(order))
-        .withColumn("impact_pct", percent_change(F.col("price_before"), F.col("price_after")))
-        .withColumn("event_time", F.col("event_time").cast("timestamp_ntz"))
-        .withColumnRenamed("event_time", "news_time")
+    """Each news item once, when its horizon has passed. Both inputs are timed. No record
+    is paired with an item: state keeps partial values per item (``streaming.impact``)."""
+    parts = impact_parts(news.select(*NEWS_KEYS), prices, horizon_us, seq)
+    return joined_parts(parts).select(
+        "symbol", "id", F.timestamp_micros("event_us").cast("timestamp_ntz").alias("news_time"), "title", "link",
+        "price_before", "price_after", "max_price", "min_price", "n_candles",
+        percent_change(F.col("price_before"), F.col("price_after")).alias("impact_pct"),
     )
