@@ -385,13 +385,13 @@ def x12(spark, sf):
     return tables.read_table(v.wall_clock(spark), path, TABLES["ohlvc"])
 
 
-def quarter_updates(s: SparkSession, rows: DataFrame, path: str) -> DataFrame:
-    """Bars of 15 minutes as updates over the stream of a folder."""
+def daily_updates(s: SparkSession, rows: DataFrame, path: str) -> DataFrame:
+    """Bars of a day as updates over the stream of a folder."""
     source = flows.timed(records.table_stream(s, path, rows.schema), "time", flows.PRICE_DELAY)
     bars = (
-        source.groupBy("symbol", F.window("time", "15 minutes").alias("window"))
+        source.groupBy("symbol", F.window("time", "1 day").alias("window"))
         .agg(*flows.bar_columns(arrival_order("time", "seq")))
-        .select(F.lit("15m").alias("screener"), "symbol", F.window_time("window").alias("rt"), *OHLCV)
+        .select(F.lit("1D").alias("screener"), "symbol", F.window_time("window").alias("rt"), *OHLCV)
     )
     return flows.settle(bars)
 
@@ -403,7 +403,7 @@ def changed_bars(spark: SparkSession, sf: str) -> str:
     rows = v.ticks(spark, sf)
     for part in halves(rows):
         part.write.mode("append").parquet(f"{path}/in")
-        run(tables.changelog_query(quarter_updates(s, rows, f"{path}/in"), path, "ohlvc", f"{path}/checkpoint"))
+        run(tables.changelog_query(daily_updates(s, rows, f"{path}/in"), path, "ohlvc", f"{path}/checkpoint"))
     v.wall_clock(spark)
     return path
 
@@ -417,7 +417,7 @@ _BOTH = "FROM old o JOIN new n USING (screener, symbol, time)"
 
 @query(
     "x12_changelog",
-    W(v.TICKS, EARLY, v.sql_bars("old", "15m", 15, "early"), v.sql_bars("new", "15m", 15))
+    W(v.TICKS, EARLY, v.sql_bars("old", "1D", 1440, "early"), v.sql_bars("new", "1D", 1440))
     + f"""SELECT '+I' AS op, screener, {BAR} FROM old
 UNION ALL SELECT '-U', {_BARS_OF['o']} {_BOTH} WHERE {_DIFFERS}
 UNION ALL SELECT '+U', {_BARS_OF['n']} {_BOTH} WHERE {_DIFFERS}
@@ -432,7 +432,7 @@ def x12_changelog(spark, sf):
 
 @query(
     "x12_changelog_folded",
-    W(v.TICKS, v.sql_bars("bars_15m", "15m", 15)) + f"SELECT screener, {BAR} FROM bars_15m",
+    W(v.TICKS, v.sql_bars("bars_1d", "1D", 1440)) + f"SELECT screener, {BAR} FROM bars_1d",
 )
 def x12_folded(spark, sf):
     """The changes, folded, are the final bars."""
