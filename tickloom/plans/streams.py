@@ -39,13 +39,13 @@ def run(writer) -> None:
     writer.trigger(availableNow=True).start().awaitTermination()
 
 
-def halves(rows: DataFrame) -> list[DataFrame]:
+def halves(rows: DataFrame, twentieths: int = 10) -> list[DataFrame]:
     """The rows before and from the middle of their time span, which lies inside a
-    window of any length."""
+    window of any length; or from another part of the span."""
     low, high = rows.agg(F.min("time"), F.max("time")).first()
     if low is None:
         return [rows]
-    middle = F.lit(low + (high - low) / 2)
+    middle = F.lit(low + (high - low) * twentieths / 20)
     return [rows.filter(F.col("time") < middle), rows.filter(F.col("time") >= middle)]
 
 
@@ -401,7 +401,7 @@ def changed_bars(spark: SparkSession, sf: str) -> str:
     s = streaming_session(spark)
     path = fresh_path(s, "changelog")
     rows = v.ticks(spark, sf)
-    for part in halves(rows):
+    for part in halves(rows, 9):  # not at the edge of a day
         part.write.mode("append").parquet(f"{path}/in")
         run(tables.changelog_query(daily_updates(s, rows, f"{path}/in"), path, "ohlvc", f"{path}/checkpoint"))
     v.wall_clock(spark)
@@ -409,7 +409,7 @@ def changed_bars(spark: SparkSession, sf: str) -> str:
 
 
 EARLY = """early AS (SELECT * FROM ticks WHERE time <
-  (SELECT make_timestamp((epoch_us(min(time)) + epoch_us(max(time))) // 2) FROM ticks))"""
+  (SELECT make_timestamp(epoch_us(min(time)) + (epoch_us(max(time)) - epoch_us(min(time))) * 9 // 20) FROM ticks))"""
 _DIFFERS = "(o.open, o.high, o.low, o.close, o.volume) IS DISTINCT FROM (n.open, n.high, n.low, n.close, n.volume)"
 _BARS_OF = {a: "screener, symbol, time, " + ", ".join(f"{a}.{c}" for c in OHLCV) for a in "on"}
 _BOTH = "FROM old o JOIN new n USING (screener, symbol, time)"
