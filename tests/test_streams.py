@@ -15,7 +15,7 @@ from tickloom.operators import candles, indicators, signals
 from tickloom.schemas import TABLES
 from tickloom.session import streaming_session
 from tickloom.sources import records, tables
-from tickloom.streaming import flows, impact, state
+from tickloom.streaming import flows, idle, impact, state
 
 SCHEMA = (
     "symbol string, time timestamp_ntz, open double, high double, low double, close double, "
@@ -360,6 +360,56 @@ def test_beats_move_the_watermark_and_leave_no_row(spark, tmp_path, feed):
     same(got, minute(spark, rows))
 
 
+def test_a_source_that_sends_nothing_is_passed_by_the_clock(spark, tmp_path):
+    rows = rows_of(300)
+    s, schema = streaming_session(spark), spark.createDataFrame([], SCHEMA).schema
+    (tmp_path / "silent").mkdir()
+    spark.createDataFrame(rows, SCHEMA).coalesce(1).write.parquet(str(tmp_path / "busy"))
+    raw = {name: records.table_stream(s, str(tmp_path / name), schema) for name in ("busy", "silent")}
+    delays = {"busy": flows.PRICE_DELAY, "silent": flows.NEWS_DELAY}
+    timed = flows.timed_with_idle(raw, dict.fromkeys(raw, "time"), delays)
+    bars = flows.settle(flows.minute_bars(timed["busy"].unionByName(timed["silent"]), "seq"))
+    out, began = str(tmp_path / "out"), time.time()
+    job = tables.append_query(bars, out, f"{out}-cp").trigger(processingTime="1 second").start()
+    want = closed(minute(spark, rows), rows)
+
+    def written():
+        return spark.read.schema(bars.schema).parquet(out) if os.path.isdir(out) else None
+
+    try:
+        count = want.count()
+        while time.time() - began < 90 and job.isActive and (written() is None or written().count() < count):
+            time.sleep(1)
+        assert job.isActive, job.exception()
+        assert time.time() - began >= flows.IDLE_MS / 1000
+    finally:
+        job.stop()
+    same(written(), minute(spark, rows))
+
+
+@pytest.mark.parametrize(
+    ("seen", "want"),
+    [
+        ({"a": (50, 9_000), "b": (None, 0)}, {"b": 50}),  # never seen
+        ({"a": (50, 9_000), "b": (60, 0)}, {}),  # idle, but ahead
+        ({"a": (50, 0), "b": (60, 0)}, {"a": 60}),  # all idle: the quickest
+        ({"a": (None, 0), "b": (None, 0)}, {}),  # nothing known
+        ({"a": (None, 9_000), "b": (60, 0)}, {}),  # a has yet time to come
+        ({"a": (50, 9_000), "b": (60, 9_000)}, {}),  # none idle
+    ],
+)
+def test_marks_of_idle_sources(seen, want):
+    class Kept(dict):
+        def updateValue(self, key, value):
+            self[key[0]] = value
+
+    processor = idle.IdleState(("a", "b"), 10_000)
+    processor.seen = Kept(seen)
+    got = [dict(zip(p[idle.SOURCE], p[idle.MARK])) for p in processor._passed(dict(seen), 10_000)]
+    assert got == ([want] if want else [])
+    assert {s: m for s, (m, _) in processor.seen.items()} == {s: want.get(s, m) for s, (m, _) in seen.items()}
+
+
 def test_live_job_keeps_the_ladder_of_touched_hours(spark, tmp_path, feed):
     from tickloom.streaming import live
 

@@ -331,6 +331,36 @@ def x10(spark, sf):
     return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/out")
 
 
+def run_past(writer, mark) -> None:
+    """Runs by the clock until a batch has seen the watermark ``mark``, then stops."""
+    job = writer.trigger(processingTime="1 second").start()
+    want = mark.strftime("%Y-%m-%dT%H:%M:%S.%f")[:-3] + "Z" if mark else ""
+    try:
+        while not job.awaitTermination(1):
+            if any(p["eventTime"].get("watermark", "") >= want for p in job.recentProgress):
+                break
+    finally:
+        job.stop()
+
+
+@query("x10_silent_source", CLOSED_BARS)
+def x10_silent(spark, sf):
+    """A second source that sends nothing at all, no beats either, is passed by the
+    clock after ten seconds."""
+    s = streaming_session(spark)
+    path = fresh_path(s, "silent")
+    busy = tick_stream(s, sf)
+    rows = v.ticks(spark, sf).select(*busy.columns)
+    rows.limit(0).write.parquet(f"{path}/in")
+    raw = {"busy": busy, "silent": records.table_stream(s, f"{path}/in", rows.schema)}
+    delays = {"busy": flows.PRICE_DELAY, "silent": flows.NEWS_DELAY}
+    timed = flows.timed_with_idle(raw, dict.fromkeys(raw, "time"), delays)
+    bars = flows.settle(flows.minute_bars(timed["busy"].unionByName(timed["silent"]), "seq"))
+    last = rows.agg((F.max("time") - F.expr(f"INTERVAL {flows.PRICE_DELAY}")).alias("mark")).first().mark
+    run_past(tables.append_query(bars, f"{path}/out", f"{path}/checkpoint"), last)
+    return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/out")
+
+
 @query(
     "x10_slow_source",
     W(v.TICKS, """last AS (

@@ -14,6 +14,7 @@ from tickloom.functions.scalars import percent_change
 from tickloom.operators.candles import LADDER, OHLCV, arrival_order, bar_columns, union_all
 from tickloom.operators.news import NEWS_KEYS
 from tickloom.functions.times import MINUTE_US
+from tickloom.streaming.idle import MARK, SOURCE, idle_marks
 from tickloom.streaming.impact import impact_parts, joined_parts
 from tickloom.streaming.state import ladder_states
 
@@ -42,6 +43,35 @@ def timed_with_beats(df: DataFrame, time: str, delay: str, beats: DataFrame) ->
     return timed(both, time, delay).filter(~is_beat).drop("_beat")
 
 
+IDLE_MS = 10_000  # fixed value: after so long without a record a source is idle
+
+
+def timed_with_idle(
+    sources: Mapping[str, DataFrame], time: Mapping[str, str], delays: Mapping[str, str], idle_ms: int = IDLE_MS
+) -> dict[str, DataFrame]:
+    """As ``timed`` for each of the sources, which are used in one job (as a union or a
+    join). The job waits for its slowest source, but not for one that has sent nothing
+    for ``idle_ms`` by the clock, nor for one that has never sent anything; what such a
+    source sends later, behind the watermark, is late. Nothing but records is needed of
+    it. With all sources idle the watermark goes to the
+    quickest of them.
+
+    Such a job runs by the clock: give it a processing-time trigger; with
+    ``availableNow`` it would not end. Each source is scanned once more, for its event
+    time only.
+    """
+    marks = idle_marks(sources, time, delays, idle_ms)
+
+    def passed(name: str) -> DataFrame:
+        at = F.timestamp_micros(MARK) + F.expr(f"INTERVAL {delays[name]}")
+        kind = sources[name].schema[time[name]].dataType
+        return marks.filter(F.col(SOURCE) == name).select(at.cast(kind).alias(time[name]))
+
+    return {
+        name: timed_with_beats(rows, time[name], delays[name], passed(name)) for name, rows in sources.items()
+    }
+
+
 def without_repeats(df: DataFrame, *keys: str) -> DataFrame:
     """Drops exact repeats that arrive within the watermark."""
     return df.dropDuplicatesWithinWatermark(list(keys))
