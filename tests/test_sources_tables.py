@@ -1,10 +1,12 @@
 from datetime import datetime as T
+from pathlib import Path
 
 import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars, times
 from tickloom.schemas import TABLES
+from tickloom.session import streaming_session
 from tickloom.sources import records, tables
 
 
@@ -204,3 +206,74 @@ def test_changes_of_rows(spark):
     )
     assert tables.changes_of(rows.limit(0), before, ["k"]).count() == 0
     assert tables.changes_of(rows, before.limit(0), ["k"]).filter("op <> '+I'").count() == 0
+
+
+def folders(root, name="ohlvc"):
+    return sorted(str(p.parent.relative_to(f"{root}/{name}")) for p in Path(root, name).glob("*/*/_SUCCESS"))
+
+
+def test_packed_batches_hold_the_newest_rows_and_stay_few(spark, tmp_path):
+    table, root = TABLES["ohlvc"], str(tmp_path)
+    want, most = {}, 0
+    for batch in range(40):
+        at = T(2024, 1, 1, 0, batch % 7)
+        rows = [("1m", "A", at, float(batch)), ("1m", f"S{batch}", at, -1.0)]
+        want |= {(s, t): c for _, s, t, c in rows}
+        tables.write_batch(candle(spark, *rows), root, table, batch, writer="job")
+        tables.pack_batches(spark, root, table, batch, "job", fan=3)
+        if batch % 9 == 0 or batch == 39:
+            got = tables.read_table(spark, root, table).collect()
+            assert {(r.symbol, r.time): r.close for r in got} == want and len(got) == len(want)
+        most = max(most, len(folders(root)))
+    # At most two packs' worth of parts on each of the levels 0 to 3.
+    assert most <= 2 * 3 * 4 and "writer=job~3/batch_id=26" in folders(root)
+    assert "writer=job/batch_id=0" not in folders(root)
+
+
+def test_a_pack_that_was_cut_off_is_written_again(spark, tmp_path):
+    table, root = TABLES["ohlvc"], str(tmp_path)
+    for batch in range(3):
+        tables.write_batch(candle(spark, ("1m", "A", T(2024, 1, 1), float(batch))), root, table, batch, writer="job")
+    tables.pack_batches(spark, root, table, 3, "job", fan=3)
+    pack = Path(root, "ohlvc/writer=job~1/batch_id=2")
+    (pack / "_SUCCESS").unlink()
+    for _ in range(2):  # and a complete one is left as it is
+        tables.pack_batches(spark, root, table, 3, "job", fan=3)
+        assert (pack / "_SUCCESS").exists()
+    assert [r.close for r in spark.read.parquet(str(pack)).collect()] == [2.0]
+    assert [r.close for r in tables.read_table(spark, root, table).collect()] == [2.0]
+    assert len(folders(root)) == 4  # parts stay until the next pack
+
+
+def test_packs_of_one_writer_leave_others_alone(spark, tmp_path):
+    table, root, at = TABLES["ohlvc"], str(tmp_path), T(2024, 1, 1)
+    tables.write_batch(candle(spark, ("1m", "A", at, 1.0)), root, table, 0, writer="job")
+    tables.write_batch(candle(spark, ("1m", "A", at, 2.0), ("1m", "B", at, 2.0)), root, table, 0, writer="other")
+    tables.write_batch(candle(spark, ("1m", "C", at, 3.0)), root, table, 1, writer="job")
+    for batch in (2, 4):  # nothing to pack for 3: parts may be missing
+        tables.pack_batches(spark, root, table, batch, "job", fan=2)
+    got = sorted((r.symbol, r.close) for r in tables.read_table(spark, root, table).collect())
+    assert got == [("A", 2.0), ("B", 2.0), ("C", 3.0)]
+    assert "writer=other/batch_id=0" in folders(root)
+
+
+@pytest.mark.parametrize("sink", [tables.upsert_query, tables.changelog_query])
+def test_a_stream_into_a_packed_table(spark, tmp_path, sink):
+    table, root, source = TABLES["ohlvc"], str(tmp_path / "t"), str(tmp_path / "in")
+    rows = [("1m", f"S{i % 3}", T(2024, 1, 1, 0, i % 2), float(i)) for i in range(9)]
+    for i, row in enumerate(rows):
+        candle(spark, row).coalesce(1).write.mode("append").parquet(source)
+    schema = candle(spark, *rows).schema
+    stream = records.table_stream(streaming_session(spark), source, schema, files_per_batch=1)
+    query = sink(stream, root, "ohlvc", str(tmp_path / "cp"), pack=2)
+    query.trigger(availableNow=True).start().awaitTermination()
+    want = {(s, t): c for _, s, t, c in rows}
+    got = tables.read_table(spark, root, table).collect()
+    assert {(r.symbol, r.time): r.close for r in got} == want and len(got) == len(want)
+    assert len(folders(root)) < 14
+    if sink is tables.changelog_query:
+        changes = tables.read_changes(spark, root, table)
+        ops = {r.op: r["count"] for r in changes.groupBy("op").count().collect()}
+        assert ops == {"+I": 6, "-U": 3, "+U": 3}
+        folded = tables.fold_changes(changes, table.keys).collect()
+        assert {(r.symbol, r.time): r.close for r in folded} == want

@@ -5,6 +5,12 @@ same batch again replaces that folder and nothing else, so a retried batch leave
 trace, no stored file is rewritten, and a lost task is simply run again. Several
 writers share a table without touching each other's batches. Reading keeps the row
 of every key that was committed last, whoever wrote it.
+
+Sinks pack their batches: ``PACK`` batches become one folder, as many of these a larger
+one, and so on, so that a row is rewritten once per level and the folders of a writer
+grow with the logarithm of its batches. A pack holds rows that its parts hold too; a
+reader that sees both finds each key once, so nothing has to be switched at one moment.
+Parts go when the next pack of their level is complete, which leaves readers time.
 """
 
 from __future__ import annotations
@@ -25,6 +31,8 @@ WRITER = "writer"
 #: Microseconds at which a batch was written, on each of its rows.
 COMMITTED = "_committed"
 _NEWEST = (COMMITTED, BATCH, WRITER)
+#: Folders of a level that make one of the next; 0 packs nothing.
+PACK = 10
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -64,11 +72,73 @@ def write_batch(
     batch that share a key. ``writer`` names the job: batch ids count within it."""
     if order:
         df = latest_by_key(df, table.keys, order)
-    rows = _laid_out(conform(df, table), table).withColumn(COMMITTED, F.lit(time.time_ns() // 1000))
-    out = rows.write.mode("overwrite")
+    rows = conform(df, table).withColumn(COMMITTED, F.lit(time.time_ns() // 1000))
+    _write(rows, table, _folder(root, table, writer, batch_id))
+
+
+def _folder(root: str, table: Table, writer: str, batch_id: int) -> str:
+    return f"{root}/{table.name}/{WRITER}={writer}/{BATCH}={batch_id}"
+
+
+def _write(rows: DataFrame, table: Table, path: str) -> None:
+    out = _laid_out(rows, table).write.mode("overwrite")
     if table.partitions:
         out = out.partitionBy(*table.partitions)
-    out.parquet(f"{root}/{table.name}/{WRITER}={writer}/{BATCH}={batch_id}")
+    out.parquet(path)
+
+
+def _level(writer: str, level: int) -> str:
+    """Writer name of the packs of a level; level 0 are the batches themselves."""
+    return f"{writer}~{level}" if level else writer
+
+
+def pack_batches(
+    spark: SparkSession, root: str, table: Table, batch_id: int, writer: str, fan: int = PACK
+) -> None:
+    """Packs a writer's batches before ``batch_id``, which may still be retried; those
+    before it never are. Called with every batch, it does nothing for most.
+
+    A pack is named by its last batch and complete once it has its ``_SUCCESS`` file. One
+    that was cut off is written again: its parts are still there.
+    """
+    if fan < 2:
+        return
+    level, width = 1, fan
+    while batch_id and batch_id % width == 0:
+        last = batch_id - 1
+        parts = _parts(spark, root, table, writer, level, last, fan)
+        target = _folder(root, table, _level(writer, level), last)
+        if parts and not _exists(spark, f"{target}/_SUCCESS"):
+            stored = spark.read.option("mergeSchema", "true").option("basePath", f"{root}/{table.name}")
+            rows = latest_by_key(stored.parquet(*parts), table.keys, _NEWEST)
+            _write(rows.drop(BATCH, WRITER), table, target)
+        before = last - width
+        if before >= 0 and _exists(spark, f"{_folder(root, table, _level(writer, level), before)}/_SUCCESS"):
+            for part in _parts(spark, root, table, writer, level, before, fan):
+                _delete(spark, part)
+        level, width = level + 1, width * fan
+
+
+def _parts(spark, root: str, table: Table, writer: str, level: int, last: int, fan: int) -> list[str]:
+    """Folders below ``level`` that the pack ending with ``last`` is made of."""
+    step = fan ** (level - 1)
+    paths = [_folder(root, table, _level(writer, level - 1), last - i * step) for i in range(fan)]
+    return [path for path in paths if _exists(spark, f"{path}/_SUCCESS")]
+
+
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
+def _exists(spark: SparkSession, path: str) -> bool:
+    files, hadoop = _file_system(spark, path)
+    return files.exists(hadoop)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    files, hadoop = _file_system(spark, path)
+    files.delete(hadoop, True)
 
 
 def _stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
@@ -137,15 +207,17 @@ def writer_of(checkpoint: str) -> str:
 
 def upsert_query(
     df: DataFrame, root: str, table_name: str, checkpoint: str,
-    order: Sequence[str] = (), output_mode: str = "append",
+    order: Sequence[str] = (), output_mode: str = "append", pack: int = PACK,
 ):
-    """Keyed sink: one idempotent batch folder per micro-batch. The checkpoint names
-    the writer, so a job on a new checkpoint starts batches of its own."""
+    """Keyed sink: one idempotent batch folder per micro-batch, packed as they grow in
+    number. The checkpoint names the writer, so a job on a new checkpoint starts batches
+    of its own."""
     table = TABLES[table_name]
     writer = writer_of(checkpoint)
 
     def write(batch: DataFrame, batch_id: int) -> None:
         write_batch(batch, root, table, batch_id, order, writer)
+        pack_batches(batch.sparkSession, root, table, batch_id, writer, pack)
 
     return (
         df.writeStream.outputMode(output_mode)
@@ -191,7 +263,7 @@ def changes_of(rows: DataFrame, before: DataFrame, keys: Sequence[str]) -> DataF
 
 def changelog_query(
     df: DataFrame, root: str, table_name: str, checkpoint: str,
-    order: Sequence[str] = (), output_mode: str = "update",
+    order: Sequence[str] = (), output_mode: str = "update", pack: int = PACK,
 ):
     """Keyed sink that also keeps the changes it makes, with retractions. The version a
     row replaces is the newest that this job stored in an earlier batch, so a retried
@@ -208,6 +280,7 @@ def changelog_query(
             write_batch(rows, root, table, batch_id, writer=writer)
             changes = changes_of(rows, _before(rows, root, table, batch_id, writer), table.keys)
             changes.write.mode("overwrite").parquet(_changes(root, table, writer, batch_id))
+            pack_batches(batch.sparkSession, root, table, batch_id, writer, pack)
         finally:
             rows.unpersist()
 
@@ -224,9 +297,11 @@ def _changes(root: str, table: Table, writer: str, batch_id: int) -> str:
 
 def _before(rows: DataFrame, root: str, table: Table, batch_id: int, writer: str) -> DataFrame:
     """Rows as this writer left them before the batch, in the time range of ``rows``."""
-    schema = T.StructType([*rows.schema.fields, T.StructField(BATCH, T.LongType())])
-    stored = rows.sparkSession.read.schema(schema).parquet(f"{root}/{table.name}/{WRITER}={writer}")
-    stored = stored.filter(F.col(BATCH) < batch_id)
+    kept = [T.StructField(BATCH, T.LongType()), T.StructField(WRITER, T.StringType())]
+    schema = T.StructType([*rows.schema.fields, *kept])
+    stored = rows.sparkSession.read.schema(schema).parquet(f"{root}/{table.name}")
+    own = (F.col(WRITER) == writer) | F.col(WRITER).startswith(_level(writer, 1)[:-1])
+    stored = stored.filter(own & (F.col(BATCH) < batch_id)).drop(WRITER)
     time = _day_column(table)
     if time:
         low, high = rows.agg(F.min(time), F.max(time)).first()

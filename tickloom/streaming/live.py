@@ -46,6 +46,7 @@ def refresh_rungs(minutes: DataFrame, root: str, batch_id: int, writer: str) ->
     whole = inside.withColumn("_home", home).join(touched, ["symbol", "_home"], "left_semi")
     longer = ladder(whole.drop("_home")).filter(F.col("screener") != MINUTE_RUNG)
     tables.write_batch(longer, root, TABLES["ohlvc"], batch_id, writer=f"{writer}-rungs")
+    tables.pack_batches(minutes.sparkSession, root, TABLES["ohlvc"], batch_id, f"{writer}-rungs")
 
 
 def price_tables_query(
@@ -58,17 +59,21 @@ def price_tables_query(
     def rows(batch: DataFrame) -> DataFrame:
         return flows.settle(batch).withColumn("screener", F.lit(MINUTE_RUNG))
 
+    def store(df: DataFrame, name: str, batch_id: int) -> None:
+        tables.write_batch(df, root, TABLES[name], batch_id, writer=writer)
+        tables.pack_batches(df.sparkSession, root, TABLES[name], batch_id, writer)
+
     def write_bars(batch: DataFrame, batch_id: int) -> None:
         minutes = rows(batch).select("screener", "symbol", "time", *OHLCV)
-        tables.write_batch(minutes, root, TABLES["ohlvc"], batch_id, writer=writer)
+        store(minutes, "ohlvc", batch_id)
         refresh_rungs(minutes, root, batch_id, writer)
 
     def write_indicators(batch: DataFrame, batch_id: int) -> None:
-        tables.write_batch(rows(batch), root, TABLES["indicators"], batch_id, writer=writer)
+        store(rows(batch), "indicators", batch_id)
 
     def write_signals(batch: DataFrame, batch_id: int) -> None:
         found = flows.settle(state.signals_of(batch), time="signal_time")
-        tables.write_batch(found, root, TABLES["signals"], batch_id, writer=writer)
+        store(found, "signals", batch_id)
 
     return tables.fan_out_query(states, [write_bars, write_indicators, write_signals], checkpoint)
 
