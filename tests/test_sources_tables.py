@@ -5,6 +5,8 @@ import pytest
 from pyspark.sql import functions as F
 
 from tickloom.functions import scalars, times
+from tickloom import schemas
+from tickloom.operators import candles
 from tickloom.schemas import TABLES
 from tickloom.session import streaming_session
 from tickloom.sources import records, tables
@@ -277,3 +279,57 @@ def test_a_stream_into_a_packed_table(spark, tmp_path, sink):
         assert ops == {"+I": 6, "-U": 3, "+U": 3}
         folded = tables.fold_changes(changes, table.keys).collect()
         assert {(r.symbol, r.time): r.close for r in folded} == want
+
+
+LOG = (
+    "key binary, value binary, topic string, partition int, offset bigint, timestamp timestamp, timestampType int"
+)
+KEYS = ("screener", "symbol", "time")
+
+
+def logged(spark, *messages):
+    """(partition, offset, symbol, minute, close); without a close, a tombstone."""
+    rows = []
+    for partition, offset, symbol, minute, close in messages:
+        key = f'{{"screener":"1m","symbol":"{symbol}","time":"2024-01-01 00:{minute:02}:00"}}'
+        value = None if close is None else f'{key[:-1]},"open":{close},"high":{close},"low":{close},"close":{close},"volume":1}}'
+        rows.append((key.encode(), value and value.encode(), "t", partition, offset, None, 0))
+    return spark.createDataFrame(rows, LOG)
+
+
+def test_log_positions_and_tombstone_keys_survive(spark):
+    raw = logged(spark, (0, 1, "A", 0, 1.0), (0, 2, "A", 0, None), (0, 3, "A", 0, 2.0), (1, 1, "B", 0, 5.0), (1, 9, "B", 0, None))
+    bad = spark.createDataFrame(
+        [(b"{", b"{", "t", 0, 4, None, 0), (b"{", None, "t", 0, 5, None, 0), (None, None, "t", 0, 6, None, 0)], LOG
+    )
+    log = records.keyed_log(raw.union(bad), schemas.OHLC_RECORD, KEYS)
+    got = sorted((r.topic_partition, r.offset, r.symbol, r.deleted, r.close) for r in log.collect())
+    assert got == [
+        (0, 1, "A", False, 1.0), (0, 2, "A", True, None), (0, 3, "A", False, 2.0),
+        (1, 1, "B", False, 5.0), (1, 9, "B", True, None),
+    ]
+    left = tables.current_of_log(log, KEYS)
+    assert [(r.symbol, r.close, r.seq) for r in left.collect()] == [("A", 2.0, 3 << 16)]
+
+
+def test_offsets_order_the_records_of_a_bar(spark):
+    raw = logged(spark, (2, 7, "A", 0, 3.0), (2, 5, "A", 0, 9.0), (1, 5, "A", 0, 4.0), (0, 6, "A", 0, 5.0))
+    log = records.keyed_log(raw, schemas.OHLC_RECORD, KEYS).withColumn("time", times.event_time("time"))
+    bar = candles.rollup(log, times.MINUTE_US, seq="seq").first()
+    assert (bar.open, bar.close, bar.high, bar.volume) == (4.0, 3.0, 9.0, 4.0)
+
+
+@pytest.mark.parametrize(("partition", "offset"), [(1 << 16, 0), (0, 1 << 47), (-1, 0), (0, -1)])
+def test_a_position_out_of_range_is_refused(spark, partition, offset):
+    log = records.keyed_log(logged(spark, (partition, offset, "A", 0, 1.0)), schemas.OHLC_RECORD, KEYS)
+    with pytest.raises(Exception, match="out of range"):
+        log.collect()
+
+
+def test_only_wanted_fields_are_parsed(spark):
+    message = '{"symbol":"A","handle_time":"2024-01-01T00:00:00","ceiling":1.5,"Buy":{"Buy_1":2.5,"Buy_2":9.0}}'
+    rows = records.order_book_records(raw(spark, message), ["Buy.Buy_1", "ceiling"])
+    assert rows.columns == ["handle_time", "symbol", "ceiling", "Buy"] and rows.schema["Buy"].dataType.names == ["Buy_1"]
+    assert [(r.symbol, r.ceiling, r.Buy.Buy_1) for r in rows.collect()] == [("A", 1.5, 2.5)]
+    with pytest.raises(ValueError, match="unknown fields"):
+        records.order_book_records(raw(spark, message), ["none"])

@@ -4,12 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from tickloom.functions import times
+from tickloom.functions.times import event_time
 from tickloom.operators import candles, indicators
 from tickloom.plans import views as v
 from tickloom.plans.aggregates import BAR, _RIGHT
 from tickloom.plans.projections import BOOK_SQL, book_messages
 from tickloom.plans.registry import query
-from tickloom.schemas import TABLES
+from tickloom.schemas import OHLC_RECORD, TABLES
 from tickloom.session import fresh_path
 from tickloom.sources import records, tables
 
@@ -70,6 +72,53 @@ def s4(spark, sf):
     return rows.groupBy(name.alias("origin")).agg(F.count(F.lit(1)).alias("n"))
 
 
+def logged_ticks(spark, sf):
+    """Ticks as a keyed topic of three partitions in the connector's columns; views are
+    tombstones."""
+    t = v.ticks(spark, sf).withColumn("screener", F.lit("1m")).withColumn("time", F.col("time").cast("string"))
+    value = F.to_json(F.struct("screener", "symbol", "open", "high", "low", "close", "volume", "time"))
+    return t.select(
+        F.to_json(F.struct("screener", "symbol", "time")).cast("binary").alias("key"),
+        F.when(F.col("event_type") != "view", value).cast("binary").alias("value"),
+        F.lit("ohvcl_data").alias("topic"),
+        F.pmod("seq", F.lit(3)).cast("int").alias("partition"),
+        F.floor(F.col("seq") / 3).cast("long").alias("offset"),
+        F.current_timestamp().alias("timestamp"),
+        F.lit(0).alias("timestampType"),
+    )
+
+
+def log_rows(spark, sf):
+    return records.keyed_log(logged_ticks(spark, sf), OHLC_RECORD, ("screener", "symbol", "time"))
+
+
+@query(
+    "s4_log_positions",
+    W(v.TICKS) + """SELECT CAST(seq % 3 AS INTEGER) AS topic_partition, seq // 3 AS "offset", symbol, time,
+  event_type = 'view' AS deleted, CASE WHEN event_type <> 'view' THEN close END AS close FROM ticks""",
+)
+def s4_positions(spark, sf):
+    """Partition and offset of every record, tombstones among them."""
+    rows = log_rows(spark, sf).withColumn("time", event_time("time"))
+    return rows.select("topic_partition", "offset", "symbol", "time", "deleted", "close")
+
+
+@query(
+    "s4_log_bars",
+    W(v.TICKS,
+      """kept AS (SELECT * FROM (SELECT * FROM ticks
+  QUALIFY row_number() OVER (PARTITION BY symbol, time ORDER BY seq DESC) = 1) WHERE event_type <> 'view')""",
+      v.sql_bars("bars_1h", "1H", 60, "kept"))
+    + f"SELECT {BAR} FROM bars_1h",
+)
+def s4_bars(spark, sf):
+    """Hour bars of what the topic leaves: a tombstone takes its record with it, and
+    offsets decide the order."""
+    rows = tables.current_of_log(log_rows(spark, sf), ("screener", "symbol", "time"))
+    bars = candles.rollup(rows.withColumn("time", event_time("time")), times.HOUR_US, seq="seq")
+    return bars.withColumn("screener", F.lit("1H"))
+
+
 @query(
     "s5_malformed_records",
     W(v.TICKS) + f"SELECT {TICK_COLUMNS} FROM ticks WHERE event_type <> 'click'",
@@ -85,7 +134,9 @@ def s5(spark, sf):
     f"SELECT symbol, handle_time, buy_1, buy_3_volume, sell_2, room_foreign FROM ({BOOK_SQL})",
 )
 def s6(spark, sf):
-    book = records.order_book_records(book_messages(spark, sf))
+    book = records.order_book_records(
+        book_messages(spark, sf), ["Buy.Buy_1", "Buy.Buy_3_volume", "Sell.Sell_2", "Room_foreign"]
+    )
     return book.select(
         "symbol",
         "handle_time",

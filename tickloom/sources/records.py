@@ -8,7 +8,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
 
-from pyspark.sql import DataFrame, SparkSession, functions as F, types as T
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F, types as T
 
 from tickloom import schemas
 from tickloom.functions.times import event_time, flexible_time, iso_time
@@ -68,21 +68,81 @@ def with_origin(df: DataFrame) -> DataFrame:
     return df.withColumn("topic_partition", F.col("_metadata.file_path"))
 
 
+def pruned(schema: T.StructType, names: Sequence[str]) -> T.StructType:
+    """The named fields of a schema; a dotted name takes one field of an inner struct."""
+    unknown = {n.split(".")[0] for n in names} - set(schema.names)
+    if unknown:
+        raise ValueError(f"unknown fields: {sorted(unknown)}")
+    kept = []
+    for f in schema:
+        inner = [n.split(".", 1)[1] for n in names if n.startswith(f"{f.name}.")]
+        if f.name in names:
+            kept.append(f)
+        elif inner:
+            kept.append(T.StructField(f.name, pruned(f.dataType, inner), f.nullable))
+    return T.StructType(kept)
+
+
 def decode(
-    raw: DataFrame, schema: T.DataType, required: Sequence[str], value: str = "value"
+    raw: DataFrame, schema: T.StructType, required: Sequence[str], value: str = "value",
+    fields: Sequence[str] | None = None,
 ) -> DataFrame:
     """JSON values to columns, without tombstones and without bad records.
 
     A tombstone or a malformed value decodes to a row of nulls, so it is known
     by its missing key fields. The value is unpacked with ``inline`` and not with a star: a
     filter on a plain projection is pushed below it and would parse every value
-    again for each key field.
+    again for each key field. For the same reason columns that are not used are parsed all the
+    same; ``fields`` names those wanted beside the required ones (``Buy.Buy_1`` for one
+    inside another), by default all.
     """
+    if fields is not None:
+        schema = pruned(schema, [*fields, *required])
     rest = [c for c in raw.columns if c != value]
     parsed = F.from_json(F.col(value).cast("string"), schema)
     return raw.select(*rest, F.inline(F.array(parsed))).dropna(subset=list(required))
 
 
+#: Bits of a partition's number in a log position.
+PARTITION_BITS = 16
+
+
+def log_position() -> Column:
+    """(offset, partition) of a record as one number, for use as ``seq``. Offsets order the
+    records of a partition, where all records of a key lie; between partitions, records of
+    one time go by offset and then by partition."""
+    offset, partition = F.col("offset"), F.col("partition").cast("long")
+    fits = (
+        offset.between(0, (1 << (63 - PARTITION_BITS)) - 1) & partition.between(0, (1 << PARTITION_BITS) - 1)
+    )
+    place = F.shiftleft(offset, PARTITION_BITS).bitwiseOR(partition)
+    beyond = F.raise_error(F.lit("partition or offset out of range")).cast("long")
+    return F.when(fits, place).when(fits.isNotNull(), beyond)
+
+
+def keyed_log(raw: DataFrame, schema: T.StructType, keys: Sequence[str]) -> DataFrame:
+    """Records of a keyed topic, tombstones among them.
+
+    ``raw`` has the log's columns: key, value, partition, offset. A record takes its
+    fields from the value; a tombstone has no value, takes ``keys`` from its key and is
+    ``deleted``. ``topic_partition``, ``offset`` and ``seq`` (``log_position``) stay with
+    the row. A malformed value, or a tombstone without a readable key, is left out.
+    """
+    key_schema = T.StructType([schema[k] for k in keys])
+    places = with_origin(raw).select("topic_partition", "offset", log_position().alias("seq"), "key", "value")
+    deleted = F.col("value").isNull()
+    # One inline for both, as in ``decode``: nothing is parsed again for a filter.
+    value = F.from_json(F.col("value").cast("string"), schema)
+    key = F.from_json(F.col("key").cast("string"), key_schema)
+    both = F.array(F.struct(F.when(~deleted, value).alias("_value"), F.when(deleted, key).alias("_key"), deleted.alias("deleted")))
+    rows = places.select("topic_partition", "offset", "seq", F.inline(both))
+    fields = [
+        F.coalesce(f"_value.{f.name}", f"_key.{f.name}").alias(f.name) if f.name in keys else F.col(f"_value.{f.name}").alias(f.name)
+        for f in schema
+    ]
+    return rows.select("topic_partition", "offset", "seq", "deleted", *fields).dropna(subset=list(keys))
+
+
 def encode(df: DataFrame, keys: Sequence[str] = ()) -> DataFrame:
     """Rows to JSON ``value`` (and ``key``) columns for the message log."""
     value = F.to_json(F.struct(*df.columns)).alias("value")
@@ -120,8 +180,9 @@ def news_table(raw: DataFrame) -> DataFrame:
     )
 
 
-def order_book_records(raw: DataFrame) -> DataFrame:
-    rows = decode(raw, schemas.ORDER_BOOK_RECORD, ("symbol", "handle_time"))
+def order_book_records(raw: DataFrame, fields: Sequence[str] | None = None) -> DataFrame:
+    """Snapshots; of the message only ``fields`` are parsed, by default all."""
+    rows = decode(raw, schemas.ORDER_BOOK_RECORD, ("symbol", "handle_time"), fields=fields)
     return rows.withColumn("handle_time", iso_time("handle_time")).filter(
         F.col("handle_time").isNotNull()
     )

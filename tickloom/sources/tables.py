@@ -44,6 +44,11 @@ def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> D
     return df.withColumn("_rank", F.row_number().over(newest)).filter("_rank = 1").drop("_rank")
 
 
+def current_of_log(log: DataFrame, keys: Sequence[str]) -> DataFrame:
+    """What a keyed topic leaves: the newest record per key, unless it is a tombstone."""
+    return latest_by_key(log, keys, ["seq"]).filter(~F.col("deleted")).drop("deleted")
+
+
 def conform(df: DataFrame, table: Table) -> DataFrame:
     return df.select(*table.keys, *[c for c in table.columns if c in df.columns])
 
