@@ -478,6 +478,35 @@ def brute_secrets(t):
     return ",".join(f"{('assign', 'access', 'hex')[k]}:{a}:{b}" for a, k, b in sorted(out))
 
 
+def test_secrets_of_a_text_with_very_many(spark):
+    """Places are linear in the matches: 150,000 of them in one text of 8 MB."""
+    line = f"token=aB3{'x9Y' * 6} AKIA{'Q7' * 8} {'0f' * 17}zz Zz9{'kQ4' * 7}\U0001f600 password: short\n"
+    text = line * 50_000
+    docs = spark.createDataFrame([(1, text, "x"), (2, line, "y")], "doc_id long, text string, source string")
+    got = {r.doc_id: r.base for r in secrets.scan(docs).select(
+        "doc_id", secrets.span_text(F.filter("spans", lambda s: s["kind"] < 3)).alias("base")).collect()}
+    assert got == {1: brute_secrets(text), 2: brute_secrets(line)}
+    spans = {r.doc_id: r.n for r in secrets.scan(docs).select("doc_id", F.size("spans").alias("n")).collect()}
+    # Per line: assign, access, hex and one token; the hex run is all small letters.
+    assert spans == {1: 200_000, 2: 4}
+
+
+def test_tokens_that_meet_a_base_span_are_left_out(spark):
+    token = "Ab1" * 8
+    texts = [
+        token, f"secret={token}", f"{token} secret={token}", f"secret={token} {token}", f"x{token}{'0f' * 20}",
+        f"{token}=secret=abcdefgh", f"AKIA{'A1' * 6}b{token}",
+    ]
+    docs = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").withColumn("source", F.lit("s"))
+    for r in secrets.scan(docs).collect():
+        text = texts[r.doc_id]
+        base = [(s.start, s.end) for s in r.spans if s.kind < 3]
+        runs = [m.span() for m in re.finditer(secrets.TOKEN, text)]
+        mixed = [(a, e) for a, e in runs if all(re.search(p, text[a:e]) for p in ("[0-9]", "[A-Z]", "[a-z]"))]
+        want = [(a, e) for a, e in mixed if not any(b < e and a < f for b, f in base)]
+        assert [(s.start, s.end) for s in r.spans if s.kind == 3] == want, text
+
+
 def test_secret_spans(spark, edge, real, empty):
     key = "AKIA" + "Z9" * 8
     odd = spark.createDataFrame(

@@ -8,7 +8,9 @@ Only DataFrame functions are used.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tickloom.llm.common import settle, text_of
@@ -23,70 +25,79 @@ HEX = r"[0-9a-f]{32,}"
 TOKEN = r"[A-Za-z0-9+/_=-]{20,}"
 
 EXAMPLE_OWNERS = 3
+MATCHES = "array<struct<kind:int,pos:int,gap:int,long:int,hash:binary,good:boolean>>"
 
 
 
-
-def places(text: Column, pattern: str, group: int = 0) -> Column:
-    """Array of (start, end, value): the leftmost matches of ``pattern`` that do
-    not overlap, in code points from 0, end exclusive; ``value`` is the group.
+def matches(text: Column, kind: int, pattern: str, group: int, good: Callable[[Column], Column]) -> Column:
+    """Array of the leftmost matches of ``pattern`` that do not overlap, in order: kind,
+    pos, ``gap`` (code points since the match before), ``long``, ``hash`` of the group,
+    and ``good``, whether the group counts.
 
     The text between matches gives their places: both sides come from the same
-    matcher, so a match starts where the gaps and matches before it end. Texts
-    without a match are not split.
+    matcher. Places are summed later, over rows, so the cost is linear in the matches.
+    Texts without a match are not split.
     """
     gaps = F.split(text, pattern, -1)
     whole = F.regexp_extract_all(text, F.lit(pattern), F.lit(0))
     values = whole if group == 0 else F.regexp_extract_all(text, F.lit(pattern), F.lit(group))
     steps = F.arrays_zip(
-        F.transform(F.slice(gaps, F.lit(1), F.size(gaps) - 1), lambda g: F.length(g)).alias("gap"),
-        F.transform(whole, lambda m: F.length(m)).alias("long"),
-        values.alias("value"),
+        F.slice(gaps, F.lit(1), F.size(gaps) - 1).alias("gap"), whole.alias("whole"), values.alias("value")
     )
-    start = F.struct(
-        F.lit(0).alias("at"),
-        F.array().cast("array<struct<start:int,end:int,value:string>>").alias("found"),
-    )
-
-    def step(state: Column, x: Column) -> Column:
-        begin = state["at"] + x["gap"]
-        end = begin + x["long"]
-        span = F.struct(begin.alias("start"), end.alias("end"), x["value"].alias("value"))
-        return F.struct(end.alias("at"), F.concat(state["found"], F.array(span)).alias("found"))
-
-    none = F.array().cast("array<struct<start:int,end:int,value:string>>")
-    return F.when(text.rlike(pattern), F.aggregate(steps, start, step, lambda s: s["found"])).otherwise(none)
-
-
-def _named(spans: Column, kind: int) -> Column:
-    return F.transform(
-        spans,
-        lambda s: F.struct(
-            F.lit(kind).alias("kind"), s["start"].alias("start"), s["end"].alias("end"), s["value"].alias("value")
+    found = F.transform(
+        steps,
+        lambda x, i: F.struct(
+            F.lit(kind).alias("kind"), i.alias("pos"), F.length(x["gap"]).alias("gap"),
+            F.length(x["whole"]).alias("long"), F.unhex(F.sha2(x["value"], 256)).alias("hash"),
+            good(x["value"]).alias("good"),
         ),
     )
+    return F.when(text.rlike(pattern), found).otherwise(F.array().cast(MATCHES))
 
 
 def candidates(docs: DataFrame, text_col: str, keep: dict[str, Column]) -> DataFrame:
-    """``keep`` and the candidate spans of each text: base (assign, access, hex) and
-    tokens (long runs that mix digits, capitals and small letters, outside base
-    spans)."""
+    """``keep`` and the matches of each text: base (assign, access, hex) and tokens (long
+    runs that mix digits, capitals and small letters)."""
     text = F.col("_text")
-    assign = F.filter(places(text, ASSIGN, 2), lambda s: F.length(s["value"]) >= ASSIGN_LEAST)
+    every = lambda v: F.lit(True)
     mixed = lambda v: v.rlike("[0-9]") & v.rlike("[A-Z]") & v.rlike("[a-z]")
-    tokens = F.filter(places(text, TOKEN), lambda s: mixed(s["value"]))
-    base = F.concat(_named(assign, 0), _named(places(text, ACCESS), 1), _named(places(text, HEX), 2))
-    outside = F.filter(
-        F.col("_tokens"),
-        lambda t: ~F.exists(F.col("base"), lambda b: (b["start"] < t["end"]) & (t["start"] < b["end"])),
+    found = F.concat(
+        matches(text, 0, ASSIGN, 2, lambda v: F.length(v) >= ASSIGN_LEAST),
+        matches(text, 1, ACCESS, 0, every),
+        matches(text, 2, HEX, 0, every),
+        matches(text, 3, TOKEN, 0, mixed),
     )
-    return (
-        docs.select(*[c.alias(n) for n, c in keep.items()], text_of(text_col).alias("_text"))
-        .withColumn("base", base)
-        .withColumn("_tokens", _named(tokens, 3))
-        .withColumn("tokens", outside)
-        .drop("_text", "_tokens")
+    return docs.select(*[c.alias(n) for n, c in keep.items()], text_of(text_col).alias("_text")).select(
+        *keep, found.alias("found")
+    )
+
+
+def placed(rows: DataFrame) -> DataFrame:
+    """One row per candidate span: base spans, and tokens that meet none of them.
+
+    Running sums of gaps and lengths give the places. A token meets a base span if one that
+    begins no later ends behind its start, or the next one begins before its end: a running
+    maximum and, from the other side, a running minimum.
+    """
+    spread = rows.repartition("row_id").select("doc_id", "row_id", "repo", "owner", F.explode("found").alias("m"))
+    along = Window.partitionBy("row_id", "m.kind").orderBy("m.pos").rowsBetween(Window.unboundedPreceding, 0)
+    end = F.sum(F.col("m.gap") + F.col("m.long")).over(along).cast("int")
+    spans = (
+        spread.withColumn("end", end)
+        .filter("m.good")
+        .select(
+            "doc_id", "row_id", "repo", "owner", (F.col("end") - F.col("m.long")).alias("start"), "end",
+            "m.kind", "m.hash",
+        )
     )
+    base = F.col("kind") < 3
+    in_row = Window.partitionBy("row_id")
+    upto = in_row.orderBy("start").rangeBetween(Window.unboundedPreceding, 0)
+    behind = in_row.orderBy(F.col("start").desc()).rangeBetween(Window.unboundedPreceding, -1)
+    reached = F.coalesce(F.max(F.when(base, F.col("end"))).over(upto), F.lit(-1))
+    following = F.min(F.when(base, F.col("start"))).over(behind)
+    meets = (reached > F.col("start")) | F.coalesce(following < F.col("end"), F.lit(False))
+    return spans.withColumn("_meets", meets).filter(base | ~F.col("_meets")).drop("_meets")
 
 
 def ownership(found: DataFrame) -> DataFrame:
@@ -125,21 +136,11 @@ def scan(
                 "owner": F.col(owner_col).cast("string"),
                 "row_id": F.monotonically_increasing_id(),
             },
-        ).select(
-            "doc_id", "repo", "owner", "row_id",
-            F.transform(
-                F.concat("base", "tokens"),
-                lambda s: F.struct(
-                    s["start"].alias("start"), s["end"].alias("end"), s["kind"].alias("kind"),
-                    F.unhex(F.sha2(s["value"], 256)).alias("hash"),
-                ),
-            ).alias("found"),
         ),
         "secret-candidates",
     )
     none = F.size("found") == 0
-    spread = rows.filter(~none).select("doc_id", "row_id", "repo", "owner", F.explode("found").alias("s"))
-    spread = spread.select("doc_id", "row_id", "repo", "owner", "s.*")
+    spread = settle(placed(rows.filter(~none)), "secret-spans")
     verdict = F.when(F.col("n_owners") >= example_owners, "example").otherwise("live")
     judged = (
         spread.join(settle(ownership(spread), "secret-owners"), "hash")
