@@ -136,6 +136,41 @@ def test_key_scan_is_pushed_down(spark, tmp_path):
     assert [r.close for r in out.collect()] == [9.0]
 
 
+@pytest.mark.parametrize("symbols", [50, 900, 5000])
+def test_files_read_for_a_symbol_do_not_grow_with_the_symbols(spark, tmp_path, symbols):
+    table, root, packed = TABLES["ohlvc"], str(tmp_path / "a"), str(tmp_path / "b")
+    names = spark.range(symbols).select(F.concat(F.lit("S"), F.col("id")).alias("symbol"))
+    rows = names.crossJoin(candle(spark, *[("1m", "", T(2024, m, 1), 1.0) for m in (1, 2)]).drop("symbol"))
+    tables.write_batch(rows, root, table, 0)
+    tables.write_batch(rows.filter("symbol = 'S7'").withColumn("close", F.lit(2.0)), root, table, 1)
+    tables.compact(spark, root, table, packed)
+    groups = {p.parent.parent.name for p in Path(packed).rglob("*.parquet")}
+    assert len(groups) == tables.group_count(symbols) or symbols > 1024 and len(groups) > 200
+    held = {g: len(list(Path(packed).rglob(f"{g}/*/*.parquet"))) for g in groups}
+    assert max(held.values()) <= 3  # two spans of time
+    got = tables.read_key(spark, packed, table, symbol="S7")
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters" in plan and "symbol_group" in plan.split("PartitionFilters")[1].split("]")[0]
+    assert sorted((r.symbol, r.time.month, r.close) for r in got.collect()) == [("S7", 1, 2.0), ("S7", 2, 2.0)]
+    assert tables.read_table(spark, packed, table).count() == 2 * symbols
+    assert tables.read_table(spark, packed, table).columns == tables.read_table(spark, root, table).columns
+
+
+def test_folders_of_different_group_counts_lie_side_by_side(spark, tmp_path):
+    table, root, at = TABLES["ohlvc"], str(tmp_path), T(2024, 1, 1)
+    for batch, symbols in enumerate((1, 100, 5000, 1)):
+        rows = candle(spark, ("1m", "A", at, float(batch)), ("1m", f"B{batch}", at, 1.0), ("5m", None, at, 1.0))
+        tables.write_batch(rows, root, table, batch, symbols=symbols)
+    assert [r.close for r in tables.read_key(spark, root, table, symbol="A").collect()] == [3.0]
+    assert tables.read_key(spark, root, table, symbol="B1", screener="1m").count() == 1
+    assert tables.read_table(spark, root, table).count() == 6
+
+
+@pytest.mark.parametrize(("symbols", "count"), [(0, 1), (64, 1), (65, 16), (1024, 16), (1025, 256), (1 << 30, 65536)])
+def test_group_count(symbols, count):
+    assert tables.group_count(symbols) == count
+
+
 def test_history_is_normalised(spark, tmp_path):
     path = str(tmp_path / "h.csv")
     spark.createDataFrame(

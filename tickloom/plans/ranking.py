@@ -8,6 +8,9 @@ from tickloom.operators import candles, forecast, indicators, news, research, se
 from tickloom.plans import views as v
 from tickloom.plans.aggregates import CAPS, NAIVE, SIGNAL_UNION, SIGNALS_1H, USER_SHARES, USER_TICKS, last_caps, naive
 from tickloom.plans.registry import query
+from tickloom.schemas import TABLES
+from tickloom.session import fresh_path
+from tickloom.sources import tables
 
 W = v.with_
 
@@ -34,6 +37,19 @@ def k1_candles(spark, sf):
     return serving.latest_n(ladder(spark, sf), ["screener", "symbol"], 500)
 
 
+@query(
+    "k1_latest_of_symbol",
+    W(v.TICKS, v.LADDER)
+    + f"SELECT {BAR} FROM ladder WHERE screener = '1m' AND symbol = 'S3' ORDER BY time DESC LIMIT 500",
+)
+def k1_symbol(spark, sf):
+    """One symbol's newest bars out of the stored table; only its group is read."""
+    root = fresh_path(spark, "tables")
+    tables.bulk_write(ladder(spark, sf), root, TABLES["ohlvc"])
+    bars = tables.read_key(spark, root, TABLES["ohlvc"], screener="1m", symbol="S3")
+    return serving.latest_n(bars, ["screener", "symbol"], 500)
+
+
 BOOK = """book AS (
   SELECT 'P' || CAST(l_suppkey AS VARCHAR) AS symbol, l_shipdate AS handle_time,
          l_orderkey, l_linenumber, l_partkey, l_extendedprice AS buy_1, l_quantity AS volume

@@ -225,6 +225,20 @@ def s10(spark, sf):
     return tables.read_key(spark, root, TABLES["ohlvc"], screener="5m", symbol="S3")
 
 
+@query(
+    "s10_scan_by_group",
+    W(v.TICKS, v.LADDER) + f"SELECT {BAR} FROM ladder WHERE symbol = 'S3'",
+)
+def s10_group(spark, sf):
+    """All rungs of one symbol, out of a backfill placed by symbol groups and a later
+    batch in one group."""
+    root = fresh_path(spark, "tables")
+    rungs = candles.candle_ladder(v.ticks(spark, sf), seq="seq")
+    tables.bulk_write(rungs.withColumn("close", F.lit(0.0)), root, TABLES["ohlvc"])
+    tables.write_batch(rungs.filter(F.col("symbol") == "S3"), root, TABLES["ohlvc"], 0, writer="live")
+    return tables.read_key(spark, root, TABLES["ohlvc"], symbol="S3")
+
+
 @query(
     "s13_last_write_wins",
     W(v.TICKS, v.LADDER)

@@ -11,6 +11,11 @@ one, and so on, so that a row is rewritten once per level and the folders of a w
 grow with the logarithm of its batches. A pack holds rows that its parts hold too; a
 reader that sees both finds each key once, so nothing has to be switched at one moment.
 Parts go when the next pack of their level is complete, which leaves readers time.
+
+Files are placed by symbol group, a hash of the symbol: one group for a micro-batch, more
+for packs and backfills, by their number of symbols (``group_count``). A scan for one
+symbol reads one group of each folder, so its files do not grow with the symbols. The
+folder's name holds the count too, so that folders of different counts lie side by side.
 """
 
 from __future__ import annotations
@@ -33,6 +38,13 @@ COMMITTED = "_committed"
 _NEWEST = (COMMITTED, BATCH, WRITER)
 #: Folders of a level that make one of the next; 0 packs nothing.
 PACK = 10
+GROUP = "symbol_group"
+#: Possible counts of symbol groups, and the symbols a group is meant to hold at most.
+GROUP_COUNTS = (1, 16, 256, 4096, 65536)
+SYMBOLS_PER_GROUP = 64
+#: Span of time that a busy group's rows are spread by.
+_GROUP_SPAN_US = 32 * DAY_US
+_ADDED = (COMMITTED, BATCH, WRITER, GROUP)
 
 
 def latest_by_key(df: DataFrame, keys: Sequence[str], order: Sequence[str]) -> DataFrame:
@@ -57,39 +69,64 @@ def _day_column(table: Table) -> str | None:
     return next((k for k in table.keys if k in ("time", "signal_time", "news_time", "handle_time")), None)
 
 
-def _laid_out(df: DataFrame, table: Table) -> DataFrame:
-    """Clustered for reading: a file holds few symbols, in time order; a busy
-    symbol is spread over its days, and a busy day is split as its size asks."""
+def group_count(symbols: int) -> int:
+    """Symbol groups for a folder of that many symbols."""
+    return next((n for n in GROUP_COUNTS if symbols <= n * SYMBOLS_PER_GROUP), GROUP_COUNTS[-1])
+
+
+def symbol_group(symbol: Column, groups: int) -> Column:
+    """Name of a symbol's group among ``groups``, for example ``16x3``."""
+    place = F.pmod(F.xxhash64(symbol), F.lit(groups)).cast("string")
+    return F.concat(F.lit(f"{groups}x"), place)
+
+
+def _in_groups_of(symbol: str) -> Column:
+    """Constant groups in which a symbol's rows may lie, whatever the folder's count."""
+    return reduce(lambda x, y: x | y, [F.col(GROUP) == symbol_group(F.lit(symbol), n) for n in GROUP_COUNTS])
+
+
+def _laid_out(df: DataFrame, table: Table, groups: int) -> DataFrame:
+    """Clustered for reading: a file holds few symbols, in time order. In one group, a busy
+    symbol is spread over its days. Several groups are spread over longer spans, so that
+    a group has one file per rung and span; what is too large is split as its size asks."""
     time = _day_column(table)
-    place = [*table.partitions, "symbol"]
+    place = [*table.partitions, GROUP if groups > 1 else "symbol"]
+    df = df.withColumn(GROUP, symbol_group(F.col("symbol"), groups))
     if time:
-        df = df.withColumn("_day", chunk_of(time, DAY_US)).hint("rebalance", *place, "_day").drop("_day")
+        span = chunk_of(time, _GROUP_SPAN_US if groups > 1 else DAY_US)
+        df = df.withColumn("_span", span).hint("rebalance", *place, "_span").drop("_span")
+    elif groups > 1:
+        df = df.hint("rebalance", *place)
     else:
         df = df.hint("rebalance", *place, *[k for k in table.keys if k not in place])
-    return df.sortWithinPartitions(*table.partitions, *table.clustering)
+    return df.sortWithinPartitions(GROUP, *table.partitions, *table.clustering)
 
 
 def write_batch(
     df: DataFrame, root: str, table: Table, batch_id: int, order: Sequence[str] = (),
-    writer: str = "default",
+    writer: str = "default", symbols: int = 1,
 ) -> None:
     """Writes one batch of a keyed table; ``order`` decides between rows of the
-    batch that share a key. ``writer`` names the job: batch ids count within it."""
+    batch that share a key. ``writer`` names the job: batch ids count within it.
+    ``symbols`` says about how many it holds, if it is large; a wrong number changes the
+    layout only."""
     if order:
         df = latest_by_key(df, table.keys, order)
     rows = conform(df, table).withColumn(COMMITTED, F.lit(time.time_ns() // 1000))
-    _write(rows, table, _folder(root, table, writer, batch_id))
+    _write(rows, table, _folder(root, table, writer, batch_id), symbols)
 
 
 def _folder(root: str, table: Table, writer: str, batch_id: int) -> str:
     return f"{root}/{table.name}/{WRITER}={writer}/{BATCH}={batch_id}"
 
 
-def _write(rows: DataFrame, table: Table, path: str) -> None:
-    out = _laid_out(rows, table).write.mode("overwrite")
-    if table.partitions:
-        out = out.partitionBy(*table.partitions)
-    out.parquet(path)
+def _write(rows: DataFrame, table: Table, path: str, symbols: int) -> None:
+    laid_out = _laid_out(rows, table, group_count(symbols))
+    laid_out.write.mode("overwrite").partitionBy(GROUP, *table.partitions).parquet(path)
+
+
+def _symbols(rows: DataFrame) -> int:
+    return rows.agg(F.approx_count_distinct("symbol")).first()[0]
 
 
 def _level(writer: str, level: int) -> str:
@@ -115,8 +152,9 @@ def pack_batches(
         target = _folder(root, table, _level(writer, level), last)
         if parts and not _exists(spark, f"{target}/_SUCCESS"):
             stored = spark.read.option("mergeSchema", "true").option("basePath", f"{root}/{table.name}")
-            rows = latest_by_key(stored.parquet(*parts), table.keys, _NEWEST)
-            _write(rows.drop(BATCH, WRITER), table, target)
+            held = stored.parquet(*parts)
+            rows = latest_by_key(held, table.keys, _NEWEST).drop(BATCH, WRITER, GROUP)
+            _write(rows, table, target, _symbols(held))
         before = last - width
         if before >= 0 and _exists(spark, f"{_folder(root, table, _level(writer, level), before)}/_SUCCESS"):
             for part in _parts(spark, root, table, writer, level, before, fan):
@@ -153,17 +191,20 @@ def _stored(spark: SparkSession, root: str, table: Table) -> DataFrame:
 
 def read_table(spark: SparkSession, root: str, table: Table) -> DataFrame:
     """Current rows of a keyed table: the newest write of each key."""
-    return latest_by_key(_stored(spark, root, table), table.keys, _NEWEST).drop(*_NEWEST)
+    return latest_by_key(_stored(spark, root, table), table.keys, _NEWEST).drop(*_ADDED)
 
 
 def read_key(spark: SparkSession, root: str, table: Table, **equal: str) -> DataFrame:
-    """Scan by equality. On key columns it is pushed to partitions and files; on
-    others it tests the newest row of a key, so a replaced value is not found."""
+    """Scan by equality. On key columns it is pushed to partitions and files, a symbol
+    to its groups; on others it tests the newest row of a key, so a replaced value is
+    not found."""
     stored = _stored(spark, root, table)
+    if "symbol" in equal:
+        stored = stored.filter(_in_groups_of(equal["symbol"]))
     for column in table.keys:
         if column in equal:
             stored = stored.filter(F.col(column) == equal[column])
-    rows = latest_by_key(stored, table.keys, _NEWEST).drop(*_NEWEST)
+    rows = latest_by_key(stored, table.keys, _NEWEST).drop(*_ADDED)
     for column, value in equal.items():
         if column not in table.keys:
             rows = rows.filter(F.col(column) == value)
@@ -171,15 +212,16 @@ def read_key(spark: SparkSession, root: str, table: Table, **equal: str) -> Data
 
 
 def bulk_write(
-    df: DataFrame, root: str, table: Table, batch_id: int = 0, writer: str = "backfill"
+    df: DataFrame, root: str, table: Table, batch_id: int = 0, writer: str = "backfill", symbols: int = 1000
 ) -> None:
     """One write of a whole backfill, all symbols and rungs together."""
-    write_batch(df, root, table, batch_id, writer=writer)
+    write_batch(df, root, table, batch_id, writer=writer, symbols=symbols)
 
 
 def compact(spark: SparkSession, root: str, table: Table, new_root: str) -> None:
     """Current rows as a single batch below another root."""
-    write_batch(read_table(spark, root, table), new_root, table, 0)
+    symbols = _symbols(_stored(spark, root, table))
+    write_batch(read_table(spark, root, table), new_root, table, 0, symbols=symbols)
 
 
 def append_query(df: DataFrame, path: str, checkpoint: str, **options):
@@ -302,11 +344,11 @@ def _changes(root: str, table: Table, writer: str, batch_id: int) -> str:
 
 def _before(rows: DataFrame, root: str, table: Table, batch_id: int, writer: str) -> DataFrame:
     """Rows as this writer left them before the batch, in the time range of ``rows``."""
-    kept = [T.StructField(BATCH, T.LongType()), T.StructField(WRITER, T.StringType())]
+    kept = [T.StructField(WRITER, T.StringType()), T.StructField(BATCH, T.LongType()), T.StructField(GROUP, T.StringType())]
     schema = T.StructType([*rows.schema.fields, *kept])
     stored = rows.sparkSession.read.schema(schema).parquet(f"{root}/{table.name}")
     own = (F.col(WRITER) == writer) | F.col(WRITER).startswith(_level(writer, 1)[:-1])
-    stored = stored.filter(own & (F.col(BATCH) < batch_id)).drop(WRITER)
+    stored = stored.filter(own & (F.col(BATCH) < batch_id)).drop(WRITER, GROUP)
     time = _day_column(table)
     if time:
         low, high = rows.agg(F.min(time), F.max(time)).first()
