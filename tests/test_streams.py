@@ -15,7 +15,7 @@ from tickloom.operators import candles, indicators, signals
 from tickloom.schemas import TABLES
 from tickloom.session import streaming_session
 from tickloom.sources import records, tables
-from tickloom.streaming import flows, idle, impact, state
+from tickloom.streaming import flows, handover, idle, impact, state
 
 SCHEMA = (
     "symbol string, time timestamp_ntz, open double, high double, low double, close double, "
@@ -134,6 +134,25 @@ def test_bars_leave_state_with_their_ttl(spark, tmp_path, feed):
     assert (got.groupby("symbol")["ret"].apply(lambda x: int(x.isna().sum())) == 2).all()
 
 
+class Kept:
+    """A list or value of state, in memory."""
+
+    def __init__(self):
+        self.value, self.written = None, 0
+
+    exists = lambda self: self.value is not None
+    get = lambda self: self.value
+
+    def put(self, value):
+        self.value, self.written = value, self.written + len(value)
+
+    def update(self, value):
+        self.value = value
+
+    def appendList(self, value):
+        self.value, self.written = (self.value or []) + value, self.written + len(value)
+
+
 @pytest.mark.parametrize("batch", [1, 7, 1000])
 def test_state_stays_bounded_and_exact(batch):
     """The processor over a list in memory: at most twice the bars it needs, one entry
@@ -144,22 +163,6 @@ def test_state_stays_bounded_and_exact(batch):
     at = np.datetime64("2024-01-01T00:01") + np.arange(n) * np.timedelta64(60, "s") - np.timedelta64(1, "us")
     frame = pd.DataFrame({"symbol": "A", "rt": at, **{c: close for c in candles.OHLCV[:4]}, "volume": 5.0})
 
-    class Kept:
-        def __init__(self):
-            self.value, self.written = None, 0
-
-        exists = lambda self: self.value is not None
-        get = lambda self: self.value
-
-        def put(self, value):
-            self.value, self.written = value, self.written + len(value)
-
-        def update(self, value):
-            self.value = value
-
-        def appendList(self, value):
-            self.value, self.written = (self.value or []) + value, self.written + len(value)
-
     def run(size):
         processor = state.BarState(history=60)
         processor.bars, processor.runs = Kept(), Kept()
@@ -285,17 +288,9 @@ def test_bar_state_equals_a_row_by_row_fold_and_stays_small():
         for i in range(900)
     ]
 
-    class Kept:
-        value = None
-        exists = lambda self: self.value is not None
-        get = lambda self: self.value
-
-        def update(self, value):
-            self.value = value
-
     for frame in (20, 600):
         processor = state.BarState(frame * MINUTE_US)
-        processor.kept = Kept()
+        processor.bars, processor.runs = Kept(), Kept()
         out = []
         for i in (0, 1, 7, 400):
             j = {0: 1, 1: 7, 7: 400, 400: 900}[i]
@@ -333,15 +328,19 @@ def test_bar_state_equals_a_row_by_row_fold_and_stays_small():
                 assert got.rsi14[i] == pytest.approx(100 - 100 / (1 + means[0] / means[1]))
             else:
                 assert np.isnan(got.rsi14[i])
-        times, closes, volumes, kept_history, *_ = processor.kept.value
-        assert len(times) == len(closes) == len(volumes) == frame + 1 and len(kept_history) == 300
+        kept = processor.bars.value
+        in_frame = [b for b in bars_ if b[0] >= bars_[-1][0] - timedelta(minutes=frame)]
+        older = [b for b in bars_ if b[1] is not None][-300:]
+        needed = len({b[0] for b in in_frame + older})
+        assert len(in_frame) == frame + 1 and needed <= len(kept) <= 2 * needed
+        assert [c for _, c, _ in kept if not np.isnan(c)][-300:] == [c for _, c, _ in older]
 
     # Without any close only the frame is kept.
     processor = state.BarState()
-    processor.kept = Kept()
+    processor.bars, processor.runs = Kept(), Kept()
     part = pd.DataFrame({"rt": [b[0] for b in bars_], "close": np.nan, "volume": 1.0}).assign(open=1.0, high=1.0, low=1.0)
     list(processor.handleInputRows(("A",), iter([part]), None))
-    assert len(processor.kept.value[0]) == 21 and processor.kept.value[3] == []
+    assert len(processor.bars.value) == 21
 
 
 def test_beats_move_the_watermark_and_leave_no_row(spark, tmp_path, feed):
@@ -429,3 +428,64 @@ def test_stateful_jobs_take_the_configured_partitions_up_to_two_per_local_core(s
     asked = int(spark.conf.get("spark.sql.shuffle.partitions"))
     got = int(streaming_session(spark).conf.get("spark.sql.shuffle.partitions"))
     assert got == min(asked, 2 * cores)
+
+
+def test_jobs_go_on_with_other_partition_counts(spark, tmp_path):
+    """Three jobs of 4, 7 and 2 partitions share one input, cut inside windows, with a
+    symbol that only the first sees trade; together they give what one job gives."""
+    rows = rows_of(600)
+    gone = [("GONE", T(2024, 1, 1, 0, m), 5.0, 5.0, 5.0, 5.0, 1.0, 9000 + m) for m in range(4)]
+    late = ("S0", T(2024, 1, 1, 0, 0, 30), 1.0, 1.0, 1.0, 1.0, 1.0, 9999)  # its window is closed
+    parts = [rows[:203] + gone, [*rows[203:411], late], rows[411:]]
+    schema = spark.createDataFrame([], SCHEMA).schema
+    got, old = {"ladder": [], "states": []}, {}
+    for i, (part, partitions) in enumerate(zip(parts, (4, 7, 2))):
+        folder = str(tmp_path / "in")
+        spark.createDataFrame(part, SCHEMA).coalesce(1).write.mode("append").parquet(folder)
+        s = streaming_session(spark)
+        s.conf.set("spark.sql.shuffle.partitions", str(partitions))
+        for name in got:
+            source, initial = records.table_stream(s, folder, schema), None
+            if old.get(name):
+                source = old[name].still_open(source)
+                initial = (handover.open_bars if name == "ladder" else handover.bar_history)(s, old[name])
+            prices = flows.timed(source, "time", flows.PRICE_DELAY)
+            if name == "ladder":
+                out = flows.candle_ladder(prices, seq="seq", initial=initial)
+            else:
+                out = flows.settle(state.bar_states(flows.minute_bars(prices, "seq"), initial=initial))
+            got[name] += drain(s, tmp_path, out, f"{name}-{i}").collect()
+            old[name] = handover.handover(s, str(tmp_path / f"{name}-{i}-cp"))
+    whole = spark.createDataFrame(rows + gone, SCHEMA)
+    whole.coalesce(1).write.parquet(str(tmp_path / "whole"))
+    one = flows.timed(records.table_stream(streaming_session(spark), str(tmp_path / "whole"), schema), "time", flows.PRICE_DELAY)
+    want = drain(spark, tmp_path, flows.candle_ladder(one, seq="seq"), "one-ladder").collect()
+    key = lambda r: (r.screener, r.symbol, r.time)
+    assert sorted(map(tuple, got["ladder"])) == sorted(map(tuple, want)) and len(set(map(key, want))) == len(want)
+    want = drain(spark, tmp_path, flows.settle(state.bar_states(flows.minute_bars(one, "seq"))), "one-states").toPandas()
+    states = pd.DataFrame(got["states"], columns=want.columns)
+    order = ["symbol", "time"]
+    pd.testing.assert_frame_equal(
+        states.sort_values(order, ignore_index=True), want.sort_values(order, ignore_index=True),
+        check_dtype=False, rtol=1e-9,
+    )
+    assert "GONE" in set(want["symbol"])
+
+
+def test_a_job_cut_off_inside_a_batch_is_not_handed_over(spark, tmp_path, feed):
+    source = feed([rows_of(100)])
+    drain(spark, tmp_path, flows.settle(state.bar_states(flows.minute_bars(source(), "seq"))), "out")
+    checkpoint = str(tmp_path / "out-cp")
+    at = handover.handover(spark, checkpoint)
+    assert at.mark_ms == int((T(2024, 1, 1) + timedelta(seconds=11 * 99 - 10)).timestamp() * 1000) and at.batch_id > 0
+    (tmp_path / "out-cp" / "commits" / str(at.batch_id)).unlink()
+    with pytest.raises(ValueError, match="not committed"):
+        handover.handover(spark, checkpoint)
+
+
+def test_a_job_that_has_seen_nothing_hands_over_all_records(spark):
+    rows = spark.createDataFrame(rows_of(5), SCHEMA)
+    assert handover.Handover("none", 0, 0).still_open(rows).count() == 5
+    mark = int(T(2024, 1, 1, 0, 0, 30).timestamp() * 1000)
+    assert handover.Handover("none", 0, mark).still_open(rows).count() == 5
+    assert handover.Handover("none", 0, mark + 60_000).still_open(rows).count() == 0

@@ -17,6 +17,7 @@ from tickloom.schemas import TABLES
 from tickloom.session import fresh_path, streaming_session
 from tickloom.sources import records, tables
 from tickloom.streaming import flows, live, state
+from tickloom.streaming.handover import bar_history, handover, open_bars
 
 W = v.with_
 
@@ -298,6 +299,55 @@ def x11(spark, sf):
     return v.wall_clock(spark).read.schema(bars.schema).parquet(f"{path}/data")
 
 
+def handed_over(spark, sf, first: Callable, second: Callable) -> DataFrame:
+    """A job over the first half of the input, and one with three partitions more that
+    goes on with its state over all that it left open."""
+    s = streaming_session(spark)
+    path = fresh_path(s, "handover")
+    rows = v.ticks(spark, sf)
+    old, outs = None, []
+    for i, part in enumerate(halves(rows)):
+        part.write.mode("append").parquet(f"{path}/in")
+        source = records.table_stream(s, f"{path}/in", rows.schema)
+        if old:
+            more = int(s.conf.get("spark.sql.shuffle.partitions")) + 3
+            s.conf.set("spark.sql.shuffle.partitions", str(more))
+            source = old.still_open(source)
+        prices = flows.timed(source, "time", flows.PRICE_DELAY)
+        out = second(prices, s, old) if old else first(prices)
+        run(tables.append_query(out, f"{path}/data-{i}", f"{path}/checkpoint-{i}"))
+        outs.append(v.wall_clock(spark).read.schema(out.schema).parquet(f"{path}/data-{i}"))
+        old = handover(s, f"{path}/checkpoint-{i}")
+    return flows.union_all(outs)
+
+
+@query(
+    "x11_rescaled_ladder",
+    W(v.TICKS, CLOSED, v.LADDER)
+    + f"SELECT screener, {BAR} FROM ladder, last WHERE time + INTERVAL 1 MILLISECOND <= mark",
+)
+def x11_ladder(spark, sf):
+    return handed_over(
+        spark, sf,
+        lambda prices: flows.candle_ladder(prices, seq="seq"),
+        lambda prices, s, old: flows.candle_ladder(prices, seq="seq", initial=open_bars(s, old)),
+    )
+
+
+@query(
+    "x11_rescaled_indicators",
+    W(*CLOSED_IND, v.sql_recursive("closed"))
+    + f"SELECT symbol, time, {v.sql_rounded('ema12 ema26 macd rsi14 ret')} FROM rec",
+)
+def x11_indicators(spark, sf):
+    def build(prices, s=None, old=None):
+        initial = bar_history(s, old) if old else None
+        return flows.settle(state.indicators(flows.minute_bars(prices, "seq"), FRAME_MINUTES, initial))
+
+    columns = ("ema12", "ema26", "macd", "rsi14", "ret")
+    return v.rounded(handed_over(spark, sf, build, build).select("symbol", "time", *columns), *columns)
+
+
 CLOSED_BARS = W(v.TICKS, CLOSED, v.BARS_1M, CLOSED_1M) + f"SELECT {BAR} FROM closed"
 
 

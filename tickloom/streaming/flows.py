@@ -101,13 +101,15 @@ def settle(df: DataFrame, rt: str = "rt", time: str = "time") -> DataFrame:
 
 
 def candle_ladder(
-    records: DataFrame, rungs: Mapping[str, int] | None = None, seq: str | None = None
+    records: DataFrame, rungs: Mapping[str, int] | None = None, seq: str | None = None,
+    initial: DataFrame | None = None,
 ) -> DataFrame:
     """All rungs as one stream with a ``screener`` column, cascaded in one job over one
     scan of the timed record stream: native minute windows, then one stateful pass in
-    which all rungs of a symbol grow out of its minute bars."""
+    which all rungs of a symbol grow out of its minute bars. ``initial`` are the open bars
+    of a job that this one goes on with."""
     rungs = dict(rungs or LADDER)
-    bars = settle(ladder_states(minute_bars(records, seq), tuple(rungs.values())))
+    bars = settle(ladder_states(minute_bars(records, seq), tuple(rungs.values()), initial))
     name = F.element_at(F.create_map(*[F.lit(x) for n, m in rungs.items() for x in (m, n)]), F.col("minutes").cast("int"))
     return bars.select(name.alias("screener"), "symbol", "time", *OHLCV)
 

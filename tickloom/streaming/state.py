@@ -143,6 +143,13 @@ class BarState(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for row in initialState.itertuples():
+            times = np.asarray(row.times, "int64").tolist()
+            values = [np.asarray(x, float).tolist() for x in (row.closes, row.volumes)]
+            self.bars.put(list(zip(times, *values, strict=True)))
+            self.runs.update((int(row.up), int(row.down)))
+
     def handleInputRows(self, key, rows, timerValues) -> Iterator[pd.DataFrame]:
         new = pd.concat(list(rows)).sort_values("rt")
         old = np.array([tuple(r) for r in self.bars.get()] if self.bars.exists() else [], object).reshape(-1, 3)
@@ -163,17 +170,17 @@ class BarState(StatefulProcessor):
         columns["down"] = run_places(close < previous, down)
         yield new.assign(symbol=key[0], **columns)[list(COLUMNS)]
 
-        # Kept are the frame and as many closes as the indicators see. Bars are appended;
+        # Needed are the frame and as many closes as the indicators see. Bars are appended;
         # the list is written anew only when more than half of it is of no more use.
-        frame = int(np.searchsorted(times, times[-1] - self.frame_us, "left"))
-        seen = np.flatnonzero(priced)[-self.reach :]
-        first = min([frame, *seen[:1].tolist()]) if len(seen) == self.reach else 0
-        begin = first if 2 * first > len(times) else n
-        kept = list(zip(times[begin:].tolist(), closes[begin:].tolist(), volumes[begin:].tolist(), strict=True))
-        if begin == n:
-            self.bars.appendList(kept)
-        else:
+        needed = times >= times[-1] - self.frame_us
+        needed[np.flatnonzero(~np.isnan(closes))[-self.reach :]] = True
+        anew = 2 * needed.sum() < len(times)
+        chosen = np.flatnonzero(needed) if anew else slice(n, None)
+        kept = list(zip(*[x[chosen].tolist() for x in (times, closes, volumes)], strict=True))
+        if anew:
             self.bars.put(kept)
+        else:
+            self.bars.appendList(kept)
         self.runs.update((int(columns["up"][-1]), int(columns["down"][-1])))
 
     def _columns(self, closes, volumes, starts, history, n) -> dict[str, np.ndarray]:
@@ -214,6 +221,14 @@ class LadderState(StatefulProcessor):
     def close(self) -> None:
         pass
 
+    def handleInitialState(self, key, initialState, timerValues) -> None:
+        for row in initialState.itertuples():
+            self._keep((int(row.minutes), int(row.start)), [getattr(row, c) for c in OHLCV])
+            self.handle.registerTimer((int(row.start) + int(row.minutes) * MINUTE_US) // 1000)
+
+    def _keep(self, place: tuple[int, int], bar) -> None:
+        self.open.updateValue(place, tuple(None if pd.isna(x) else float(x) for x in bar))
+
     def _rows(self, key, bars: list[tuple]) -> pd.DataFrame:
         """``bars``: minutes, start and values. A row time is the end less 1 us."""
         out = pd.DataFrame(bars, columns=["minutes", "start", *OHLCV])
@@ -244,7 +259,7 @@ class LadderState(StatefulProcessor):
                     if place in kept:
                         self.open.removeKey(place)
                 else:
-                    self.open.updateValue(place, tuple(None if np.isnan(x) else float(x) for x in bar))
+                    self._keep(place, bar)
                     if place not in kept:
                         self.handle.registerTimer((start + width) // 1000)
             if closed:
@@ -273,9 +288,14 @@ def _joined(before: tuple, after: list) -> list[float]:
     ]
 
 
-def ladder_states(bars: DataFrame, minutes: tuple[int, ...]) -> DataFrame:
+def _by_symbol(initial: DataFrame | None):
+    return None if initial is None else initial.groupBy("symbol")
+
+
+def ladder_states(bars: DataFrame, minutes: tuple[int, ...], initial: DataFrame | None = None) -> DataFrame:
     """Bars of every width, each once when the watermark has passed its end: minutes,
-    symbol, rt and values. ``bars`` is a timed stream of minute bars."""
+    symbol, rt and values. ``bars`` is a timed stream of minute bars; ``initial`` holds the
+    open bars of a job that this one goes on with (``handover.open_bars``)."""
     ship_package()
     return (
         bars.select("symbol", "rt", *OHLCV)
@@ -285,12 +305,16 @@ def ladder_states(bars: DataFrame, minutes: tuple[int, ...]) -> DataFrame:
             outputStructType="minutes bigint, symbol string, rt timestamp, " + ", ".join(f"{c} double" for c in OHLCV),
             outputMode="append",
             timeMode="EventTime",
+            initialState=_by_symbol(initial),
         )
     )
 
 
-def bar_states(bars: DataFrame, frame_minutes: int = 20, ttl_ms: int | None = None) -> DataFrame:
-    """Minute bars with every column of ``BarState``, in one stateful pass.
+def bar_states(
+    bars: DataFrame, frame_minutes: int = 20, ttl_ms: int | None = None, initial: DataFrame | None = None
+) -> DataFrame:
+    """Minute bars with every column of ``BarState``, in one stateful pass. ``initial`` holds
+    the state of a job that this one goes on with (``handover.bar_history``).
 
     With ``ttl_ms`` a symbol's bars leave state that long (by the clock) after they were
     written, so one that trades no more leaves nothing behind. It must be longer than
@@ -306,13 +330,14 @@ def bar_states(bars: DataFrame, frame_minutes: int = 20, ttl_ms: int | None = No
             outputStructType=OUTPUT_SCHEMA,
             outputMode="append",
             timeMode="ProcessingTime" if ttl_ms else "None",
+            initialState=_by_symbol(initial),
         )
     )
 
 
-def indicators(bars: DataFrame, frame_minutes: int = 20) -> DataFrame:
+def indicators(bars: DataFrame, frame_minutes: int = 20, initial: DataFrame | None = None) -> DataFrame:
     """All indicator columns over a stream of minute bars."""
-    return bar_states(bars, frame_minutes).select("symbol", "rt", "close", *INDICATORS)
+    return bar_states(bars, frame_minutes, initial=initial).select("symbol", "rt", "close", *INDICATORS)
 
 
 def signals_of(states: DataFrame, length: int = 3) -> DataFrame:
