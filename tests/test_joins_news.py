@@ -1,4 +1,5 @@
 import random
+import re
 from datetime import datetime as T, timedelta
 
 import pytest
@@ -140,3 +141,15 @@ def test_bounds_and_daily_values_leave_records_where_they_are(spark):
     ):
         df.collect()
         assert "hashpartitioning" not in df._jdf.queryExecution().executedPlan().toString()
+
+
+@pytest.mark.parametrize(
+    "pattern",
+    [r"(a+)-(b*)", r"(a+?)-(b*?);", r"(a+)(?=-)(.)", r"\b(a+)-(b*)\b", r"(?<=x)(a+)-(b*)", r"(a)?-(b+)?", r"(a+)-(b*)$", r"^(a+)-(b*)"],
+)
+def test_entries_are_those_of_the_pattern_over_the_whole_text(spark, pattern):
+    texts = ["aa-bb;a-;xaa-b", "a-bbb a-", "aa-aab-b;", "", None, "-b--", "xa-b", "a-b\na-bb"]
+    df = spark.createDataFrame(list(enumerate(texts)), "id int, text string")
+    got = sorted(tuple(r) for r in news.extract_entries(df, "text", pattern).collect())
+    want = [(i, m[1] or "", m[2] or "") for i, t in enumerate(texts) for m in re.finditer(pattern, t or "")]
+    assert got == sorted(want) and got

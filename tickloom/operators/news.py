@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tickloom.functions.scalars import percent_change
@@ -124,13 +126,28 @@ def news_impact(
 HISTORY_ENTRY = r"-\s*(Ngày\s\d{2}/\d{2}/\d{4}|Năm\s\d{4}):\s*(.*?);"
 
 
+# What may hold in a text and not in the match alone, or the other way round.
+_LOOKS_BEYOND = re.compile(r"\$|\\[bBzZG]|\(\?[=!<]")
+
+
 def extract_entries(
     df: DataFrame, text: str, pattern: str = HISTORY_ENTRY, names=("date", "detail")
 ) -> DataFrame:
-    """One row per match of a two-group pattern over the whole text."""
-    groups = [F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(i)) for i in (1, 2)]
+    """One row per match of a two-group pattern over the whole text.
+
+    The pattern runs over the text once; the groups come out of each match alone, unless
+    the pattern looks beyond it (end of text, word bounds, look-around).
+    """
     rest = [c for c in df.columns if c != text]
-    matched = df.select(*rest, F.arrays_zip(*[g.alias(n) for g, n in zip(groups, names)]).alias("_m"))
-    return matched.select(*rest, F.explode("_m").alias("_e")).select(
-        *rest, *[F.col("_e").getField(n).alias(n) for n in names]
-    )
+
+    def every(group: int) -> Column:
+        return F.regexp_extract_all(F.col(text), F.lit(pattern), F.lit(group))
+
+    if _LOOKS_BEYOND.search(pattern):
+        found = F.arrays_zip(*[every(i).alias(n) for i, n in enumerate(names, 1)])
+        groups = [F.col("_m").getField(n).alias(n) for n in names]
+    else:
+        found = every(0)
+        groups = [F.regexp_extract("_m", pattern, i).alias(n) for i, n in enumerate(names, 1)]
+    # An outer explode: for an inner one Spark would search the text again, as a filter.
+    return df.select(*rest, F.explode_outer(found).alias("_m")).filter("_m IS NOT NULL").select(*rest, *groups)
