@@ -466,6 +466,17 @@ def test_a_changed_notice_is_one_span():
     assert any(s["label"] == "mit" and s["start"] == 1 for s in found["spans"])
 
 
+def test_licences_that_differ_in_a_word_are_told_apart():
+    scanner = licences.Scanner()
+    for label, notice in licences.TEMPLATES:
+        for text in (notice, f"// {notice}\n// Some code follows, version 7 of it.", f"Notes.\n{notice}"):
+            assert scanner.scan(text)["labels"] == label, (label, text)
+    both = " Then, beside it, other parts. ".join(t for label, t in licences.TEMPLATES if label in ("gpl-2", "lgpl-3", "cc-by-sa"))
+    assert scanner.scan(both)["labels"] == "cc-by-sa,gpl-2,lgpl-3"
+    inserted = "This work is licensed under a Creative Commons Attribution (Unlike Others) 4.0 International License."
+    assert scanner.scan(inserted)["score"] < 1.0 == scanner.scan(licences.TEMPLATES[6][1])["score"]
+
+
 # Secrets
 
 ASSIGN = re.compile(r"""(password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?([A-Za-z0-9+/_.=-]+)""", re.I | re.A)

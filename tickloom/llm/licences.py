@@ -4,8 +4,10 @@ The automaton accepts every substring of the licence templates, as word sequence
 A text's words are streamed through it, which gives matching statistics: after
 each word, the longest template passage that ends there. Maximal passages of some
 length are chained, in the order of the template and with small gaps, into spans
-of covered template words; a template's score is the share of its words that its
-best span covers.
+of covered template words. A span's coverage is the share of the template's words that it
+covers, or of its own words if these are more, so a missing, a changed and an inserted
+word all count against it. Of spans that share most of their words the best covered one
+gives its label, so that licences that differ in one word are told apart.
 
 Beside that, fixed phrases are looked for at every place (base labels).
 """
@@ -37,6 +39,15 @@ TEMPLATES = (
     ("cc-by-nc", "Licensed under CC BY-NC 4.0."),
     ("cc-by-nc", "This work is licensed under a Creative Commons Attribution-NonCommercial 4.0 International License."),
     ("cc-by", "This work is licensed under a Creative Commons Attribution 4.0 International License."),
+    ("cc-by-sa", "This work is licensed under a Creative Commons Attribution-ShareAlike 4.0 International License."),
+    ("cc-by-nd", "This work is licensed under a Creative Commons Attribution-NoDerivatives 4.0 International License."),
+    ("cc-by-nc-sa", "This work is licensed under a Creative Commons Attribution-NonCommercial-ShareAlike 4.0 International License."),
+    ("cc-by-nc-nd", "This work is licensed under a Creative Commons Attribution-NonCommercial-NoDerivatives 4.0 International License."),
+    ("gpl-2", "This work is licensed under the GNU General Public License, version 2."),
+    ("gpl-2", "This program is free software; you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation; either version 2 of the License, or (at your option) any later version."),
+    ("lgpl-2.1", "This library is free software; you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation; either version 2.1 of the License, or (at your option) any later version."),
+    ("lgpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Lesser General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
+    ("agpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU Affero General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("gpl-3", "This work is licensed under the GNU General Public License, version 3."),
     ("gpl-3", "This program is free software: you can redistribute it and/or modify it under the terms of the GNU General Public License as published by the Free Software Foundation, either version 3 of the License, or (at your option) any later version."),
     ("bsd-3", "Redistribution and use in source and binary forms, with or without modification, are permitted provided that the following conditions are met"),
@@ -193,6 +204,22 @@ class Scanner:
         out += [Span(t, first, last, covered) for t, (first, last, covered, _) in open_.items()]
         return sorted(out, key=lambda s: (s.start, s.template))
 
+    def coverage(self, span: Span) -> float:
+        return span.covered / max(self.sizes[span.template], span.end - span.start)
+
+    def named(self, spans: list[Span], n_words: int) -> set[str]:
+        """Labels of the spans that cover enough, best first; one whose words mostly lie
+        in spans taken before it gives none. Spans of a template do not overlap, so the
+        cost is bounded by the words times the templates."""
+        good = [(-self.coverage(s), -s.covered, s.start, s) for s in spans if self.coverage(s) >= LEAST_SCORE]
+        taken = np.zeros(n_words, bool)
+        labels = set()
+        for *_, s in sorted(good, key=lambda x: x[:3]):
+            if 2 * int(taken[s.start : s.end].sum()) < s.end - s.start:
+                labels.add(self.labels[s.template])
+                taken[s.start : s.end] = True
+        return labels
+
     def scan(self, text: str | None) -> dict:
         found = words(text)
         ids = np.fromiter((self.ids.get(w, 0) for w in found), np.int32, len(found))
@@ -210,11 +237,7 @@ class Scanner:
                 starts += places.tolist()
                 base.add(label)
         spans = self.spans(ids)
-        scores: dict[str, float] = {}
-        for s in spans:
-            label = self.labels[s.template]
-            scores[label] = max(scores.get(label, 0.0), s.covered / self.sizes[s.template])
-        named = base | {label for label, x in scores.items() if x >= LEAST_SCORE}
+        named = base | self.named(spans, len(ids))
         return {
             "n_words": len(found),
             "n_base": len(starts),
@@ -222,13 +245,13 @@ class Scanner:
             "last_word": max(starts, default=None),
             "base_labels": ",".join(sorted(base)),
             "labels": ",".join(sorted(named)),
-            "score": max(scores.values(), default=0.0),
+            "score": max(map(self.coverage, spans), default=0.0),
             "spans": [
                 {
                     "label": self.labels[s.template],
                     "start": s.start,
                     "end": s.end,
-                    "coverage": s.covered / self.sizes[s.template],
+                    "coverage": self.coverage(s),
                 }
                 for s in spans
             ],
@@ -266,8 +289,8 @@ def scan(
     """One row per row of ``docs``: doc_id, n_words, n_base, first_word, last_word,
     base_labels, labels, score and spans (label, start, end, coverage; in words).
 
-    ``score`` is the largest coverage of a template, 0 to 1; its label is added to
-    the base labels from LEAST_SCORE on. Null and wordless texts have no words, no
+    ``score`` is the largest coverage, 0 to 1; from LEAST_SCORE on a span's label is added
+    to the base labels, unless a better covered span holds most of its words. Null and wordless texts have no words, no
     labels and score 0. The templates are few and fixed, so the automaton travels
     with the function.
     """
